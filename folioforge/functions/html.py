@@ -51,7 +51,7 @@ def _character(code: Column) -> Column:
     return F.coalesce(
         F.try_element_at(_windows_1252(), code.cast("string")),
         F.decode(encoded, "UTF-32"),
-        F.lit("�"),
+        F.lit("\ufffd"),
     )
 
 
@@ -68,7 +68,7 @@ def _after_ampersand(part: Column) -> Column:
             hexadecimal != "",
             F.concat(_character(F.conv(hexadecimal, 16, 10).try_cast("bigint")), rest),
         )
-        .when(part.rlike(r"^#(?:[0-9]|[xX][0-9a-fA-F])"), F.concat(F.lit("�"), rest))
+        .when(part.rlike(r"^#(?:[0-9]|[xX][0-9a-fA-F])"), F.concat(F.lit("\ufffd"), rest))
         .when(name != "", F.concat(F.coalesce(known, F.concat(F.lit("&"), name)), rest))
         .otherwise(F.concat(F.lit("&"), part))
     )
