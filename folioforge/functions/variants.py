@@ -36,7 +36,4 @@ def items(value: Column, key: str) -> Column:
 
 def texts(value: Column, key: str, field: str) -> Column:
     """One field of every element; elements that are not objects give null."""
-    return F.transform(
-        F.coalesce(items(value, key), F.array().cast("array<variant>")),
-        lambda item: text(item, field),
-    )
+    return F.transform(items(value, key), lambda item: text(item, field))

@@ -61,22 +61,24 @@ def missing_references(references: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def append_upsert(
-    stored: DataFrame, incoming: DataFrame, order: list[str], *, stored_unique: bool = False
+    stored: DataFrame,
+    incoming: DataFrame,
+    order: list[str],
+    stored_order: list[str] | None = None,
 ) -> DataFrame:
     """Stored rows and incoming rows, the newest copy per document, corpus columns only.
 
     ``order`` are the arrival columns of ``incoming``. A corpus written by this library
-    is unique by identifier; pass ``stored_unique`` and its rows are not shuffled, only
-    those about to be replaced are left out.
+    is unique by identifier: its rows are not shuffled, only those about to be replaced
+    are left out. For a corpus that may repeat documents, name its arrival columns in
+    ``stored_order``; it is then reduced first.
     """
-    fresh = normalize_schema(incoming, keep=tuple(f"`{c}`" for c in order))
-    newest = keep_last(fresh, order).drop(*order)
-    kept = normalize_schema(stored)
-    if not stored_unique:
-        arrivals = kept.withColumn("_incoming", F.lit(0)).unionByName(
-            newest.withColumn("_incoming", F.lit(1))
-        )
-        return keep_last(arrivals, ["_incoming"]).drop("_incoming")
+    newest = keep_last(normalize_schema(incoming, keep=tuple(order)), order).drop(*order)
+    if stored_order is None:
+        kept = normalize_schema(stored)
+    else:
+        kept = keep_last(normalize_schema(stored, keep=tuple(stored_order)), stored_order)
+        kept = kept.drop(*stored_order)
     replaced = newest.select(F.col("document_id").alias("_id"))
     untouched = kept.join(replaced, F.col("document_id").eqNullSafe(F.col("_id")), "left_anti")
     return untouched.unionByName(newest)
@@ -90,4 +92,4 @@ def insert_only_merge(stored: DataFrame, incoming: DataFrame, order: list[str])
 
 def replace_partials(stored: DataFrame, recovered: DataFrame, order: list[str]) -> DataFrame:
     """Put recovered rows in the place of the partial rows of the same documents."""
-    return append_upsert(stored, recovered, order, stored_unique=True)
+    return append_upsert(stored, recovered, order)

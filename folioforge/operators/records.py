@@ -18,6 +18,9 @@ from folioforge.schema import (
 )
 
 
+ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
+
 def _conformed(df: DataFrame, name: str, dtype: str) -> Column:
     if name not in df.columns:
         return F.lit(None).cast(dtype).alias(name)
@@ -63,7 +66,7 @@ def flatten_record(
     attached: DataFrame,
     site: Site,
     *,
-    scraped_at: Column,
+    scraped_at: Column | None = None,
     keep_html: bool = False,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -73,10 +76,9 @@ def flatten_record(
     A row without payload is a partial record with ``detail_ok`` false.
     """
     payload = F.col("payload")
-    language_part = V.text(payload, "docuLanguageResource", "htmlContent")
     reference = X.strip(X.first_filled(V.text(payload, "refCd"), F.col("ref_code")))
     contacts = F.transform(
-        F.coalesce(V.items(payload, "contactsResource"), F.array().cast("array<variant>")),
+        V.items(payload, "contactsResource"),
         lambda c: X.contact_label(
             V.text(c, "firstName"), V.text(c, "lastName"), V.text(c, "title")
         ),
@@ -85,7 +87,7 @@ def flatten_record(
         "*",
         reference.alias("_reference"),
         X.record_language(F.col("language_code"), F.lit(site.language)).alias("_language"),
-        language_part.alias("_html"),
+        V.text(payload, "docuLanguageResource", "htmlContent").alias("_html"),
     )
     doc_id = X.document_id(F.col("_reference"))
     return named.select(
@@ -112,7 +114,9 @@ def flatten_record(
         X.detail_url(site.base_url, F.col("_language"), doc_id).alias("url"),
         X.pdf_url(site.base_url, F.col("_language"), doc_id, F.col("_reference")).alias("pdf_url"),
         payload.isNotNull().alias("detail_ok"),
-        scraped_at.cast("string").alias("scraped_at"),
+        (F.date_format(F.current_timestamp(), ISO_UTC) if scraped_at is None else scraped_at)
+        .cast("string")
+        .alias("scraped_at"),
         *carry,
     )
 

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioforge.functions import variants as V
-from folioforge.functions.text import document_id, nullable, strip
+from folioforge.functions.text import document_id, strip
 from folioforge.operators.ordered import running_total
 
 WINDOW = ["date_from", "date_to"]
-PAGE = [*WINDOW, "variant_no", "page_no"]
+VARIANT = [*WINDOW, "variant_no"]
+PAGE = [*VARIANT, "page_no"]
 
 # Key names of the landed payloads.
 ITEMS_KEY = "docuLanguageListResources"
@@ -48,7 +48,7 @@ def parse_pages(landed: DataFrame) -> DataFrame:
         .otherwise(F.try_variant_get(payload, f"$.{TOTAL_KEY}", "bigint"))
         .alias("total"),
         "total_missing",
-        F.size(F.coalesce("listed", F.array().cast("array<variant>"))).alias("n_listed"),
+        F.coalesce(F.array_size("listed"), F.lit(0)).alias("n_listed"),
         F.filter("listed", V.is_object).alias("items"),
     )
 
@@ -86,10 +86,31 @@ def page_facts(pages: DataFrame) -> DataFrame:
         F.col("total").isNotNull().alias("total_ok"),
         "total",
         "n_listed",
-        F.size(F.coalesce("items", F.array().cast("array<variant>"))).alias("n_items"),
+        F.coalesce(F.array_size("items"), F.lit(0)).cast("bigint").alias("n_items"),
     )
 
 
+def _reading(facts: DataFrame) -> DataFrame:
+    """Pages with the items read so far, and whether a page is unusable or the end."""
+    counted = running_total(
+        facts, keys=VARIANT, order="page_no", value="n_items", out="items_so_far"
+    )
+    empty = F.col("page_ok") & (F.col("n_listed") == 0)
+    bad = ~F.col("page_ok") | (~empty & ~F.col("total_ok"))
+    return counted.select(
+        *VARIANT,
+        "page_no",
+        "items_so_far",
+        bad.alias("bad"),
+        (empty | (~bad & (F.col("items_so_far") >= F.col("total")))).alias("ends"),
+    )
+
+
+def last_pages(facts: DataFrame) -> DataFrame:
+    """Last page that is read, per window and search variant that comes to an end."""
+    return _reading(facts).where("ends").groupBy(*VARIANT).agg(F.min("page_no").alias("last_page"))
+
+
 def page_completeness(facts: DataFrame) -> DataFrame:
     """Per window: ``complete`` when every variant was read to its end, else ``failed``.
 
@@ -97,19 +118,10 @@ def page_completeness(facts: DataFrame) -> DataFrame:
     reach the total that this page reports. An unusable or missing page before the end
     fails the window; whatever was landed after the end is ignored.
     """
-    variant = [*WINDOW, "variant_no"]
-    counted = running_total(
-        facts.withColumn("n_items", F.col("n_items").cast("bigint")),
-        keys=variant, order="page_no", value="n_items", out="items_so_far",
-    )
-    empty = F.col("page_ok") & (F.col("n_listed") == 0)
-    bad = ~F.col("page_ok") | (~empty & ~F.col("total_ok"))
-    ends = empty | (~bad & (F.col("items_so_far") >= F.col("total")))
-    marked = counted.select(*variant, "page_no", "items_so_far", bad.alias("bad"), ends.alias("ends"))
-
-    last = marked.groupBy(*variant).agg(F.min(F.when(F.col("ends"), F.col("page_no"))).alias("last_page"))
-    read = marked.join(last, variant).where(F.col("page_no") <= F.coalesce("last_page", "page_no"))
-    variants = read.groupBy(*variant).agg(
+    reading = _reading(facts)
+    ends = reading.groupBy(*VARIANT).agg(F.min(F.when(F.col("ends"), F.col("page_no"))).alias("last_page"))
+    read = reading.join(ends, VARIANT).where(F.col("page_no") <= F.coalesce("last_page", "page_no"))
+    variants = read.groupBy(*VARIANT).agg(
         F.first("last_page").alias("last_page"),
         F.count("*").alias("pages"),
         F.max("items_so_far").alias("items"),
@@ -123,18 +135,6 @@ def page_completeness(facts: DataFrame) -> DataFrame:
     )
 
 
-def last_pages(facts: DataFrame) -> DataFrame:
-    """Last page that is read per window and variant; only for variants that end."""
-    variant = [*WINDOW, "variant_no"]
-    counted = running_total(
-        facts.withColumn("n_items", F.col("n_items").cast("bigint")),
-        keys=variant, order="page_no", value="n_items", out="items_so_far",
-    )
-    empty = F.col("page_ok") & (F.col("n_listed") == 0)
-    full = F.col("page_ok") & F.col("total_ok") & (F.col("items_so_far") >= F.col("total"))
-    return counted.where(empty | full).groupBy(*variant).agg(F.min("page_no").alias("last_page"))
-
-
 def require_reference(summaries: DataFrame) -> DataFrame:
     """Per window: does any listed summary lack its reference? One such fails it."""
     return summaries.groupBy(*WINDOW).agg(
@@ -148,32 +148,27 @@ def ingest_counts(landed: DataFrame) -> DataFrame:
     return pages.select(*WINDOW, F.when(F.col("page_ok"), F.col("total")).alias("api_count"))
 
 
-def classify_detail(status: Column, body: Column) -> Column:
-    """``ok``, ``permanently_empty`` (answered with nothing) or ``transient``."""
-    trimmed = strip(body)
-    bare = trimmed.rlike(r"^\{\s*\}$")
+def _outcome(status: Column, body: Column, payload: Column) -> Column:
+    trimmed = F.coalesce(strip(body), F.lit(""))
     return (
         F.when(~http_ok(status), TRANSIENT)
-        .when(F.coalesce(trimmed, F.lit("")) == "", PERMANENTLY_EMPTY)
-        .when(V.parse_object(body).isNull() | bare, TRANSIENT)
+        .when(trimmed == "", PERMANENTLY_EMPTY)
+        .when(payload.isNull() | trimmed.rlike(r"^\{\s*\}$"), TRANSIENT)
         .otherwise(OK)
     )
 
 
+def classify_detail(status: Column, body: Column) -> Column:
+    """``ok``, ``permanently_empty`` (answered with nothing) or ``transient``."""
+    return _outcome(status, body, V.parse_object(body))
+
+
 def read_details(details: DataFrame) -> DataFrame:
-    """Landed details with their outcome; the payload is kept for ``ok`` only."""
+    """Details with their outcome; the parsed ``payload`` is kept for ``ok`` only."""
     parsed = details.withColumn("payload", V.parse_object(F.col("body")))
-    trimmed = strip(F.col("body"))
-    outcome = (
-        F.when(~http_ok(F.col("http_status")), TRANSIENT)
-        .when(F.coalesce(trimmed, F.lit("")) == "", PERMANENTLY_EMPTY)
-        .when(F.col("payload").isNull() | trimmed.rlike(r"^\{\s*\}$"), TRANSIENT)
-        .otherwise(OK)
+    judged = parsed.withColumn(
+        "outcome", _outcome(F.col("http_status"), F.col("body"), F.col("payload"))
+    )
+    return judged.withColumn("payload", F.when(F.col("outcome") == OK, F.col("payload"))).drop(
+        "body", "http_status"
     )
-    return parsed.withColumn("outcome", outcome).withColumn(
-        "payload", F.when(F.col("outcome") == OK, F.col("payload"))
-    ).drop("body", "http_status")
-
-
-def empty_landed(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
