@@ -38,17 +38,10 @@ from folioforge.sources.landed import (
     require_reference,
 )
 
-SUMMARY_COLUMNS = (
-    "requested_id",
-    "ref_code",
-    "event_date",
-    "title",
-    "lead_text",
-    "type_code",
-    "type_name",
-    "language_code",
-    "summary_json",
-)
+# What a batch keeps beside the corpus columns.
+BATCH_COLUMNS = ("requested_id", "outcome", "reference_key", "summary_json")
+# Where a row stood in the queue: later rows win over earlier ones.
+ARRIVAL = ("queue_key", "page_key", "pos")
 
 
 @dataclass(frozen=True)
@@ -63,7 +56,7 @@ class Batch:
 class Run:
     """Everything a run produces; nothing is written into the corpus yet."""
 
-    rows: DataFrame  # corpus columns and arrival column _seq
+    rows: DataFrame  # corpus columns, batch columns and arrival columns
     windows: DataFrame  # date_from, date_to, status, listed, additions
     window_ledger: DataFrame
     ref_ledger: DataFrame
@@ -96,6 +89,7 @@ def process_batch(
     *,
     scraped_at: Column | None = None,
     keep_html: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> Batch:
     """Full or partial rows for summaries, and the outcome per reference."""
     attached = attach_detail(summaries, details, site.language)
@@ -104,7 +98,7 @@ def process_batch(
         site,
         scraped_at=scraped_at,
         keep_html=keep_html,
-        carry=("requested_id", "outcome", "reference_key", "summary_json"),
+        carry=(*BATCH_COLUMNS, *carry),
     )
     staged = stage(rows, "batch")
     refs = staged.select(F.col("reference_key").alias("reference"), "outcome", "summary_json")
@@ -142,7 +136,7 @@ def retry_pass(
         site,
         scraped_at=scraped_at,
         keep_html=keep_html,
-        carry=("requested_id", "outcome", "reference_key", "summary_json"),
+        carry=BATCH_COLUMNS,
     )
     staged = stage(rows, "retry")
     refs = staged.select(F.col("reference_key").alias("reference"), "outcome", "summary_json")
@@ -239,7 +233,12 @@ def run_windows(
         progress = progress.select("queue_key", "selected", "complete")
 
     batch = process_batch(
-        selected, landed_details, site, scraped_at=scraped_at, keep_html=keep_html
+        selected,
+        landed_details,
+        site,
+        scraped_at=scraped_at,
+        keep_html=keep_html,
+        carry=ARRIVAL,
     )
     windows = window_outcomes(placed, unique, progress, limit)
     window_ledger = L.resolve_windows(
@@ -247,9 +246,10 @@ def run_windows(
     )
 
     ledger_now = ledger_after(ledger_after(ledger, retried_refs), batch.refs)
-    rows = batch.rows.withColumn("_seq", F.lit(1))
+    rows = batch.rows
     if retried_rows is not None:
-        rows = retried_rows.withColumn("_seq", F.lit(0)).unionByName(rows)
+        first = {name: F.lit(-1).cast(rows.schema[name].dataType) for name in ARRIVAL}
+        rows = retried_rows.withColumns(first).unionByName(rows)
     # Rows that are complete by now clear their ledger entry, in this run or before.
     ledger_now = L.unresolved_refs(ledger_now, rows)
     ledger_now = stage(L.unresolved_refs(ledger_now, corpus), "ref-ledger")
@@ -315,7 +315,7 @@ def run_summary(
 
 def merged_corpus(corpus: DataFrame, run: Run) -> DataFrame:
     """The corpus after a run: recovered rows replace partial ones, new rows join."""
-    return append_upsert(corpus, run.rows, ["_seq"])
+    return append_upsert(corpus, run.rows, list(ARRIVAL))
 
 
 def update_windows(corpus: DataFrame, until: date, since: date | None = None, full: bool = False) -> DataFrame:
