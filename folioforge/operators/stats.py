@@ -86,7 +86,8 @@ def type_distribution(corpus: DataFrame, top: int = 12, rest: str = "…") -> Da
 
 def type_labels(spark: SparkSession) -> DataFrame:
     """Fixed dimension table of 32 rows."""
-    return spark.createDataFrame(list(TYPE_LABELS.items()), "doc_type string, label string")
+    pairs = F.create_map(*[F.lit(part) for pair in TYPE_LABELS.items() for part in pair])
+    return spark.range(1).select(F.explode(pairs).alias("doc_type", "label"))
 
 
 def with_type_label(df: DataFrame) -> DataFrame:
