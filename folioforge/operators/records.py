@@ -66,7 +66,7 @@ def flatten_record(
     attached: DataFrame,
     site: Site,
     *,
-    scraped_at: Column | None = None,
+    scraped_at: str | None = None,
     keep_html: bool = False,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -76,6 +76,8 @@ def flatten_record(
     A row without payload is a partial record with ``detail_ok`` false.
     """
     payload = F.col("payload")
+    now = F.date_format(F.current_timestamp(), ISO_UTC)
+    stamp = now if scraped_at is None else F.lit(scraped_at)
     reference = X.strip(X.first_filled(V.text(payload, "refCd"), F.col("ref_code")))
     contacts = F.transform(
         V.items(payload, "contactsResource"),
@@ -114,9 +116,7 @@ def flatten_record(
         X.detail_url(site.base_url, F.col("_language"), doc_id).alias("url"),
         X.pdf_url(site.base_url, F.col("_language"), doc_id, F.col("_reference")).alias("pdf_url"),
         payload.isNotNull().alias("detail_ok"),
-        (F.date_format(F.current_timestamp(), ISO_UTC) if scraped_at is None else scraped_at)
-        .cast("string")
-        .alias("scraped_at"),
+        stamp.alias("scraped_at"),
         *carry,
     )
 

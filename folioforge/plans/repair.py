@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.operators import audit as A
@@ -31,7 +31,7 @@ def audit_repair(
     site: Site,
     *,
     ref_ledger: DataFrame | None = None,
-    scraped_at: Column | None = None,
+    scraped_at: str | None = None,
 ) -> Repair:
     """Repair deficient windows only; surplus rows are never deleted.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import document_id, normalize_ref, record_language
@@ -87,7 +87,7 @@ def process_batch(
     details: DataFrame,
     site: Site,
     *,
-    scraped_at: Column | None = None,
+    scraped_at: str | None = None,
     keep_html: bool = False,
     carry: tuple[str, ...] = (),
 ) -> Batch:
@@ -111,7 +111,7 @@ def retry_pass(
     details: DataFrame,
     site: Site,
     *,
-    scraped_at: Column | None = None,
+    scraped_at: str | None = None,
     keep_html: bool = False,
 ) -> Batch:
     """Resolve ledger references against newly landed details.
@@ -160,9 +160,8 @@ def search_queue(queue: DataFrame, landed_pages: DataFrame) -> tuple[DataFrame,
     summary with its place in the queue. A window without landed pages has failed.
     """
     wanted = landed_pages.join(queue.select(*WINDOW), WINDOW, "left_semi")
-    pages = parse_pages(wanted)
-    facts = stage(page_facts(pages), "page-facts")
-    summaries = stage(page_summaries(pages), "summaries")
+    pages = stage(parse_pages(wanted), "pages")
+    facts, summaries = page_facts(pages), page_summaries(pages)
 
     complete = page_completeness(facts).where(F.col("status") == COMPLETE).select(*WINDOW)
     read = summaries.join(last_pages(facts), VARIANT).where(F.col("page_no") <= F.col("last_page"))
@@ -188,7 +187,7 @@ def run_windows(
     limit: int | None = None,
     retry_pending: bool = True,
     retry_details: bool = True,
-    scraped_at: Column | None = None,
+    scraped_at: str | None = None,
     keep_html: bool = False,
 ) -> Run:
     """Process the window queue: search, add what is new, settle both ledgers.
@@ -215,22 +214,13 @@ def run_windows(
     missing = new_documents(unique, corpus)
     if retried_rows is not None:
         missing = new_documents(missing, retried_rows)
-    missing = stage(
-        missing.withColumn(
-            "page_key",
-            F.col("variant_no").cast("bigint") * F.lit(1_000_000_000) + F.col("page_no"),
-        ),
-        "missing",
+    missing = missing.withColumn(
+        "page_key",
+        F.col("variant_no").cast("bigint") * F.lit(1_000_000_000) + F.col("page_no"),
     )
-    per_window = missing.groupBy("queue_key").agg(F.count("*").alias("missing"))
-    if limit is None:
-        selected = missing
-        progress = per_window.select(
-            "queue_key", F.col("missing").alias("selected"), F.lit(True).alias("complete")
-        )
-    else:
-        selected, progress = canary_limit(missing, limit)
-        progress = progress.select("queue_key", "selected", "complete")
+    selected, progress = missing, None
+    if limit is not None:
+        selected, progress = canary_limit(stage(missing, "missing"), limit)
 
     batch = process_batch(
         selected,
@@ -240,7 +230,7 @@ def run_windows(
         keep_html=keep_html,
         carry=ARRIVAL,
     )
-    windows = window_outcomes(placed, unique, progress, limit)
+    windows = window_outcomes(placed, unique, batch.rows, progress, limit)
     window_ledger = L.resolve_windows(
         L.window_ledger(pending, requested), windows.where(F.col("status") == COMPLETE)
     )
@@ -259,25 +249,31 @@ def run_windows(
 
 
 def window_outcomes(
-    placed: DataFrame, unique: DataFrame, progress: DataFrame, limit: int | None = None
+    placed: DataFrame,
+    unique: DataFrame,
+    added: DataFrame,
+    progress: DataFrame | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Per queued window: status, documents listed for the first time, documents added.
 
-    A window that a limit cut short, or that the limit kept from being read at all, is
-    ``pending``; it is not counted as an attempt.
+    A window that a limit cut short, or that it kept from being read at all, is
+    ``pending``; it does not count as an attempt.
     """
     listed = unique.groupBy("queue_key").agg(F.count("*").alias("listed"))
+    additions = added.groupBy("queue_key").agg(F.count("*").alias("additions"))
     joined = (
-        placed.join(listed, "queue_key", "left").join(progress, "queue_key", "left")
-        .withColumn("listed", F.coalesce("listed", F.lit(0)))
-        .withColumn("additions", F.coalesce("selected", F.lit(0)))
-        .withColumn("complete", F.coalesce("complete", F.lit(True)))
+        placed.join(listed, "queue_key", "left")
+        .join(additions, "queue_key", "left")
+        .na.fill(0, ["listed", "additions"])
     )
-    status = F.when(~F.col("complete"), "pending").otherwise(F.col("status"))
-    if limit is not None:
-        reached = joined.agg(F.sum("additions").alias("taken"))
-        last = joined.where(F.col("additions") > 0).agg(F.max("queue_key").alias("last"))
-        beyond = (reached.scalar() >= limit) & (F.col("queue_key") > last.scalar())
+    status = F.col("status")
+    if progress is not None:
+        cut = progress.where(~F.col("complete")).select("queue_key", F.lit(True).alias("cut"))
+        joined = joined.join(cut, "queue_key", "left")
+        taken = joined.agg(F.sum("additions")).scalar()
+        last = joined.where(F.col("additions") > 0).agg(F.max("queue_key")).scalar()
+        beyond = F.col("cut").isNotNull() | ((taken >= limit) & (F.col("queue_key") > last))
         status = F.when(F.coalesce(beyond, F.lit(False)), "pending").otherwise(status)
     return joined.select(*WINDOW, "queue_key", status.alias("status"), "listed", "additions")
 
@@ -329,7 +325,7 @@ def run_fixed(
     details: DataFrame,
     site: Site,
     *,
-    scraped_at: Column | None = None,
+    scraped_at: str | None = None,
     keep_html: bool = False,
 ) -> Batch:
     """Rows for listed references that are not stored; unresolved ones stay partial."""

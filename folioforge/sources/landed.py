@@ -30,47 +30,53 @@ def http_ok(status: Column) -> Column:
     return F.coalesce(status < 400, F.lit(False))
 
 
+def _summary(item: Column) -> Column:
+    """The fields of one listed summary, as far as they are there."""
+    reference = strip(F.coalesce(V.text(item, "refCode"), F.lit("")))
+    return F.struct(
+        document_id(reference).alias("requested_id"),
+        reference.alias("ref_code"),
+        V.text(item, "eventDate").alias("event_date"),
+        V.text(item, "title").alias("title"),
+        V.text(item, "leadText").alias("lead_text"),
+        V.text(item, "docutype", "code").alias("type_code"),
+        V.text(item, "docutype", "description").alias("type_name"),
+        V.text(item, "languageCode").alias("language_code"),
+        F.to_json(item).alias("summary_json"),
+    )
+
+
 def parse_pages(landed: DataFrame) -> DataFrame:
-    """One row per page: is it usable, which total it reports, which items it lists.
+    """One row per page: is it usable, which total it reports, which summaries it lists.
 
-    ``total`` is null when the page reports something that is not a number; a page
-    without the key reports 0 and is flagged by ``total_missing``.
+    Every body is parsed once. ``total`` is null when the page reports something that is
+    not a number; a page without the key reports 0 and is flagged by ``total_missing``.
+    ``summaries`` holds the listed objects; a page has a limited number of them.
     """
-    parsed = landed.withColumn("payload", V.parse_object(F.col("body"))).drop("body")
+    answered = F.when(http_ok(F.col("http_status")), F.col("body"))
+    parsed = landed.withColumn("payload", V.parse_object(answered)).drop("body")
     payload = F.col("payload")
-    listed = parsed.withColumn("listed", V.items(payload, ITEMS_KEY)).withColumn(
-        "total_missing", payload.isNotNull() & ~V.has_key(payload, TOTAL_KEY)
+    listed = parsed.select(
+        *PAGE,
+        V.items(payload, ITEMS_KEY).alias("listed"),
+        (payload.isNotNull() & ~V.has_key(payload, TOTAL_KEY)).alias("total_missing"),
+        F.try_variant_get(payload, f"$.{TOTAL_KEY}", "bigint").alias("total"),
     )
+    objects = F.filter("listed", V.is_object)
     return listed.select(
-        *[c for c in landed.columns if c not in ("http_status", "body")],
-        (http_ok(F.col("http_status")) & F.col("listed").isNotNull()).alias("page_ok"),
-        F.when(F.col("total_missing"), F.lit(0).cast("bigint"))
-        .otherwise(F.try_variant_get(payload, f"$.{TOTAL_KEY}", "bigint"))
-        .alias("total"),
-        "total_missing",
+        *PAGE,
+        F.col("listed").isNotNull().alias("page_ok"),
+        F.when(F.col("total_missing"), F.lit(0).cast("bigint")).otherwise(F.col("total")).alias("total"),
+        F.coalesce("total_missing", F.lit(False)).alias("total_missing"),
         F.coalesce(F.array_size("listed"), F.lit(0)).alias("n_listed"),
-        F.filter("listed", V.is_object).alias("items"),
+        F.transform(objects, _summary).alias("summaries"),
     )
 
 
 def page_summaries(pages: DataFrame) -> DataFrame:
     """One row per listed summary, ``pos`` giving its place on the page."""
-    exploded = pages.where("page_ok").select(*PAGE, F.posexplode("items").alias("pos", "item"))
-    item = F.col("item")
-    reference = strip(F.coalesce(V.text(item, "refCode"), F.lit("")))
-    return exploded.select(
-        *PAGE,
-        "pos",
-        document_id(reference).alias("requested_id"),
-        reference.alias("ref_code"),
-        V.text(item, "eventDate").alias("event_date"),
-        V.text(item, "title").alias("title"),
-        V.text(item, "leadText").alias("lead_text"),
-        V.text(item, "docutype", "code").alias("type_code"),
-        V.text(item, "docutype", "description").alias("type_name"),
-        V.text(item, "languageCode").alias("language_code"),
-        F.to_json("item").alias("summary_json"),
-    )
+    exploded = pages.select(*PAGE, F.posexplode("summaries").alias("pos", "summary"))
+    return exploded.select(*PAGE, "pos", "summary.*")
 
 
 def ingest_search_pages(landed: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ def page_facts(pages: DataFrame) -> DataFrame:
         F.col("total").isNotNull().alias("total_ok"),
         "total",
         "n_listed",
-        F.coalesce(F.array_size("items"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce(F.array_size("summaries"), F.lit(0)).cast("bigint").alias("n_items"),
     )
 
 
@@ -144,7 +150,9 @@ def require_reference(summaries: DataFrame) -> DataFrame:
 
 def ingest_counts(landed: DataFrame) -> DataFrame:
     """Window and reported total; null marks a count that could not be read."""
-    pages = parse_pages(landed)
+    pages = parse_pages(
+        landed.withColumns({"variant_no": F.lit(0), "page_no": F.lit(1)})
+    )
     return pages.select(*WINDOW, F.when(F.col("page_ok"), F.col("total")).alias("api_count"))
 
 

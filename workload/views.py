@@ -6,10 +6,15 @@ without reading any JSON or HTML. Each template is filled once per engine.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.operators.records import normalize_schema
+from folioforge.operators.windows import bounds, month_windows
 from folioforge.schema import CORPUS_COLUMNS, Site
+from folioforge.session import stage
 
 SITE = Site("https://archive.example", "en")
 SCRAPED_AT = "2026-05-08T00:00:00+00:00"
@@ -144,7 +149,7 @@ def duck_views(*names: str) -> str:
     texts = {
         "corpus": CORPUS.format(documents="documents", **DUCK),
         "feed": FEED.format(documents="documents", **DUCK),
-        "totals": f"select w, count(*) as n from feed group by w",
+        "totals": "select w, count(*) as n from feed group by w",
         "pg": f"""
   select w, date_from, date_to, variant_no, page_no, kind, n_items,
     n_items + case when w % 5 = 0 then 3 else 0 end as n_listed,
@@ -198,7 +203,26 @@ def duck_views(*names: str) -> str:
     return "with " + ", ".join(f"{name} as ({texts[name]})" for name in names) + "\n"
 
 
+# Landed payloads are files: each is derived from the tables once per session.
+_LANDED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _landed(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _LANDED:
+        _LANDED[key] = stage(build(spark, sf), name)
+    return _LANDED[key]
+
+
 def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf, "landed-pages", _page_bodies)
+
+
+def landed_details(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf, "landed-details", _detail_bodies)
+
+
+def _page_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Bodies of the search pages. A page lists five summaries at most."""
     listed = feed(spark, sf)
     totals = listed.groupBy("w").agg(F.count("*").alias("n"))
@@ -257,7 +281,7 @@ def _escaped(column: str):
     return value
 
 
-def landed_details(spark: SparkSession, sf: str) -> DataFrame:
+def _detail_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Detail bodies of all listed documents, some of them faulty."""
     rows = feed(spark, sf).where("ref <> ' '").withColumn("kind", F.expr(DETAIL_KIND))
     base = F.to_json(
@@ -375,8 +399,6 @@ def stored_feed(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("doc_id % 2 = 0").alias("detail_ok"),
         F.lit(SCRAPED_AT).alias("scraped_at"),
     )
-    from folioforge.operators.records import normalize_schema
-
     return normalize_schema(rows)
 
 
@@ -396,10 +418,6 @@ def ref_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 def feed_windows(spark: SparkSession) -> DataFrame:
     """The 48 windows of the enumeration, newest first."""
-    from datetime import date
-
-    from folioforge.operators.windows import bounds, month_windows
-
     return month_windows(bounds(spark, date(2020, 1, 1), date(2023, 12, 31)))
 
 
