@@ -10,27 +10,27 @@ BUCKET = 4096
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: int = BUCKET
+    df: DataFrame, keys: list[str], order: str, totals: dict[str, str], bucket: int = BUCKET
 ) -> DataFrame:
-    """Sum of ``value`` per key up to and including each row, by integer ``order``.
+    """Sums per key up to and including each row, by integer ``order``.
 
-    A key of any size is cut into buckets of ``bucket`` consecutive order values. Bucket
-    sums are added up first, one row per bucket; rows are then only summed within their
-    bucket, so the longest sorted run is ``bucket`` order values and a hot key spreads
-    over many tasks.
+    ``totals`` maps new columns to the columns they add up. A key of any size is cut
+    into buckets of ``bucket`` consecutive order values. Bucket sums are added up first,
+    one row per bucket; rows are then only summed within their bucket, so the longest
+    sorted run is ``bucket`` order values and a hot key spreads over many tasks.
     """
     cut = df.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket)))
     grouped = [*keys, "_bucket"]
-    sums = cut.groupBy(*grouped).agg(F.sum(value).alias("_sum"))
+    sums = cut.groupBy(*grouped).agg(*[F.sum(v).alias(f"_{out}") for out, v in totals.items()])
     earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
-        *grouped, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")
+        *grouped,
+        *[F.coalesce(F.sum(f"_{out}").over(earlier), F.lit(0)).alias(f"_{out}") for out in totals],
     )
     within = W.partitionBy(*grouped).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        cut.join(offsets, grouped)
-        .withColumn(out, F.col("_offset") + F.sum(value).over(within))
-        .drop("_bucket", "_offset")
+    reached = {out: F.col(f"_{out}") + F.sum(v).over(within) for out, v in totals.items()}
+    return cut.join(offsets, grouped).select(
+        *df.columns, *[total.alias(out) for out, total in reached.items()]
     )
 
 
@@ -62,13 +62,13 @@ def canary_limit(missing: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     per_page = missing.groupBy("queue_key", "page_key").agg(F.count("*").alias("n"))
     per_window = per_page.groupBy("queue_key").agg(F.sum("n").alias("missing"))
     windows = running_total(
-        per_window.withColumn("_all", F.lit(0)), ["_all"], "queue_key", "missing", "_through"
+        per_window.withColumn("_all", F.lit(0)), ["_all"], "queue_key", {"_through": "missing"}
     ).select(
         "queue_key",
         "missing",
         (F.col("_through") - F.col("missing")).alias("_before"),
     )
-    pages = running_total(per_page, ["queue_key"], "page_key", "n", "_pages_through").select(
+    pages = running_total(per_page, ["queue_key"], "page_key", {"_pages_through": "n"}).select(
         "queue_key", "page_key", (F.col("_pages_through") - F.col("n")).alias("_pages_before")
     )
     on_page = W.partitionBy("queue_key", "page_key").orderBy("pos")

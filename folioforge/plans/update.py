@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioforge.functions.text import document_id, normalize_ref, record_language
@@ -29,13 +30,11 @@ from folioforge.sources.landed import (
     TRANSIENT,
     VARIANT,
     WINDOW,
-    last_pages,
-    page_completeness,
     page_facts,
     page_summaries,
     parse_pages,
     read_details,
-    require_reference,
+    search_ends,
 )
 
 # What a batch keeps beside the corpus columns.
@@ -156,23 +155,24 @@ def ledger_after(ledger: DataFrame, refs: DataFrame) -> DataFrame:
 def search_queue(queue: DataFrame, landed_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Window outcomes and the summaries of the windows that were read completely.
 
-    Returned are ``(date_from, date_to, queue_key, status, listed)`` and one row per
-    summary with its place in the queue. A window without landed pages has failed.
+    Returned are ``(date_from, date_to, queue_key, status)`` and one row per summary
+    with its place in the queue. A window without landed pages has failed, and so has
+    one that lists a summary without reference.
     """
     wanted = landed_pages.join(queue.select(*WINDOW), WINDOW, "left_semi")
     pages = stage(parse_pages(wanted), "pages")
-    facts, summaries = page_facts(pages), page_summaries(pages)
-
-    complete = page_completeness(facts).where(F.col("status") == COMPLETE).select(*WINDOW)
-    read = summaries.join(last_pages(facts), VARIANT).where(F.col("page_no") <= F.col("last_page"))
-    blank = require_reference(read).where("blank_reference")
-    usable = complete.join(blank, WINDOW, "left_anti").withColumn("status", F.lit(COMPLETE))
-    placed = stage(
-        queue.join(usable, WINDOW, "left").withColumn("status", F.coalesce("status", F.lit(FAILED))),
-        "queue",
+    usable = F.col("complete") & ~F.col("blank_reference")
+    # A window has one row per search variant here: as many as the search has values.
+    judged = search_ends(page_facts(pages)).select(
+        *VARIANT, "last_page", F.bool_and(usable).over(W.partitionBy(*WINDOW)).alias("usable")
     )
-    listed = read.join(placed.where(F.col("status") == COMPLETE), WINDOW).drop("status", "last_page")
-    return placed, listed
+    variants = stage(queue.join(judged, WINDOW, "left"), "variants")
+    placed = variants.groupBy(*WINDOW, "queue_key").agg(
+        F.when(F.bool_or("usable"), COMPLETE).otherwise(FAILED).alias("status")
+    )
+    read = variants.where("usable").select(*VARIANT, "queue_key", "last_page")
+    listed = page_summaries(pages).join(read, VARIANT).where(F.col("page_no") <= F.col("last_page"))
+    return placed, listed.drop("last_page")
 
 
 def run_windows(

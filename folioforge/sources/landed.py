@@ -93,49 +93,56 @@ def page_facts(pages: DataFrame) -> DataFrame:
         "total",
         "n_listed",
         F.coalesce(F.array_size("summaries"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce(F.exists("summaries", lambda s: s["ref_code"] == ""), F.lit(False)).alias("has_blank"),
     )
 
 
-def _reading(facts: DataFrame) -> DataFrame:
-    """Pages with the items read so far, and whether a page is unusable or the end."""
+def search_ends(facts: DataFrame) -> DataFrame:
+    """Per window and search variant: where reading ends, and whether it got there.
+
+    A variant ends at its first empty page, or at the page where the items read so far
+    reach the total that this page reports. An unusable or missing page before the end
+    makes it incomplete; whatever was landed after the end is ignored.
+    ``blank_reference`` tells of a summary without reference on the pages read.
+    """
     counted = running_total(
-        facts, keys=VARIANT, order="page_no", value="n_items", out="items_so_far"
+        facts.withColumn("_one", F.lit(1)),
+        keys=VARIANT,
+        order="page_no",
+        totals={"items_so_far": "n_items", "pages_so_far": "_one"},
     )
+    page = F.col("page_no")
     empty = F.col("page_ok") & (F.col("n_listed") == 0)
     bad = ~F.col("page_ok") | (~empty & ~F.col("total_ok"))
-    return counted.select(
+    ends = empty | (~bad & (F.col("items_so_far") >= F.col("total")))
+    marked = counted.withColumns({"_bad": bad, "_ends": ends})
+
+    def at_end(column: str) -> Column:
+        return F.coalesce(F.min_by(column, F.when(F.col("_ends"), page)), F.max(column))
+
+    found = marked.groupBy(*VARIANT).agg(
+        F.min(F.when(F.col("_ends"), page)).alias("last_page"),
+        F.min(F.when(F.col("_bad"), page)).alias("first_bad"),
+        F.min(F.when(F.col("has_blank"), page)).alias("first_blank"),
+        at_end("pages_so_far").alias("pages"),
+        at_end("items_so_far").alias("items"),
+    )
+    last = F.col("last_page")
+    whole = (F.col("pages") == last) & F.coalesce(F.col("first_bad") > last, F.lit(True))
+    return found.select(
         *VARIANT,
-        "page_no",
-        "items_so_far",
-        bad.alias("bad"),
-        (empty | (~bad & (F.col("items_so_far") >= F.col("total")))).alias("ends"),
+        "last_page",
+        "pages",
+        "items",
+        F.coalesce(whole, F.lit(False)).alias("complete"),
+        F.coalesce(F.col("first_blank") <= F.coalesce(last, F.col("first_blank")), F.lit(False)).alias("blank_reference"),
     )
 
 
-def last_pages(facts: DataFrame) -> DataFrame:
-    """Last page that is read, per window and search variant that comes to an end."""
-    return _reading(facts).where("ends").groupBy(*VARIANT).agg(F.min("page_no").alias("last_page"))
-
-
 def page_completeness(facts: DataFrame) -> DataFrame:
-    """Per window: ``complete`` when every variant was read to its end, else ``failed``.
-
-    A variant ends at its first empty page, or at the page where the items read so far
-    reach the total that this page reports. An unusable or missing page before the end
-    fails the window; whatever was landed after the end is ignored.
-    """
-    reading = _reading(facts)
-    ends = reading.groupBy(*VARIANT).agg(F.min(F.when(F.col("ends"), F.col("page_no"))).alias("last_page"))
-    read = reading.join(ends, VARIANT).where(F.col("page_no") <= F.coalesce("last_page", "page_no"))
-    variants = read.groupBy(*VARIANT).agg(
-        F.first("last_page").alias("last_page"),
-        F.count("*").alias("pages"),
-        F.max("items_so_far").alias("items"),
-        F.bool_or("bad").alias("bad"),
-    )
-    done = F.coalesce(~F.col("bad") & (F.col("pages") == F.col("last_page")), F.lit(False))
-    return variants.groupBy(*WINDOW).agg(
-        F.when(F.bool_and(done), COMPLETE).otherwise(FAILED).alias("status"),
+    """Per window: ``complete`` when every search variant was read to its end."""
+    return search_ends(facts).groupBy(*WINDOW).agg(
+        F.when(F.bool_and("complete"), COMPLETE).otherwise(FAILED).alias("status"),
         F.sum("pages").alias("pages"),
         F.sum("items").alias("items"),
     )

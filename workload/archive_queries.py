@@ -263,7 +263,7 @@ def q_running_total(spark, sf):
     per_order = table(spark, sf, "lineitem").groupBy("l_suppkey", F.col("l_orderkey").alias("n_line")).agg(
         F.count("*").alias("lines")
     )
-    return ordered.running_total(per_order, ["l_suppkey"], "n_line", "lines", "so_far").select(
+    return ordered.running_total(per_order, ["l_suppkey"], "n_line", {"so_far": "lines"}, bucket=512).select(
         "l_suppkey", "n_line", "so_far"
     )
 

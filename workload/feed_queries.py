@@ -92,7 +92,7 @@ def q_ingest_search_pages(spark, sf):
 )
 def q_parse_pages(spark, sf):
     rows = facts(spark, sf).withColumn("total", F.when(F.col("page_ok"), F.col("total")))
-    return dates_as_text(rows.withColumn("total_ok", F.col("page_ok") & F.col("total_ok")))
+    return dates_as_text(rows.drop("has_blank").withColumn("total_ok", F.col("page_ok") & F.col("total_ok")))
 
 
 @query("page_completeness", READ_DUCK + f"select {SPAN}, status, pages, items from windows_read")
