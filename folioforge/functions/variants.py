@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioforge.functions.text import strip
 
 
-def parse_object(body: Column) -> Column:
-    """Variant of a body that is one JSON object, else null."""
-    trimmed = strip(body)
-    is_object = trimmed.startswith("{") & trimmed.endswith("}")
-    return F.try_parse_json(F.when(is_object, trimmed))
+def parse_object(trimmed: Column) -> Column:
+    """Variant of a body that is one JSON object, else null; ``trimmed`` has no white
+    space around it."""
+    enclosed = trimmed.startswith("{") & trimmed.endswith("}")
+    return F.try_parse_json(F.when(enclosed, trimmed))
 
 
 def is_object(value: Column) -> Column:

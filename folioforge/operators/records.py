@@ -143,7 +143,7 @@ def rebuild_retry_summary(ledger: DataFrame, latest: DataFrame) -> DataFrame:
     entries = ledger.select(
         "reference",
         X.document_id(F.col("reference")).alias("requested_id"),
-        F.coalesce(V.parse_object(F.col("summary_json")), F.parse_json(F.lit("{}"))).alias(
+        F.coalesce(V.parse_object(X.strip(F.col("summary_json"))), F.parse_json(F.lit("{}"))).alias(
             "_summary_object"
         ),
     )

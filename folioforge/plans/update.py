@@ -142,14 +142,20 @@ def retry_pass(
     return Batch(staged.where(F.col("outcome").isin(OK, PERMANENTLY_EMPTY)), refs)
 
 
-def ledger_after(ledger: DataFrame, refs: DataFrame) -> DataFrame:
-    """The reference ledger after a batch: settled ones leave, transient ones enter."""
-    settled = refs.where(F.col("outcome") != TRANSIENT)
-    entering = refs.where(F.col("outcome") == TRANSIENT).select("reference", "summary_json")
-    staying = L.resolve_refs(
-        L.resolve_refs(ledger.select("reference", "summary_json"), settled), entering
+def ledger_after(ledger: DataFrame, *batches: DataFrame) -> DataFrame:
+    """The reference ledger after some batches of ``(reference, outcome, summary_json)``.
+
+    The last batch that saw a reference decides: a transient outcome keeps it pending,
+    any other one settles it. One aggregate by reference covers all batches.
+    """
+    columns = ("reference", "outcome", "summary_json")
+    seen = ledger.withColumn("outcome", F.lit(TRANSIENT)).select(*columns, F.lit(0).alias("step"))
+    for step, refs in enumerate(batches, start=1):
+        seen = seen.unionByName(refs.select(*columns, F.lit(step).alias("step")))
+    last = seen.groupBy("reference").agg(
+        F.max_by(F.struct("outcome", "summary_json"), "step").alias("last")
     )
-    return staying.unionByName(entering)
+    return last.where(F.col("last.outcome") == TRANSIENT).select("reference", "last.summary_json")
 
 
 def search_queue(queue: DataFrame, landed_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -235,14 +241,16 @@ def run_windows(
         L.window_ledger(pending, requested), windows.where(F.col("status") == COMPLETE)
     )
 
-    ledger_now = ledger_after(ledger_after(ledger, retried_refs), batch.refs)
     rows = batch.rows
     if retried_rows is not None:
         first = {name: F.lit(-1).cast(rows.schema[name].dataType) for name in ARRIVAL}
         rows = retried_rows.withColumns(first).unionByName(rows)
-    # Rows that are complete by now clear their ledger entry, in this run or before.
-    ledger_now = L.unresolved_refs(ledger_now, rows)
-    ledger_now = stage(L.unresolved_refs(ledger_now, corpus), "ref-ledger")
+    # Documents that are stored in full by now need no retry, whoever stored them.
+    held = corpus.select("document_id", "detail_ok").unionByName(
+        rows.select("document_id", "detail_ok")
+    )
+    pending_refs = L.unresolved_refs(ledger_after(ledger, retried_refs, batch.refs), held)
+    ledger_now = stage(pending_refs, "ref-ledger")
 
     summary = run_summary(windows, batch.refs, retried_refs, window_ledger, ledger_now)
     return Run(rows, windows, window_ledger, ledger_now, summary)

@@ -53,8 +53,10 @@ def parse_pages(landed: DataFrame) -> DataFrame:
     not a number; a page without the key reports 0 and is flagged by ``total_missing``.
     ``summaries`` holds the listed objects; a page has a limited number of them.
     """
-    answered = F.when(http_ok(F.col("http_status")), F.col("body"))
-    parsed = landed.withColumn("payload", V.parse_object(answered)).drop("body")
+    answered = F.when(http_ok(F.col("http_status")), strip(F.col("body")))
+    parsed = landed.select(*PAGE, answered.alias("body")).select(
+        *PAGE, V.parse_object(F.col("body")).alias("payload")
+    )
     payload = F.col("payload")
     listed = parsed.select(
         *PAGE,
@@ -163,11 +165,10 @@ def ingest_counts(landed: DataFrame) -> DataFrame:
     return pages.select(*WINDOW, F.when(F.col("page_ok"), F.col("total")).alias("api_count"))
 
 
-def _outcome(status: Column, body: Column, payload: Column) -> Column:
-    trimmed = F.coalesce(strip(body), F.lit(""))
+def _outcome(status: Column, trimmed: Column, payload: Column) -> Column:
     return (
         F.when(~http_ok(status), TRANSIENT)
-        .when(trimmed == "", PERMANENTLY_EMPTY)
+        .when(F.coalesce(trimmed, F.lit("")) == "", PERMANENTLY_EMPTY)
         .when(payload.isNull() | trimmed.rlike(r"^\{\s*\}$"), TRANSIENT)
         .otherwise(OK)
     )
@@ -175,15 +176,17 @@ def _outcome(status: Column, body: Column, payload: Column) -> Column:
 
 def classify_detail(status: Column, body: Column) -> Column:
     """``ok``, ``permanently_empty`` (answered with nothing) or ``transient``."""
-    return _outcome(status, body, V.parse_object(body))
+    return _outcome(status, strip(body), V.parse_object(strip(body)))
 
 
 def read_details(details: DataFrame) -> DataFrame:
     """Details with their outcome; the parsed ``payload`` is kept for ``ok`` only."""
-    parsed = details.withColumn("payload", V.parse_object(F.col("body")))
-    judged = parsed.withColumn(
-        "outcome", _outcome(F.col("http_status"), F.col("body"), F.col("payload"))
-    )
-    return judged.withColumn("payload", F.when(F.col("outcome") == OK, F.col("payload"))).drop(
-        "body", "http_status"
+    kept = [c for c in details.columns if c not in ("body", "http_status")]
+    trimmed = details.select(*kept, "http_status", strip(F.col("body")).alias("body"))
+    parsed = trimmed.withColumn("payload", V.parse_object(F.col("body")))
+    judged = parsed.select(
+        *kept,
+        "payload",
+        _outcome(F.col("http_status"), F.col("body"), F.col("payload")).alias("outcome"),
     )
+    return judged.withColumn("payload", F.when(F.col("outcome") == OK, F.col("payload")))

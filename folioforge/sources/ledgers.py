@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import variants as V
+from folioforge.functions.text import strip
 from folioforge.schema import REF_LEDGER_SCHEMA, WINDOW_LEDGER_SCHEMA
 from folioforge.sources.files import exists
 
@@ -38,7 +39,7 @@ def scan_failed_refs(spark: SparkSession, path: str) -> DataFrame:
 
 def repair_ref_ledger(ledger: DataFrame) -> DataFrame:
     bare = F.to_json(F.struct(F.col("reference").alias("refCode")))
-    summary = F.when(V.parse_object(F.col("summary_json")).isNotNull(), F.col("summary_json"))
+    summary = F.when(V.parse_object(strip(F.col("summary_json"))).isNotNull(), F.col("summary_json"))
     return ledger.withColumn("summary_json", F.coalesce(summary, bare))
 
 

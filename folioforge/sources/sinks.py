@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import dates as D
@@ -18,6 +18,12 @@ from folioforge.schema import (
 )
 from folioforge.sources.files import latest_snapshot
 
+METADATA_SCHEMA = (
+    "last_run string, total_documents bigint, cutoff string, scope string, "
+    "per_type_counts map<string, bigint>, config_hash string, dataset_version string, "
+    "failed_window_count bigint, failed_ref_count bigint"
+)
+
 
 def write_corpus(rows: DataFrame, root: str, order: list[str] | None = None) -> str:
     """Write a new snapshot next to the ones before and return its path.
@@ -83,7 +89,7 @@ def export_csv(corpus: DataFrame, target: str) -> None:
     ).mode("errorifexists").csv(target)
 
 
-def read_csv_export(spark, target: str) -> DataFrame:
+def read_csv_export(spark: SparkSession, target: str) -> DataFrame:
     """Read such an export back; the columns are text, empty text reads as null."""
     schema = ", ".join(f"{name} string" for name in CORPUS_COLUMNS)
     return spark.read.schema(schema).options(
@@ -104,7 +110,7 @@ def metadata_row(
     scope: str = "all",
     config_hash: str | None = None,
     dataset_version: str | None = None,
-    last_run: Column | None = None,
+    last_run: str | None = None,
 ) -> DataFrame:
     """One row that describes corpus and pending work.
 
@@ -125,7 +131,7 @@ def metadata_row(
     )
     window_count = failed_windows.agg(F.count("*").alias("n"))
     ref_count = failed_refs.agg(F.count("*").alias("n"))
-    now = F.date_format(F.current_timestamp(), ISO_UTC) if last_run is None else last_run
+    now = F.date_format(F.current_timestamp(), ISO_UTC) if last_run is None else F.lit(last_run)
     return totals.select(
         now.alias("last_run"),
         "total_documents",
@@ -140,5 +146,11 @@ def metadata_row(
 
 
 def write_metadata(row: DataFrame, target: str) -> None:
-    """Append to the metadata history; the latest row describes the corpus of today."""
+    """Append to the metadata history."""
     row.write.mode("append").json(target)
+
+
+def read_metadata(spark: SparkSession, target: str) -> DataFrame:
+    """The latest metadata row."""
+    history = spark.read.schema(METADATA_SCHEMA).json(target)
+    return history.orderBy(F.col("last_run").desc()).limit(1)

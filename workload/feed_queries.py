@@ -237,7 +237,7 @@ KEPT = "doc_id % 7 <> 3"
 )
 def q_scan_ledgers(spark, sf):
     ledger = repair_ref_ledger(ref_ledger(spark, sf))
-    summary = V.parse_object(F.col("summary_json"))
+    summary = V.parse_object(X.strip(F.col("summary_json")))
     entry = F.concat(V.text(summary, "refCode"), F.lit("|"), F.coalesce(V.text(summary, "languageCode"), F.lit("")))
     return ledger.select("reference", entry.alias("entry"))
 

@@ -203,7 +203,7 @@ def duck_views(*names: str) -> str:
     return "with " + ", ".join(f"{name} as ({texts[name]})" for name in names) + "\n"
 
 
-# Landed payloads are files: each is derived from the tables once per session.
+# Landed payloads and the stored corpus are files: each is derived from the tables once per session.
 _LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -385,6 +385,14 @@ FLAT_DUCK = f"""
 
 
 def stored_feed(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf, "stored-feed", _stored_rows)
+
+
+def ref_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed(spark, sf, "ref-ledger", _ledger_rows)
+
+
+def _stored_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Corpus in which every third listed document is stored, half of them partial."""
     rows = feed(spark, sf).where("ref <> ' ' and doc_id % 3 = 0").select(
         F.expr("lower(replace(ref, '/', '_'))").alias("document_id"),
@@ -402,7 +410,7 @@ def stored_feed(spark: SparkSession, sf: str) -> DataFrame:
     return normalize_schema(rows)
 
 
-def ref_ledger(spark: SparkSession, sf: str) -> DataFrame:
+def _ledger_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Pending references: stored documents (partial or complete) and unknown ones."""
     rows = feed(spark, sf).where("ref <> ' ' and doc_id % 5 = 1 and (doc_id % 3 = 0 or doc_id % 4 = 1)")
     return rows.select(
