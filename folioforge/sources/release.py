@@ -73,6 +73,7 @@ def verify_files(digests: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files matched to manifest rows by file name, with a verdict each.
 
     The digest is compared in any letter case; the size only where the manifest has one.
+    Both sides are kept whole: ``unlisted`` files and ``missing`` ones are reported.
     """
 
     def name_of(column: str):
@@ -84,10 +85,11 @@ def verify_files(digests: DataFrame, manifest: DataFrame) -> DataFrame:
         F.col("size_bytes").alias("expected_size"),
     )
     found = digests.withColumn("file_name", name_of("path")).select("file_name", "size_bytes", "sha256")
-    joined = found.join(expected, "file_name", "left")
+    joined = found.join(expected, "file_name", "full")
     return joined.withColumn(
         "verdict",
-        F.when(F.col("expected_sha256").isNull(), "unlisted")
+        F.when(F.col("sha256").isNull(), "missing")
+        .when(F.col("expected_sha256").isNull(), "unlisted")
         .when(F.lower("sha256") != F.col("expected_sha256"), "digest mismatch")
         .when(F.col("size_bytes") != F.col("expected_size"), "size mismatch")
         .otherwise("verified"),
