@@ -80,13 +80,12 @@ def phantom_check(enumerated: DataFrame, corpus: DataFrame) -> DataFrame:
 
     ``enumerated`` is (date_from, date_to, requested_id, ref_code).
     """
-    listed = enumerated.groupBy(*WINDOW, "requested_id").agg(
-        F.bool_or(F.col("ref_code") == "").alias("blank")
-    )
-    asked = listed.select(F.col("requested_id").alias("document_id")).distinct()
-    found = stored_ids(corpus).join(asked, "document_id", "left_semi").distinct()
+    asked = enumerated.select(F.col("requested_id").alias("document_id"))
+    found = stored_ids(corpus).join(asked, "document_id", "left_semi")
     held = found.select(F.col("document_id").alias("requested_id"), F.lit(True).alias("held"))
-    checked = listed.join(held, "requested_id", "left")
-    return checked.groupBy(*WINDOW).agg(
-        F.bool_and(F.coalesce("held", F.lit(False)) & ~F.col("blank")).alias("all_stored")
+    stored = F.coalesce("held", F.lit(False)) & (F.col("ref_code") != "")
+    return (
+        enumerated.join(held, "requested_id", "left")
+        .groupBy(*WINDOW)
+        .agg(F.bool_and(stored).alias("all_stored"))
     )

@@ -19,9 +19,10 @@ def _one_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFram
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def keep_last(df: DataFrame, order: list[str], key: str = "document_id") -> DataFrame:
+def keep_last(df: DataFrame, order: list[str], key: list[str] | str = "document_id") -> DataFrame:
     """The last row per key in arrival order; rows without a key collapse to one."""
-    return _one_per_key(df, [key], [F.col(c).desc() for c in order])
+    keys = [key] if isinstance(key, str) else key
+    return _one_per_key(df, keys, [F.col(c).desc() for c in order])
 
 
 def first_wins(df: DataFrame, order: list[str], key: list[str] | str = "document_id") -> DataFrame:

@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import document_id, normalize_ref, record_language
 from folioforge.operators import ledgers as L
-from folioforge.operators.merge import append_upsert, first_wins, new_documents
+from folioforge.operators.merge import first_wins, keep_last, new_documents
 from folioforge.operators.ordered import canary_limit
-from folioforge.operators.records import flatten_record, rebuild_retry_summary
+from folioforge.operators.records import (
+    flatten_record,
+    normalize_schema,
+    rebuild_retry_summary,
+)
 from folioforge.operators.windows import month_windows, overlap_range
 from folioforge.schema import Site
 from folioforge.session import stage
@@ -36,6 +40,7 @@ from folioforge.sources.landed import (
     read_details,
     search_ends,
 )
+from folioforge.sources.sinks import append_corpus, write_corpus
 
 # What a batch keeps beside the corpus columns.
 BATCH_COLUMNS = ("requested_id", "outcome", "reference_key", "summary_json")
@@ -317,9 +322,40 @@ def run_summary(
     ).withColumn("partial", (F.col("pending_windows") > 0) | (F.col("pending_refs") > 0))
 
 
+def touched_ids(run: Run) -> DataFrame:
+    """Identifiers whose stored row a run may replace.
+
+    Rows of new documents were checked against the corpus under the identifier they were
+    requested by. What remains are retried rows, and documents whose detail names them
+    differently; both are few, and as a staged table their size is known.
+    """
+    retried = F.col("queue_key") < 0
+    renamed = F.col("document_id") != F.col("requested_id")
+    return stage(run.rows.where(retried | renamed).select("document_id").distinct(), "touched")
+
+
+def run_rows(run: Run) -> DataFrame:
+    """Corpus rows of a run, the latest one per document."""
+    return keep_last(normalize_schema(run.rows, keep=ARRIVAL), list(ARRIVAL)).drop(*ARRIVAL)
+
+
 def merged_corpus(corpus: DataFrame, run: Run) -> DataFrame:
     """The corpus after a run: recovered rows replace partial ones, new rows join."""
-    return append_upsert(corpus, run.rows, list(ARRIVAL))
+    untouched = normalize_schema(corpus).join(touched_ids(run), "document_id", "left_anti")
+    return untouched.unionByName(run_rows(run))
+
+
+def save_run(corpus: DataFrame, run: Run, root: str) -> str:
+    """Store a run in the corpus at ``root``, of which ``corpus`` is the latest snapshot.
+
+    A run that replaces nothing is appended, so its cost does not depend on the size of
+    the corpus. Only a run that replaces rows writes a new snapshot.
+    """
+    touched = touched_ids(run)
+    stored = corpus.select("document_id").join(touched, "document_id", "left_semi")
+    if stored.isEmpty():
+        return append_corpus(run_rows(run), root)
+    return write_corpus(merged_corpus(corpus, run), root)
 
 
 def update_windows(corpus: DataFrame, until: date, since: date | None = None, full: bool = False) -> DataFrame:

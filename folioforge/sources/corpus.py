@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.operators.filters import filter_window
 from folioforge.operators.records import migrate_legacy, normalize_schema
 from folioforge.operators.stats import per_type_counts, resolve
 from folioforge.schema import CORPUS_SCHEMA
 from folioforge.sources.files import exists, latest_snapshot
 
-# Written snapshots are partitioned by the year of the date, as typed integer.
+# Written snapshots are partitioned by the year their date text starts with.
 STORED_SCHEMA = T.StructType([*CORPUS_SCHEMA.fields, T.StructField("pub_year", T.IntegerType())])
 
 
@@ -31,20 +34,23 @@ def scan_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The latest committed snapshot of a corpus written by this library."""
-    number = latest_snapshot(spark, root)
-    if number is None:
-        return empty_corpus(spark)
-    stored = spark.read.schema(STORED_SCHEMA).parquet(f"{root}/snapshot={number}")
-    return stored.drop("pub_year")
+    return _stored(spark, root).drop("pub_year")
 
 
-def scan_snapshot_years(spark: SparkSession, root: str, first: int, last: int) -> DataFrame:
-    """Rows of some publication years; only those partitions are read."""
+def scan_snapshot_window(
+    spark: SparkSession, root: str, date_from: date, date_to: date
+) -> DataFrame:
+    """Rows of a date range; only the partitions of its years are read."""
+    year = F.col("pub_year")
+    wanted = year.between(date_from.year, date_to.year) | year.isNull()
+    return filter_window(_stored(spark, root).where(wanted), date_from, date_to).drop("pub_year")
+
+
+def _stored(spark: SparkSession, root: str) -> DataFrame:
     number = latest_snapshot(spark, root)
     if number is None:
-        return empty_corpus(spark)
-    stored = spark.read.schema(STORED_SCHEMA).parquet(f"{root}/snapshot={number}")
-    return stored.where(F.col("pub_year").between(first, last)).drop("pub_year")
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return spark.read.schema(STORED_SCHEMA).parquet(f"{root}/snapshot={number}")
 
 
 def scan_summary(raw: DataFrame) -> DataFrame:
@@ -52,8 +58,8 @@ def scan_summary(raw: DataFrame) -> DataFrame:
 
     Unlike the cutoff of a corpus, this drops null dates but not empty ones.
     """
-    date = resolve(raw, "date", "publication_date")
-    newest = F.max(date) if date else F.lit(None)
+    column = resolve(raw, "date", "publication_date")
+    newest = F.max(column) if column else F.lit(None)
     return raw.agg(F.count("*").alias("row_count"), newest.cast("string").alias("cutoff"))
 
 

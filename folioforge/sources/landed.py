@@ -1,7 +1,7 @@
 """Landed payloads -> rows: search pages, counts and detail bodies.
 
 A landed table holds one row per request of one enumeration (``batch_id``): callers
-select a batch before they pass the frame in.
+select a batch before they pass the frame in, or reduce several with ``latest_answers``.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import variants as V
 from folioforge.functions.text import document_id, strip
+from folioforge.operators.merge import keep_last
 from folioforge.operators.ordered import running_total
 
 WINDOW = ["date_from", "date_to"]
@@ -150,6 +151,11 @@ def page_completeness(facts: DataFrame) -> DataFrame:
     )
 
 
+def latest_answers(landed: DataFrame, request: list[str]) -> DataFrame:
+    """The newest answer to each request, for tables that hold several batches."""
+    return keep_last(landed, ["batch_id"], request)
+
+
 def require_reference(summaries: DataFrame) -> DataFrame:
     """Per window: does any listed summary lack its reference? One such fails it."""
     return summaries.groupBy(*WINDOW).agg(

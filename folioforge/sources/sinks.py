@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import dates as D
@@ -35,21 +35,46 @@ def write_corpus(rows: DataFrame, root: str, order: list[str] | None = None) ->
     Rows are rebalanced by year: small years share a task, while a year with a large
     share of all rows is split over many. Within each file they lie newest first.
     """
-    spark = rows.sparkSession
     unique = normalize_schema(rows)
     if order is not None:
         unique = keep_last(normalize_schema(rows, keep=tuple(order)), order).drop(*order)
-    target = f"{root}/snapshot={(latest_snapshot(spark, root) or 0) + 1}"
-    (
-        unique.withColumn("pub_year", F.year(D.to_date(F.col("date"))))
+    target = f"{root}/snapshot={(latest_snapshot(rows.sparkSession, root) or 0) + 1}"
+    _by_year(unique).mode("overwrite").parquet(target)
+    return target
+
+
+def append_corpus(rows: DataFrame, root: str) -> str:
+    """Add new documents to the latest snapshot; stored files are not touched.
+
+    Rows must be unique and not stored yet. An append that was cut off and is repeated
+    finds the documents that made it and leaves them out.
+    """
+    number = latest_snapshot(rows.sparkSession, root)
+    if number is None:
+        return write_corpus(rows, root)
+    target = f"{root}/snapshot={number}"
+    _by_year(normalize_schema(rows)).mode("append").parquet(target)
+    return target
+
+
+def _by_year(rows: DataFrame) -> DataFrameWriter:
+    return (
+        rows.withColumn("pub_year", year_of(F.col("date")))
         .hint("rebalance", "pub_year")
         .sortWithinPartitions("pub_year", F.col("date").desc_nulls_last())
         .write.partitionBy("pub_year")
         .option("compression", "snappy")
-        .mode("overwrite")
-        .parquet(target)
     )
-    return target
+
+
+def year_of(date: Column) -> Column:
+    """Year in the first four characters of date text, null where they are no digits.
+
+    Taken from the text, not from a parsed date, so that it orders like the text does:
+    the years of a text range are exactly the years of its limits.
+    """
+    start = F.substring(date, 1, 4)
+    return F.when(start.rlike("^[0-9]{4}$"), start).try_cast("int")
 
 
 def export_stem(doc_type: Column) -> Column:

@@ -8,7 +8,7 @@ from payloads import FEBRUARY, JANUARY, MARCH, SITE, detail, details, page, page
 from folioforge.operators.records import normalize_schema
 from folioforge.plans import update as U
 from folioforge.session import stage
-from folioforge.sources.corpus import empty_corpus
+from folioforge.sources.corpus import empty_corpus, scan_snapshot
 
 
 class World:
@@ -169,6 +169,28 @@ def test_retry_outcomes(spark):
     assert sorted(r.reference for r in U.ledger_after(ledger, batch.refs).collect()) == ["IP/4", "IP/5"]
 
 
+def test_a_run_is_appended_unless_it_replaces_rows(spark, tmp_path):
+    root = str(tmp_path / "corpus")
+
+    def step(landed, answers, ledger):
+        corpus = scan_snapshot(spark, root)
+        run = U.run_windows(
+            corpus, pages(spark, *landed), details(spark, answers), window_rows(spark, JANUARY),
+            window_rows(spark), ledger, SITE, scraped_at="fixed",
+        )
+        path = U.save_run(corpus, run, root)
+        rows = scan_snapshot(spark, root).collect()
+        return path.rsplit("/", 1)[-1], {r.document_id: r.detail_ok for r in rows}, run.ref_ledger
+
+    one, two = summary("IP/20/1"), summary("IP/20/2")
+    first, rows, ledger = step([page(JANUARY, [one])], {}, ref_ledger(spark))
+    assert (first, rows) == ("snapshot=1", {"ip_20_1": False})
+    second, rows, ledger = step([page(JANUARY, [one, two])], {"IP/20/2": detail("IP/20/2")}, ledger)
+    assert (second, rows) == ("snapshot=1", {"ip_20_1": False, "ip_20_2": True})
+    third, rows, ledger = step([page(JANUARY, [one, two])], {"IP/20/1": detail("IP/20/1")}, ledger)
+    assert (third, rows) == ("snapshot=2", {"ip_20_1": True, "ip_20_2": True})
+
+
 def test_fixed_references(spark):
     stored = normalize_schema(spark.createDataFrame([("ip_1",)], "document_id string"))
     wanted = spark.createDataFrame([(" ip/1",), ("ip/2 ",), ("IP/2",), ("IP/3",)], "reference string")

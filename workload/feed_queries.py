@@ -16,8 +16,11 @@ from folioforge.operators.records import flatten_record, rebuild_retry_summary
 from folioforge.plans import update as U
 from folioforge.plans.repair import audit_repair
 
+from folioforge.session import new_path
 from folioforge.sources import landed as LD
+from folioforge.sources.corpus import scan_snapshot
 from folioforge.sources.ledgers import repair_ref_ledger
+from folioforge.sources.sinks import write_corpus
 from workload.registry import query
 from workload.views import (
     SCRAPED_AT,
@@ -414,6 +417,34 @@ def q_merged_corpus(spark, sf):
     return U.merged_corpus(stored_feed(spark, sf), run(spark, sf)).select("document_id", "detail_ok")
 
 
+@query(
+    "save_run",
+    RUN + """select document_id, detail_ok from flat
+        where doc_id in (select doc_id from added) or doc_id in (select doc_id from recovered)
+      union all select document_id, doc_id % 2 = 0 from flat
+        where doc_id % 3 = 0 and doc_id not in (select doc_id from recovered)""",
+)
+def q_save_run(spark, sf):
+    root = new_path(spark, "corpus")
+    write_corpus(stored_feed(spark, sf), root)
+    U.save_run(scan_snapshot(spark, root), run(spark, sf), root)
+    return scan_snapshot(spark, root).select("document_id", "detail_ok")
+
+
+@query(
+    "latest_answers",
+    FEED_DUCK + """select ref as reference, cast(case when doc_id % 3 = 0 then 3 else 1 end as bigint) as batch_id
+      from feed where ref <> ' '""",
+)
+def q_latest_answers(spark, sf):
+    first = landed_details(spark, sf)
+    again = feed(spark, sf).where("ref <> ' ' and doc_id % 3 = 0").select(
+        F.explode(F.array(F.lit(2).cast("bigint"), F.lit(3).cast("bigint"))).alias("batch_id"),
+        F.col("ref").alias("reference"), F.col("lang").alias("language"), F.lit(200).alias("http_status"), F.lit("").alias("body"),
+    )
+    return LD.latest_answers(first.unionByName(again), ["reference", "language"]).select("reference", "batch_id")
+
+
 @query(
     "update_windows",
     """select cast(row_number() over (order by m desc) - 1 as bigint) as position, cast(greatest(m, lo) as varchar) as date_from,

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from folioforge.schema import ACTIVE_TYPES, CORPUS_COLUMNS, EXPORT_STEMS
 from folioforge.session import new_path
 from folioforge.sources import ledgers as LG
 from folioforge.sources import release, sinks
-from folioforge.sources.corpus import scan_snapshot, scan_snapshot_years
+from folioforge.sources.corpus import scan_snapshot, scan_snapshot_window
 from folioforge.streaming import topup
 from workload.archive_queries import MONTHS_DUCK, months, with_duck
 from workload.corpus_queries import sql_list
@@ -32,13 +34,21 @@ def q_write_corpus(spark, sf):
 
 
 @query(
-    "scan_snapshot_years",
-    C + f"""select {corpus_columns()} from corpus where year(try_cast(date as date)) between 1995 and 1999""",
+    "scan_snapshot_window",
+    C + f"select {corpus_columns()} from corpus where date between '1995-03-01' and '1999-10-15'",
 )
-def q_scan_snapshot_years(spark, sf):
+def q_scan_snapshot_window(spark, sf):
     root = new_path(spark, "corpus")
     sinks.write_corpus(corpus(spark, sf), root)
-    return scan_snapshot_years(spark, root, 1995, 1999)
+    return scan_snapshot_window(spark, root, date(1995, 3, 1), date(1999, 10, 15))
+
+
+@query("append_corpus", C + f"select {corpus_columns()} from corpus")
+def q_append_corpus(spark, sf):
+    root, rows = new_path(spark, "corpus"), keyed_corpus(spark, sf)
+    for part in range(3):
+        sinks.append_corpus(rows.where(F.col("doc_id") % 3 == part), root)
+    return scan_snapshot(spark, root)
 
 
 STEM_SQL = "case " + " ".join(
