@@ -76,12 +76,11 @@ def _after_ampersand(part: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Replace character references; text without '&' passes untouched."""
-    parts = F.split(text, "&")
-    decoded = F.concat(
-        F.get(parts, F.lit(0)),
-        F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _after_ampersand), ""),
+    decoded = F.transform(
+        F.split(text, "&"),
+        lambda part, place: F.when(place == 0, part).otherwise(_after_ampersand(part)),
     )
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
 def html_to_text(html: Column) -> Column:

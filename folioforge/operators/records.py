@@ -37,6 +37,20 @@ def normalize_schema(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*fixed, *keep)
 
 
+def typed_view(corpus: DataFrame) -> DataFrame:
+    """The corpus with typed dates and times, and lists as arrays; what is not a date or
+    time becomes null. Comparisons on stored text and on this view can differ."""
+    lists = ("commissioners", "spokespersons", "policy_areas", "policy_codes")
+    return corpus.withColumns(
+        {
+            "date": F.col("date").try_cast("date"),
+            "publish_datetime": F.col("publish_datetime").try_cast("timestamp"),
+            "scraped_at": F.col("scraped_at").try_cast("timestamp"),
+            **{name: X.split_list(F.col(name)) for name in lists},
+        }
+    )
+
+
 def migrate_legacy(df: DataFrame) -> DataFrame:
     """Map a predecessor layout to today's names; a newer value wins where it is set."""
     columns = set(df.columns)

@@ -24,7 +24,7 @@ from folioforge.operators.records import (
     rebuild_retry_summary,
 )
 from folioforge.operators.windows import month_windows, overlap_range
-from folioforge.schema import Site
+from folioforge.schema import Site, scope_types
 from folioforge.session import stage
 from folioforge.sources.landed import (
     COMPLETE,
@@ -311,6 +311,7 @@ def run_summary(
     status = F.col("status")
     done = windows.agg(F.count_if(status == COMPLETE).alias("n"))
     failed = windows.agg(F.count_if(status == FAILED).alias("n"))
+    held_back = windows.agg(F.count_if(status == "pending").alias("n"))
     left = window_ledger.agg(F.count("*").alias("n"))
     refs = ref_ledger.agg(F.count("*").alias("n"))
     return counted.select(
@@ -319,6 +320,7 @@ def run_summary(
         failed.scalar().alias("failed_window_attempts"),
         left.scalar().alias("pending_windows"),
         refs.scalar().alias("pending_refs"),
+        (held_back.scalar() > 0).alias("limit_reached"),
     ).withColumn("partial", (F.col("pending_windows") > 0) | (F.col("pending_refs") > 0))
 
 
@@ -358,6 +360,25 @@ def save_run(corpus: DataFrame, run: Run, root: str) -> str:
     return write_corpus(merged_corpus(corpus, run), root)
 
 
+def update_scope(recorded: str | None, requested: str | None = None, full: bool = False) -> str:
+    """Scope of an update. A dataset keeps the scope it was created with.
+
+    ``recorded`` is the scope of an existing dataset, None when there is none yet.
+    """
+    if requested is not None:
+        scope_types(requested)
+        if not full:
+            raise ValueError("a scope can only be chosen for a full update")
+    if not full:
+        if recorded is None:
+            raise ValueError("there is no dataset to update; ask for a full update")
+        return recorded
+    chosen = requested or "active"
+    if recorded not in (None, chosen):
+        raise ValueError(f"the dataset has scope {recorded}; {chosen} needs a new dataset")
+    return chosen
+
+
 def update_windows(corpus: DataFrame, until: date, since: date | None = None, full: bool = False) -> DataFrame:
     """Month windows of a top-up, newest first."""
     return month_windows(overlap_range(corpus, until, since, full))

@@ -96,6 +96,7 @@ def test_a_limit_leaves_the_rest_queued(spark):
     ]
     first = world.run([MARCH, FEBRUARY, JANUARY], landed, {}, limit=1)
     assert (first.new_documents, first.completed_windows, first.pending_windows) == (1, 1, 2)
+    assert first.limit_reached
     assert world.ids() == ["ip_20_2"] and world.pending() == [JANUARY, FEBRUARY]
 
     second = world.run([], landed, {}, limit=1)
@@ -204,3 +205,12 @@ def test_a_reference_changed_by_its_detail_keeps_the_requested_id(spark):
     world = World(spark)
     world.run([JANUARY], [page(JANUARY, [summary("IP/20/1")])], {"IP/20/1": detail("IP/20/9")})
     assert world.ids() == ["ip_20_9"]
+
+
+def test_a_dataset_keeps_its_scope():
+    assert U.update_scope(None, None, full=True) == "active"
+    assert U.update_scope(None, "all", full=True) == "all"
+    assert U.update_scope("all") == "all"
+    for arguments in (("all", "active", True), ("all", None, True), ("all", "all", False), (None, None, False), (None, "x", True)):
+        with pytest.raises(ValueError):
+            U.update_scope(*arguments)

@@ -92,6 +92,24 @@ def q_migrate_legacy(spark, sf):
     return records.migrate_legacy(legacy_corpus(spark, sf))
 
 
+@query(
+    "typed_view",
+    C + """select document_id, cast(try_cast(date as date) as varchar) as date,
+      epoch(try_cast(replace(publish_datetime, 'Z', '') as timestamp)) as published,
+      cast(len([x for x in string_split(coalesce(commissioners, ''), '; ') if x <> '']) as integer) as people,
+      case when policy_areas is null then '' else policy_areas end as areas from corpus""",
+)
+def q_typed_view(spark, sf):
+    typed = records.typed_view(corpus(spark, sf))
+    return typed.select(
+        "document_id",
+        F.col("date").cast("string").alias("date"),
+        F.unix_timestamp("publish_datetime").cast("double").alias("published"),
+        F.size("commissioners").alias("people"),
+        F.array_join("policy_areas", "; ").alias("areas"),
+    )
+
+
 @query("coerce_boolean", f"select doc_id, {BOOLEAN_SQL} as flag from documents")
 def q_coerce_boolean(spark, sf):
     words = table(spark, sf, "documents").select("doc_id", F.expr(BOOLEAN_WORDS).alias("word"))

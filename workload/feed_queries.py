@@ -376,7 +376,7 @@ def q_run_rows(spark, sf):
 
 @query(
     "run_summary",
-    RUN + """select *, pending_windows > 0 or pending_refs > 0 as partial from (select
+    RUN + """select *, pending_windows > 0 or pending_refs > 0 as partial, false as limit_reached from (select
         (select count(*) from added) as new_documents,
         (select count(*) from recovered where result = 'ok') as recovered_details,
         (select count(*) from added where outcome = 'permanently_empty')
