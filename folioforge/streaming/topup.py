@@ -6,11 +6,14 @@ own part of the corpus, so nothing stored is ever rewritten.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioforge.operators.merge import first_wins, keep_last
+from folioforge.session import stage
 from folioforge.sources.files import exists
 
 
@@ -25,6 +28,27 @@ def read_parts(spark: SparkSession, root: str, schema: T.StructType, before: int
     return parts.drop("part")
 
 
+def _consume(
+    spark: SparkSession,
+    landed: str,
+    schema: T.StructType,
+    files_per_batch: int,
+    checkpoint: str,
+    on_batch: Callable[[DataFrame, int], None],
+) -> None:
+    """Run ``on_batch`` over all files that have landed and not been seen yet."""
+    (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(landed)
+        .writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
 def incremental_update(
     spark: SparkSession,
     landed: str,
@@ -35,34 +59,28 @@ def incremental_update(
     key: str,
     order: list[str],
     files_per_batch: int = 1000,
+    landed_schema: T.StructType | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> None:
     """Consume all files that have landed, insert-only by ``key``.
 
-    A batch replayed after a failure overwrites its own part and looks only at earlier
-    parts, so the outcome is the same however often it runs. Documents that are landed
-    again, or late, meet the stored identifiers and change nothing.
+    ``prepare`` turns landed rows into rows of ``schema`` where the two differ, for
+    example landed search pages into summaries. A batch replayed after a failure
+    overwrites its own part and looks only at earlier parts, so the outcome is the same
+    however often it runs. Documents that are landed again, or late, meet the stored
+    identifiers and change nothing.
     """
 
     def add_new(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_wins(batch, order, key)
+        # Staged, the batch is read and prepared once and its size is known: a small one
+        # is broadcast to the scan of stored identifiers, which is then not shuffled.
+        fresh = stage(first_wins(prepare(batch), order, key).select(*schema.names), "landed")
         stored = read_parts(batch.sparkSession, root, schema, before=batch_id)
-        # Cut the stored identifiers down to those in this batch: the batch is the small
-        # side and can be broadcast, so stored parts are scanned but not shuffled.
-        known = stored.select(key).join(batch.select(key), key, "left_semi")
-        fresh.join(known, key, "left_anti").select(*schema.names).write.mode(
-            "overwrite"
-        ).parquet(f"{root}/part={batch_id}")
-
-    query = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(landed)
-        .writeStream.foreachBatch(add_new)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        known = stored.select(key).join(fresh.select(key), key, "left_semi")
+        new = fresh.join(known, key, "left_anti").select(*schema.names)
+        new.write.mode("overwrite").parquet(f"{root}/part={batch_id}")
+
+    _consume(spark, landed, landed_schema or schema, files_per_batch, checkpoint, add_new)
 
 
 def stream_latest(
@@ -87,16 +105,7 @@ def stream_latest(
             f"{root}/part={batch_id}"
         )
 
-    query = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(landed)
-        .writeStream.foreachBatch(add_last)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _consume(spark, landed, schema, files_per_batch, checkpoint, add_last)
     return keep_last(read_parts(spark, root, schema), order, key)
 
 

@@ -11,11 +11,20 @@ from folioforge.session import new_path
 from folioforge.sources import ledgers as LG
 from folioforge.sources import release, sinks
 from folioforge.sources.corpus import scan_snapshot, scan_snapshot_window
+from folioforge.sources.landed import ingest_search_pages
 from folioforge.streaming import topup
 from workload.archive_queries import MONTHS_DUCK, months, with_duck
 from workload.corpus_queries import sql_list
 from workload.registry import query
-from workload.views import corpus, corpus_columns, dates_as_text, duck_views, keyed_corpus, table
+from workload.views import (
+    corpus,
+    corpus_columns,
+    dates_as_text,
+    duck_views,
+    keyed_corpus,
+    landed_pages,
+    table,
+)
 
 C = duck_views("corpus")
 
@@ -140,7 +149,15 @@ def q_write_ref_ledger(spark, sf):
 # --- Release files -----------------------------------------------------------
 
 
-@query("verify_files")
+TABLES = ("benchmark conversations customer documents embeddings events labels lineitem nation orders "
+          "pages part region supplier").split()
+
+
+@query(
+    "verify_files",
+    "select name || '.parquet' as file_name, case name when 'nation' then 'unlisted' when 'region' then 'digest mismatch' "
+    "when 'part' then 'size mismatch' else 'verified' end as verdict from (select unnest([" + sql_list(TABLES) + "]) as name) t",
+)
 def q_verify_files(spark, sf):
     """Digests of this scale's files against a manifest with one wrong entry."""
     digests = release.file_digests(spark, sf)
@@ -180,7 +197,7 @@ def q_validate_manifest(spark, sf):
 
 
 def event_files(spark, sf):
-    """Events as several files, by day group, with a copy of each third event landing late."""
+    """Events in several landed files, and a copy of each third event to land later."""
     events = table(spark, sf, "events").select(
         "event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")
     )
@@ -195,7 +212,7 @@ ORDER = ["ts", "event_type"]
 
 @query("incremental_update", "select event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts from events")
 def q_incremental_update(spark, sf):
-    landed, events, late = event_files(spark, sf)
+    landed, events, _ = event_files(spark, sf)
     root, checkpoint = new_path(spark, "stream"), new_path(spark, "stream-state")
     options = {"key": "event_id", "order": ORDER, "files_per_batch": 1}
     topup.incremental_update(spark, landed, root, checkpoint, events.schema, **options)
@@ -226,3 +243,23 @@ def q_stream_dedup(spark, sf):
         spark, landed, root, checkpoint, events.schema, key="user_id", order=[*ORDER, "event_id"], files_per_batch=1
     )
     return latest.select("user_id", "event_id", "event_type")
+
+
+@query(
+    "stream_ingest",
+    duck_views("feed", "totals", "pg") + """select lower(replace(trim(ref), '/', '_')) as requested_id, min(event_date) as event_date,
+        min(lang) as language_code from feed f
+      where exists (select 1 from pg where pg.w = f.w and pg.page_no = f.page_no and page_ok) group by 1""",
+)
+def q_stream_ingest(spark, sf):
+    """Landed search pages, streamed from several files into summaries, each document once."""
+    landed, root, checkpoint = (new_path(spark, name) for name in ("pages", "stream", "stream-state"))
+    bodies = landed_pages(spark, sf)
+    bodies.repartition(3, "date_from", "page_no").write.parquet(landed)
+    order = ["date_from", "variant_no", "page_no", "pos"]
+    schema = ingest_search_pages(bodies).select("requested_id", "event_date", "language_code").schema
+    topup.incremental_update(
+        spark, landed, root, checkpoint, schema, key="requested_id", order=order, files_per_batch=1,
+        landed_schema=bodies.schema, prepare=ingest_search_pages,
+    )
+    return topup.read_parts(spark, root, schema)
