@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as X
 from folioforge.functions import variants as V
-from folioforge.functions.html import html_to_text
 from folioforge.schema import (
     COMMISSION_SOURCE,
     CORPUS_SCHEMA,
@@ -81,55 +80,44 @@ def flatten_record(
     site: Site,
     *,
     scraped_at: str | None = None,
-    keep_html: bool = False,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Corpus rows from summaries with their (possibly absent) detail ``payload``.
+    """Corpus rows from summaries with their ``detail``, a struct that may be null.
 
     Every field falls back on its own: detail value, else summary value, else empty.
-    A row without payload is a partial record with ``detail_ok`` false.
+    A row without detail is a partial record with ``detail_ok`` false.
     """
-    payload = F.col("payload")
     now = F.date_format(F.current_timestamp(), ISO_UTC)
     stamp = now if scraped_at is None else F.lit(scraped_at)
-    reference = X.strip(X.first_filled(V.text(payload, "refCd"), F.col("ref_code")))
-    contacts = F.transform(
-        V.items(payload, "contactsResource"),
-        lambda c: X.contact_label(
-            V.text(c, "firstName"), V.text(c, "lastName"), V.text(c, "title")
-        ),
-    )
+    reference = X.strip(X.first_filled(F.col("detail.reference"), F.col("ref_code")))
     named = attached.select(
         "*",
         reference.alias("_reference"),
         X.record_language(F.col("language_code"), F.lit(site.language)).alias("_language"),
-        V.text(payload, "docuLanguageResource", "htmlContent").alias("_html"),
     )
-    doc_id = X.document_id(F.col("_reference"))
+    language, doc_id = F.col("_language"), X.document_id(F.col("_reference"))
     return named.select(
         doc_id.alias("document_id"),
         F.col("_reference").alias("reference"),
-        X.first_filled(V.text(payload, "docutypeResource", "code"), F.col("type_code")).alias("doc_type"),
-        X.first_filled(
-            V.text(payload, "docutypeResource", "description"), F.col("type_name")
-        ).alias("doc_type_name"),
-        X.first_filled(V.text(payload, "docuLanguageResource", "title"), F.col("title")).alias("title"),
-        X.nullable(V.text(payload, "docuLanguageResource", "subtitle")).alias("subtitle"),
+        X.first_filled(F.col("detail.doc_type"), F.col("type_code")).alias("doc_type"),
+        X.first_filled(F.col("detail.doc_type_name"), F.col("type_name")).alias("doc_type_name"),
+        X.first_filled(F.col("detail.title"), F.col("title")).alias("title"),
+        "detail.subtitle",
         X.nullable(F.col("lead_text")).alias("summary"),
-        X.first_filled(V.text(payload, "eventDate"), F.col("event_date")).alias("date"),
-        X.nullable(V.text(payload, "publishDate")).alias("publish_datetime"),
-        X.nullable(V.text(payload, "placeResource", "description")).alias("place"),
-        F.col("_language").alias("language"),
-        X.nullable(V.text(payload, "originalLanguage")).alias("original_language"),
-        X.join_nonempty(V.texts(payload, "commissionerResource", "shortDescription")).alias("commissioners"),
-        X.join_nonempty(contacts).alias("spokespersons"),
-        X.join_nonempty(V.texts(payload, "policiesResource", "description")).alias("policy_areas"),
-        X.join_nonempty(V.texts(payload, "policiesResource", "code")).alias("policy_codes"),
-        html_to_text(F.col("_html")).alias("full_text"),
-        (X.nullable(F.col("_html")) if keep_html else F.lit(None).cast("string")).alias("html"),
-        X.detail_url(site.base_url, F.col("_language"), doc_id).alias("url"),
-        X.pdf_url(site.base_url, F.col("_language"), doc_id, F.col("_reference")).alias("pdf_url"),
-        payload.isNotNull().alias("detail_ok"),
+        X.first_filled(F.col("detail.date"), F.col("event_date")).alias("date"),
+        "detail.publish_datetime",
+        "detail.place",
+        language.alias("language"),
+        "detail.original_language",
+        "detail.commissioners",
+        "detail.spokespersons",
+        "detail.policy_areas",
+        "detail.policy_codes",
+        F.coalesce("detail.full_text", F.lit("")).alias("full_text"),
+        "detail.html",
+        X.detail_url(site.base_url, language, doc_id).alias("url"),
+        X.pdf_url(site.base_url, language, doc_id, F.col("_reference")).alias("pdf_url"),
+        F.col("detail").isNotNull().alias("detail_ok"),
         stamp.alias("scraped_at"),
         *carry,
     )
@@ -156,6 +144,7 @@ def rebuild_retry_summary(ledger: DataFrame, latest: DataFrame) -> DataFrame:
 
     entries = ledger.select(
         "reference",
+        "summary_json",
         X.document_id(F.col("reference")).alias("requested_id"),
         F.coalesce(V.parse_object(X.strip(F.col("summary_json"))), F.parse_json(F.lit("{}"))).alias(
             "_summary_object"
@@ -172,4 +161,5 @@ def rebuild_retry_summary(ledger: DataFrame, latest: DataFrame) -> DataFrame:
         kept("type_name", F.col("_doc_type_name"), "docutype", "docutype", "description"),
         kept("language_code", F.col("_language"), "languageCode"),
         F.coalesce("_detail_ok", F.lit(False)).alias("already_complete"),
+        "summary_json",
     )

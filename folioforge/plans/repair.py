@@ -30,6 +30,7 @@ def audit_repair(
     verification_pages: DataFrame,
     site: Site,
     *,
+    pending: DataFrame | None = None,
     ref_ledger: DataFrame | None = None,
     scraped_at: str | None = None,
 ) -> Repair:
@@ -37,7 +38,7 @@ def audit_repair(
 
     A window that is still deficient becomes ``reconciled`` when it was processed, added
     nothing, and a second, later enumeration lists stored documents only: its count then
-    includes entries that cannot be retrieved.
+    includes entries that cannot be retrieved. ``pending`` windows stay in the ledger.
     """
     spark = corpus.sparkSession
     deficient = stage(
@@ -52,7 +53,7 @@ def audit_repair(
         landed_pages,
         landed_details,
         requested,
-        requested.limit(0),
+        requested.limit(0) if pending is None else pending,
         spark.createDataFrame([], REF_LEDGER_SCHEMA) if ref_ledger is None else ref_ledger,
         site,
         retry_pending=False,

@@ -44,6 +44,8 @@ from folioforge.sources.sinks import append_corpus, write_corpus
 
 # What a batch keeps beside the corpus columns.
 BATCH_COLUMNS = ("requested_id", "outcome", "reference_key", "summary_json")
+# Up to this many summaries (some 100 MB) are broadcast to the scan of the details.
+FEW_SUMMARIES = 1_000_000
 # Where a row stood in the queue: later rows win over earlier ones.
 ARRIVAL = ("queue_key", "page_key", "pos")
 
@@ -67,23 +69,38 @@ class Run:
     summary: DataFrame  # one row
 
 
-def attach_detail(summaries: DataFrame, details: DataFrame, language: str = "en") -> DataFrame:
+def wanted_details(details: DataFrame, staged: DataFrame, language: str = "en") -> DataFrame:
+    """The landed details that some staged summaries may ask for.
+
+    A few summaries are broadcast, so that only their bodies are parsed. For many, which
+    is the case when an archive is built, details are parsed as they are scanned: they
+    were landed for these summaries, and parsed ones are smaller to shuffle. Counting a
+    staged table reads no rows.
+    """
+    if staged.count() > FEW_SUMMARIES:
+        return details
+    keys = staged.select(
+        F.col("ref_code").alias("reference"),
+        record_language(F.col("language_code"), F.lit(language)).alias("language"),
+    )
+    return details.join(F.broadcast(keys), ["reference", "language"], "left_semi")
+
+
+def attach_detail(
+    summaries: DataFrame, details: DataFrame, language: str = "en", keep_html: bool = False
+) -> DataFrame:
     """Each summary with the detail landed for its reference and language, if any.
 
-    Bodies are joined as they are and read afterwards, so only wanted ones are parsed.
     A summary without a landed detail counts as a transient failure.
     """
     keyed = summaries.withColumn(
         "_language", record_language(F.col("language_code"), F.lit(language))
     )
-    landed = details.select(
-        F.col("reference").alias("ref_code"),
-        F.col("language").alias("_language"),
-        "http_status",
-        "body",
+    landed = read_details(details, keep_html).select(
+        F.col("reference").alias("ref_code"), F.col("language").alias("_language"), "outcome", "detail"
     )
     joined = keyed.join(landed, ["ref_code", "_language"], "left").drop("_language")
-    return read_details(joined)
+    return joined.withColumn("outcome", F.coalesce("outcome", F.lit(TRANSIENT)))
 
 
 def process_batch(
@@ -96,12 +113,11 @@ def process_batch(
     carry: tuple[str, ...] = (),
 ) -> Batch:
     """Full or partial rows for summaries, and the outcome per reference."""
-    attached = attach_detail(summaries, details, site.language)
+    attached = attach_detail(summaries, details, site.language, keep_html)
     rows = flatten_record(
-        attached.withColumnRenamed("ref_code", "reference_key").withColumn("ref_code", F.col("reference_key")),
+        attached.withColumn("reference_key", F.col("ref_code")),
         site,
         scraped_at=scraped_at,
-        keep_html=keep_html,
         carry=(*BATCH_COLUMNS, *carry),
     )
     staged = stage(rows, "batch")
@@ -125,21 +141,20 @@ def retry_pass(
     two middle ones; they replace the partial rows of their documents.
     """
     latest = L.ledger_latest(ledger, corpus)
-    entries = rebuild_retry_summary(ledger, latest).join(
-        ledger.select("reference", "summary_json"), "reference"
+    rebuilt = rebuild_retry_summary(ledger, latest)
+    # A detail is asked for under the ledger's reference, whatever the summary says.
+    entries = stage(
+        rebuilt.withColumn("own_ref", F.col("ref_code")).withColumn("ref_code", F.col("reference")),
+        "retry-entries",
     )
-    # A detail was requested under the ledger reference itself.
-    wanted = entries.withColumn("_summary_ref", F.col("ref_code")).withColumn(
-        "ref_code", F.col("reference")
-    )
-    attached = attach_detail(wanted, details, site.language).withColumn(
+    landed = wanted_details(details, entries, site.language)
+    attached = attach_detail(entries, landed, site.language, keep_html).withColumn(
         "outcome", F.when(F.col("already_complete"), "stale").otherwise(F.col("outcome"))
     )
     rows = flatten_record(
-        attached.withColumn("ref_code", F.col("_summary_ref")).withColumnRenamed("reference", "reference_key"),
+        attached.withColumn("ref_code", F.col("own_ref")).withColumnRenamed("reference", "reference_key"),
         site,
         scraped_at=scraped_at,
-        keep_html=keep_html,
         carry=BATCH_COLUMNS,
     )
     staged = stage(rows, "retry")
@@ -235,7 +250,7 @@ def run_windows(
 
     batch = process_batch(
         selected,
-        landed_details,
+        wanted_details(landed_details, unique, site.language),
         site,
         scraped_at=scraped_at,
         keep_html=keep_html,

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions import variants as V
-from folioforge.functions.text import document_id, strip
+from folioforge.functions.html import html_to_text
+from folioforge.functions.text import contact_label, document_id, join_nonempty, nullable, strip
 from folioforge.operators.merge import keep_last
 from folioforge.operators.ordered import running_total
 
@@ -185,7 +186,7 @@ def classify_detail(status: Column, body: Column) -> Column:
     return _outcome(status, strip(body), V.parse_object(strip(body)))
 
 
-def read_details(details: DataFrame) -> DataFrame:
+def detail_payloads(details: DataFrame) -> DataFrame:
     """Details with their outcome; the parsed ``payload`` is kept for ``ok`` only."""
     kept = [c for c in details.columns if c not in ("body", "http_status")]
     trimmed = details.select(*kept, "http_status", strip(F.col("body")).alias("body"))
@@ -196,3 +197,37 @@ def read_details(details: DataFrame) -> DataFrame:
         _outcome(F.col("http_status"), F.col("body"), F.col("payload")).alias("outcome"),
     )
     return judged.withColumn("payload", F.when(F.col("outcome") == OK, F.col("payload")))
+
+
+def read_details(details: DataFrame, keep_html: bool = False) -> DataFrame:
+    """Details with their outcome and, for ``ok``, the fields of a record as ``detail``.
+
+    Bodies are reduced to plain fields here, where they are scanned, so that a join
+    moves the text of a document and not its JSON and HTML.
+    """
+    judged = detail_payloads(details)
+    payload = F.col("payload")
+    html = V.text(payload, "docuLanguageResource", "htmlContent")
+    contacts = F.transform(
+        V.items(payload, "contactsResource"),
+        lambda c: contact_label(V.text(c, "firstName"), V.text(c, "lastName"), V.text(c, "title")),
+    )
+    fields = F.struct(
+        V.text(payload, "refCd").alias("reference"),
+        V.text(payload, "docutypeResource", "code").alias("doc_type"),
+        V.text(payload, "docutypeResource", "description").alias("doc_type_name"),
+        V.text(payload, "docuLanguageResource", "title").alias("title"),
+        nullable(V.text(payload, "docuLanguageResource", "subtitle")).alias("subtitle"),
+        V.text(payload, "eventDate").alias("date"),
+        nullable(V.text(payload, "publishDate")).alias("publish_datetime"),
+        nullable(V.text(payload, "placeResource", "description")).alias("place"),
+        nullable(V.text(payload, "originalLanguage")).alias("original_language"),
+        join_nonempty(V.texts(payload, "commissionerResource", "shortDescription")).alias("commissioners"),
+        join_nonempty(contacts).alias("spokespersons"),
+        join_nonempty(V.texts(payload, "policiesResource", "description")).alias("policy_areas"),
+        join_nonempty(V.texts(payload, "policiesResource", "code")).alias("policy_codes"),
+        html_to_text(html).alias("full_text"),
+        (nullable(html) if keep_html else F.lit(None).cast("string")).alias("html"),
+    )
+    kept = [c for c in judged.columns if c != "payload"]
+    return judged.select(*kept, F.when(payload.isNotNull(), fields).alias("detail"))

@@ -85,3 +85,16 @@ def test_a_failed_repair_stays_deficient(spark):
     repair = audit_repair(stored, audit, landed, details(spark, {}), api, fine, SITE, scraped_at="fixed")
     assert repair.windows.first().status == "deficient"
     assert [(r.date_from, r.date_to) for r in repair.run.window_ledger.collect()] == [JANUARY]
+
+
+def test_pending_windows_stay_in_the_ledger_during_a_repair(spark):
+    stored = corpus(spark, [("ip_20_1", "2020-01-15")])
+    api = counts(spark, january=2)
+    audit = A.reconcile_windows(window_rows(spark, JANUARY), api, stored)
+    landed = pages(spark, page(JANUARY, [summary("IP/20/1"), summary("IP/20/2")]), page(MARCH, [summary("IP/20/3")]))
+    repair = audit_repair(
+        stored, audit, landed, details(spark, {}), api, landed, SITE,
+        pending=window_rows(spark, MARCH), scraped_at="fixed",
+    )
+    assert [(r.date_from, r.date_to) for r in repair.run.window_ledger.collect()] == [MARCH]
+    assert sorted(r.document_id for r in repair.corpus.collect()) == ["ip_20_1", "ip_20_2"]

@@ -121,4 +121,4 @@ def test_detail_outcomes(spark, code, body, want):
     row = spark.createDataFrame([(code, body)], "http_status int, body string")
     got = row.select(L.classify_detail(F.col("http_status"), F.col("body")).alias("o")).first().o
     read = L.read_details(row).first()
-    assert (got, read.outcome, read.payload is not None) == (want, want, want == "ok")
+    assert (got, read.outcome, read.detail is not None) == (want, want, want == "ok")

@@ -131,3 +131,14 @@ def test_ledger_entries_of_complete_documents_are_resolved(spark):
         [("ip_1", True), ("ip_2", None), ("other", True)], "document_id string, detail_ok boolean"
     )
     assert sorted(r.reference for r in L.unresolved_refs(ledger, corpus).collect()) == ["IP/2", "IP/3"]
+
+
+def test_no_pending_window_is_ever_lost(spark):
+    """Ledger after a run = (pending or requested) minus exactly the completed ones."""
+    random.seed(11)
+    spans = [(date(2020, m, d), date(2020, m, 28)) for m in range(1, 13) for d in (1, 9)]
+    for _ in range(4):
+        pending, requested, done = (set(random.sample(spans, k)) for k in (6, 10, 7))
+        ledger = L.window_ledger(windows(spark, *pending), windows(spark, *requested))
+        left = L.resolve_windows(ledger, windows(spark, *done)).collect()
+        assert sorted((r.date_from, r.date_to) for r in left) == sorted((pending | requested) - done)

@@ -19,9 +19,9 @@ def listed(spark, *summaries):
     return ingest_search_pages(pages(spark, page(JANUARY, list(summaries))))
 
 
-def record(spark, entry, bodies, **options):
-    attached = attach_detail(listed(spark, entry), details(spark, bodies))
-    return flatten_record(attached, SITE, scraped_at="fixed", **options).first()
+def record(spark, entry, bodies, keep_html=False):
+    attached = attach_detail(listed(spark, entry), details(spark, bodies), keep_html=keep_html)
+    return flatten_record(attached, SITE, scraped_at="fixed").first()
 
 
 def test_full_record(spark):

@@ -192,6 +192,18 @@ def test_a_run_is_appended_unless_it_replaces_rows(spark, tmp_path):
     assert (third, rows) == ("snapshot=2", {"ip_20_1": True, "ip_20_2": True})
 
 
+def test_few_and_many_summaries_give_the_same_rows(spark, monkeypatch):
+    landed = [page(JANUARY, [summary(f"IP/20/{n}") for n in range(5)])]
+    answers = {f"IP/20/{n}": detail(f"IP/20/{n}") for n in (0, 2, 4, 7)}
+    few = World(spark)
+    few.run([JANUARY], landed, answers)
+    monkeypatch.setattr(U, "FEW_SUMMARIES", 2)
+    many = World(spark)
+    many.run([JANUARY], landed, answers)
+    assert sorted(map(tuple, few.corpus.collect())) == sorted(map(tuple, many.corpus.collect()))
+    assert many.pending_refs() == ["IP/20/1", "IP/20/3"]
+
+
 def test_fixed_references(spark):
     stored = normalize_schema(spark.createDataFrame([("ip_1",)], "document_id string"))
     wanted = spark.createDataFrame([(" ip/1",), ("ip/2 ",), ("IP/2",), ("IP/3",)], "reference string")

@@ -134,7 +134,7 @@ def q_classify_detail(spark, sf):
 @query("attach_detail", FLAT_DUCK + "select document_id as requested_id, outcome, detail_ok as has_payload from flat")
 def q_attach_detail(spark, sf):
     attached = U.attach_detail(listed(spark, sf), landed_details(spark, sf))
-    return attached.select("requested_id", "outcome", F.col("payload").isNotNull().alias("has_payload"))
+    return attached.select("requested_id", "outcome", F.col("detail").isNotNull().alias("has_payload"))
 
 
 @query("flatten_record", FLAT_DUCK + f"select {corpus_columns()} from flat")
@@ -161,13 +161,7 @@ def q_partial_record(spark, sf):
 )
 def q_policy_lists(spark, sf):
     read = LD.read_details(landed_details(spark, sf)).where("outcome = 'ok'")
-    payload = F.col("payload")
-    return read.select(
-        "reference",
-        X.join_nonempty(V.texts(payload, "policiesResource", "description")).alias("policy_areas"),
-        X.join_nonempty(V.texts(payload, "policiesResource", "code")).alias("policy_codes"),
-        X.join_nonempty(V.texts(payload, "commissionerResource", "shortDescription")).alias("commissioners"),
-    )
+    return read.select("reference", "detail.policy_areas", "detail.policy_codes", "detail.commissioners")
 
 
 @query(
@@ -176,7 +170,7 @@ def q_policy_lists(spark, sf):
         case doc_id % 5 when 1 then 2 when 2 then 2 when 3 then 0 end as contacts from detail where outcome = 'ok'""",
 )
 def q_type_guard(spark, sf):
-    read = LD.read_details(landed_details(spark, sf)).where("outcome = 'ok'")
+    read = LD.detail_payloads(landed_details(spark, sf)).where("outcome = 'ok'")
     return read.select(
         "reference",
         V.text(F.col("payload"), "placeResource", "description").alias("place"),
@@ -255,7 +249,7 @@ def q_scan_ledgers(spark, sf):
 )
 def q_rebuild_retry_summary(spark, sf):
     ledger, corpus = ref_ledger(spark, sf), stored_feed(spark, sf)
-    return rebuild_retry_summary(ledger, L.ledger_latest(ledger, corpus))
+    return rebuild_retry_summary(ledger, L.ledger_latest(ledger, corpus)).drop("summary_json")
 
 
 @query("ledger_latest", LEDGER_DUCK + "select id as document_id, 'Stored' as title, stored_ok as detail_ok from ledger where stored")
@@ -496,9 +490,8 @@ def q_audit_repair(spark, sf):
 
 def complete_feed(spark, sf):
     """A corpus that holds every listed document already."""
-    return flatten_record(
-        listed(spark, sf).withColumn("payload", F.parse_json(F.lit("{}"))), SITE, scraped_at=SCRAPED_AT
-    )
+    nothing = landed_details(spark, sf).where("reference is null")
+    return flatten_record(U.attach_detail(listed(spark, sf), nothing), SITE, scraped_at=SCRAPED_AT)
 
 
 @query(

@@ -97,7 +97,7 @@ def q_export_csv(spark, sf):
 @query(
     "write_metadata",
     C + """select (select count(*) from corpus) as total_documents, (select max(date) from corpus where date <> '') as cutoff,
-      'active' as scope, 'abc' as config_hash, '2026.05' as dataset_version, 2 as failed_window_count,
+      'active' as scope, 'abc' as config_hash, '2026.05' as dataset_version, cast(2 as bigint) as failed_window_count,
       (select count(*) from documents where doc_id % 9 = 1) as failed_ref_count,
       '2026-05-08T00:00:00' as last_run,
       '{' || (select string_agg('"' || doc_type || '":' || cast(n as varchar), ',' order by doc_type)
