@@ -17,7 +17,8 @@ def running_total(
     ``totals`` maps new columns to the columns they add up. A key of any size is cut
     into buckets of ``bucket`` consecutive order values. Bucket sums are added up first,
     one row per bucket; rows are then only summed within their bucket, so the longest
-    sorted run is ``bucket`` order values and a hot key spreads over many tasks.
+    sorted run is ``bucket`` order values and a hot key spreads over many tasks. ``df`` is
+    read twice: stage it when it is costly to compute.
     """
     cut = df.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket)))
     grouped = [*keys, "_bucket"]

@@ -108,6 +108,8 @@ def search_ends(facts: DataFrame) -> DataFrame:
     reach the total that this page reports. An unusable or missing page before the end
     makes it incomplete; whatever was landed after the end is ignored.
     ``blank_reference`` tells of a summary without reference on the pages read.
+
+    The facts are read twice; stage them, or the pages they come from, beforehand.
     """
     counted = running_total(
         facts.withColumn("_one", F.lit(1)),

@@ -16,7 +16,7 @@ from folioforge.operators.records import flatten_record, rebuild_retry_summary
 from folioforge.plans import update as U
 from folioforge.plans.repair import audit_repair
 
-from folioforge.session import new_path
+from folioforge.session import new_path, stage
 from folioforge.sources import landed as LD
 from folioforge.sources.corpus import scan_snapshot
 from folioforge.sources.ledgers import repair_ref_ledger
@@ -100,7 +100,8 @@ def q_parse_pages(spark, sf):
 
 @query("page_completeness", READ_DUCK + f"select {SPAN}, status, pages, items from windows_read")
 def q_page_completeness(spark, sf):
-    return dates_as_text(LD.page_completeness(facts(spark, sf)))
+    # Two passes over the facts: staged, so that bodies are parsed once.
+    return dates_as_text(LD.page_completeness(stage(facts(spark, sf), "page-facts")))
 
 
 @query(
@@ -187,8 +188,9 @@ HTML_SPLIT = (
 
 
 def sql_unescape(value: str) -> str:
+    """A reference ends with ';', or where the text ends because a tag follows."""
     for name, text in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        value = f"replace({value}, '&{name};', '{text}')"
+        value = f"regexp_replace({value}, '&{name}(;|$)', '{text}', 'g')"
     return value
 
 
