@@ -351,15 +351,22 @@ def touched_ids(run: Run) -> DataFrame:
     return stage(run.rows.where(retried | renamed).select("document_id").distinct(), "touched")
 
 
-def run_rows(run: Run) -> DataFrame:
-    """Corpus rows of a run, the latest one per document."""
-    return keep_last(normalize_schema(run.rows, keep=ARRIVAL), list(ARRIVAL)).drop(*ARRIVAL)
+def run_rows(run: Run, touched: DataFrame) -> DataFrame:
+    """Corpus rows of a run, the latest one per document.
+
+    Only touched documents can occur twice; all other rows pass without a shuffle.
+    """
+    rows = normalize_schema(run.rows, keep=ARRIVAL)
+    single = rows.join(touched, "document_id", "left_anti")
+    several = keep_last(rows.join(touched, "document_id", "left_semi"), list(ARRIVAL))
+    return single.unionByName(several).drop(*ARRIVAL)
 
 
-def merged_corpus(corpus: DataFrame, run: Run) -> DataFrame:
+def merged_corpus(corpus: DataFrame, run: Run, touched: DataFrame | None = None) -> DataFrame:
     """The corpus after a run: recovered rows replace partial ones, new rows join."""
-    untouched = normalize_schema(corpus).join(touched_ids(run), "document_id", "left_anti")
-    return untouched.unionByName(run_rows(run))
+    touched = touched_ids(run) if touched is None else touched
+    untouched = normalize_schema(corpus).join(touched, "document_id", "left_anti")
+    return untouched.unionByName(run_rows(run, touched))
 
 
 def save_run(corpus: DataFrame, run: Run, root: str) -> str:
@@ -371,8 +378,8 @@ def save_run(corpus: DataFrame, run: Run, root: str) -> str:
     touched = touched_ids(run)
     stored = corpus.select("document_id").join(touched, "document_id", "left_semi")
     if stored.isEmpty():
-        return append_corpus(run_rows(run), root)
-    return write_corpus(merged_corpus(corpus, run), root)
+        return append_corpus(run_rows(run, touched), root)
+    return write_corpus(merged_corpus(corpus, run, touched), root)
 
 
 def update_scope(recorded: str | None, requested: str | None = None, full: bool = False) -> str:

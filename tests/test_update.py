@@ -226,3 +226,17 @@ def test_a_dataset_keeps_its_scope():
     for arguments in (("all", "active", True), ("all", None, True), ("all", "all", False), (None, None, False), (None, "x", True)):
         with pytest.raises(ValueError):
             U.update_scope(*arguments)
+
+
+def test_of_two_requests_for_one_document_the_later_one_wins(spark):
+    world = World(spark)
+    landed = [page(FEBRUARY, [summary("IP/20/1"), summary("IP/20/2")]), page(JANUARY, [summary("IP/20/3")])]
+    answers = {
+        "IP/20/1": detail("IP/20/2", place="x", publishDate="first"),
+        "IP/20/2": detail("IP/20/2", publishDate="second"),
+        "IP/20/3": detail("IP/20/1", publishDate="third"),
+    }
+    world.run([FEBRUARY, JANUARY], landed, answers)
+    assert {r.document_id: r.publish_datetime for r in world.corpus.collect()} == {
+        "ip_20_2": "second", "ip_20_1": "third",
+    }
