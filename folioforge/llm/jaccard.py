@@ -32,9 +32,11 @@ from folioforge.llm.grams import WordHashes, mix, shingles
 from folioforge.session import stage
 
 ORDER_BITS = 14  # groups whose counts put coordinates in order: a table of 16,384 numbers
-DIMS = 64  # coordinates of the points in the R-trees
+DIMS = 256  # coordinates of the points in the R-trees
+HIGHEST = 65_535  # a count this high stands for any higher one
 LEAF = 16  # points of a leaf
 CELL = 2048  # points a cell takes from one block
+SETS = 256  # full sets a cell takes from one block
 FILTER_BITS = 24  # bits of the filter that keeps texts without candidates from being read again
 _FULL = 2**ORDER_BITS
 
@@ -54,8 +56,8 @@ def _sketch(batches):
             counts += np.bincount((grams & np.uint64(_FULL - 1)).astype(np.int64), minlength=_FULL)
             sigs.append(int(mix(grams + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
             sizes.append(len(grams))
-            points.append(np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=DIMS)
-                          .astype("<u4").tobytes() if len(grams) else None)
+            point = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=DIMS)
+            points.append(np.minimum(point, HIGHEST).astype("<u2").tobytes() if len(grams) else None)
         yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_key": batch["text_key"],
                             "sig": sigs, "n": sizes, "point": points,
                             "order_group": pd.array([None] * len(sigs), "Int32"),
@@ -169,7 +171,9 @@ def _candidates(batches):
 
 
 def _points(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<u4").reshape(-1, DIMS)
+    points = np.frombuffer(b"".join(column), "<u2").reshape(-1, DIMS).astype(np.int32)
+    points[points == HIGHEST] = 2**22  # sums over all coordinates still fit
+    return points
 
 
 def _bounded(batches):
@@ -270,13 +274,31 @@ def _verify(batches):
         yield batch.loc[keep, ["a", "b"]]
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) that are links: the bound first, then the full sets."""
-    def end(c, source, *columns):
-        return source.select(F.col("sig").alias(c), *(F.col(x).alias(x[0] + c) for x in columns))
+def _connect(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """Links among the candidate pairs of one cell; pairs that are connected already are skipped."""
+    sets = {sig: np.frombuffer(x, "<u8") for sig, x in zip(members["sig"], members["grams"], strict=True)}
+    root = dict(zip(members["sig"], members["root"], strict=True))
+    up: dict[int, int] = {}
 
-    pairs = pairs.distinct().join(end("a", nodes, "n", "point"), "a").join(end("b", nodes, "n", "point"), "b")
-    pairs = stage(pairs.mapInPandas(_bounded, "a long, b long"), "pairs")
+    def top(x):
+        while up.get(x, x) != x:
+            up[x] = x = up.get(up[x], up[x])
+        return x
+
+    out = []
+    for a, b in zip(pairs["a"], pairs["b"], strict=True):
+        ra, rb = top(root[a]), top(root[b])
+        if ra != rb:
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                up[ra] = rb
+                out.append((a, b))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def _needed_sets(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(sig, grams) of both ends of ``pairs``. The texts are read again; a filter of fixed size
+    leaves most of the others out before they are taken apart, the join leaves out the rest."""
     ends = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
     bit = F.expr(f"text_key & {2**FILTER_BITS - 1}")
     words = (ends.join(nodes.select("sig", "text_key"), "sig").select(bit.alias("bit"))
@@ -287,11 +309,40 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
         table[word] = bits
     sets = (texts.mapInPandas(_sets(table.tobytes()), "sig long, grams binary")
             .join(ends, "sig", "left_semi").dropDuplicates(["sig"]))
-    sets = stage(sets, "sets")
-    joined = pairs.join(end("a", sets, "grams"), "a").join(end("b", sets, "grams"), "b")
+    return stage(sets, "sets")
+
+
+def _end(c: str, source: DataFrame, *columns: str) -> DataFrame:
+    return source.select(F.col("sig").alias(c), *(F.col(x).alias(x[0] + c) for x in columns))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) that are links: the bound first, then the full sets."""
+    pairs = (pairs.distinct().join(_end("a", nodes, "n", "point"), "a")
+             .join(_end("b", nodes, "n", "point"), "b"))
+    pairs = stage(pairs.mapInPandas(_bounded, "a long, b long"), "pairs")
+    sets = _needed_sets(pairs, nodes, texts)
+    joined = pairs.join(_end("a", sets, "grams"), "a").join(_end("b", sets, "grams"), "b")
     return stage(joined.mapInPandas(_verify, "a long, b long"), "links")
 
 
+def _verified_across(pairs: DataFrame, roots: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links among pairs that come in large groups: a set goes to its group's cells once, not with each pair."""
+    groups = components(pairs).withColumnsRenamed({"node": "sig", "root": "family"})
+    sizes = groups.groupBy("family").agg(F.count("*").alias("size"))
+    dealt = stage(cells(groups.join(sizes, "family"), "size", "sig", SETS).drop("size"), "dealt")
+    part = dealt.where("lo = hi").select("sig", "family", "part")
+    pairs = (pairs.join(part.select(F.col("sig").alias("a"), "family", F.col("part").alias("pa")), "a")
+             .join(part.select(F.col("sig").alias("b"), F.col("part").alias("pb")), "b")
+             .select("family", F.least("pa", "pb").alias("lo"), F.greatest("pa", "pb").alias("hi"), "a", "b"))
+    pairs = stage(pairs, "dealt-pairs")
+    labelled = dealt.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
+    members = (labelled.withColumn("root", F.coalesce("root", "sig"))
+               .join(_needed_sets(pairs, nodes, texts), "sig").select("family", "lo", "hi", "sig", "root", "grams"))
+    keys = ("family", "lo", "hi")
+    return stage(pairs.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(_connect, "a long, b long"), "links")
+
+
 def jaccard_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -336,7 +387,7 @@ def jaccard_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
     dealt = cells(members.join(apart, "slab").join(nodes.select("sig", "n", "point"), "sig"), "size", "sig", CELL)
     more = stage(dealt.groupBy("slab", "lo", "hi").applyInPandas(_cell_pairs, "a long, b long").distinct(), "across")
     if not more.isEmpty():
-        roots = components(links.union(_verified(more, nodes, texts)))
+        roots = components(links.union(_verified_across(more, roots, nodes, texts)))
 
     named = nodes.select("sig", "least_id").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     named = named.withColumn("root", F.coalesce("root", "sig"))
