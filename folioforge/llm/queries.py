@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm.jaccard import jaccard_components
+from folioforge.llm.neighbours import near_vectors
 
 QUERIES = {}
 ORACLES = {}
@@ -43,3 +44,18 @@ join (select a, min(b) as component_id from reach group by 1) c on c.a = d.doc_i
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and the smallest id it reaches by links."""
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op10_embedding_near_duplicates", """
+with units as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
+links as (
+  select a.vec_id as a, b.vec_id as b from units a join units b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.9),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join links l on l.a = r.b)
+select e.vec_id, cast(coalesce(n, 0) as bigint) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e left join (select a, count(distinct b) as n from links group by 1) l on l.a = e.vec_id
+join (select a, min(b) as component_id from reach group by 1) c on c.a = e.vec_id""".replace("with", "with recursive", 1))
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links at cosine 0.9 and the smallest id it reaches."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
