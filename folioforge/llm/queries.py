@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm.jaccard import jaccard_components
+from folioforge.llm.lines import line_digest
 from folioforge.llm.neighbours import near_vectors
+from folioforge.llm.shards import shard_documents
 
 QUERIES = {}
 ORACLES = {}
@@ -59,3 +61,26 @@ join (select a, min(b) as component_id from reach group by 1) c on c.a = e.vec_i
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links at cosine 0.9 and the smallest id it reaches."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_line_dedup", """
+with lines as (
+  select doc_id, unnest(x) as line, unnest(range(1, len(x) + 1)) as pos
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents) a),
+keys as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+marked as (
+  select *, length(key) >= 10 and doc_id > min(doc_id) over (partition by key) as goes from keys)
+select doc_id, count(*) as n_lines, cast(sum(cast(goes as int)) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not goes), '')) as kept_sha256
+from marked group by doc_id""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those dropped, and the digest of what stays."""
+    return line_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op1_proportional_interleaving")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot among 16."""
+    return shard_documents(table(spark, sf_dir, "documents"), 16)
