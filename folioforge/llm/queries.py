@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from folioforge.llm.jaccard import jaccard_components
 from folioforge.llm.lines import line_digest
 from folioforge.llm.neighbours import near_vectors
+from folioforge.llm.quality import quality_scores
+from folioforge.llm.secret_scan import duck_sql, secret_digest
 from folioforge.llm.shards import shard_documents
 
 QUERIES = {}
@@ -84,3 +86,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot among 16."""
     return shard_documents(table(spark, sf_dir, "documents"), 16)
+
+
+@query("op9_secret_scan", duck_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets, with the weak parts that others confirm."""
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
