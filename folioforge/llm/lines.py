@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from folioforge.session import stage
 
@@ -53,14 +54,15 @@ def _first_occurrences(batches):
         yield begin
 
 
-def _bitmap(group: pd.DataFrame) -> pd.DataFrame:
-    """The keep bitmap of one document: a bit per line up to the last dropped one, compressed."""
-    at = np.unique(group["at"].to_numpy())
-    keep = np.ones(at[-1] + 1, bool)
-    keep[at] = False
-    packed = zlib.compress(np.packbits(keep, bitorder="little").tobytes())
-    return pd.DataFrame({"doc_id": group["doc_id"].iloc[:1].astype("Int64"), "text_key": group["text_key"].iloc[:1],
-                         "n_bits": [len(keep)], "n_dropped": [len(at)], "keep": [packed]})
+@F.pandas_udf(BinaryType())
+def _bitmap(dropped: pd.Series) -> pd.Series:
+    """A document's keep bitmap: a bit per line up to the last dropped one, compressed."""
+    out = []
+    for at in dropped:
+        keep = np.ones(at.max() + 1, bool)
+        keep[at] = False
+        out.append(zlib.compress(np.packbits(keep, bitorder="little").tobytes(), 1))
+    return pd.Series(out)
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -103,9 +105,10 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
     settled = (edges.where("at >= 0").join(holders, ["line1", "line2"]).where("doc_id <> holder")
                .select("doc_id", "text_key", "at"))
     dropped = held.where("not edge").select("doc_id", "text_key", "at").union(settled)
-    maps = dropped.groupBy("doc_id", "text_key").applyInPandas(
-        _bitmap, "doc_id long, text_key long, n_bits int, n_dropped long, keep binary")
-    return maps.withColumn("doc_id", F.when(F.col("doc_id") != 2**63 - 1, F.col("doc_id")))
+    places = dropped.groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("dropped"))  # of one document
+    return places.select(F.when(F.col("doc_id") != 2**63 - 1, F.col("doc_id")).alias("doc_id"), "text_key",
+                         (F.array_max("dropped") + 1).alias("n_bits"), F.size("dropped").cast("long").alias("n_dropped"),
+                         _bitmap("dropped").alias("keep"))
 
 
 def apply_bitmaps(docs: DataFrame, maps: DataFrame) -> DataFrame:
