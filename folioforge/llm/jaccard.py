@@ -36,7 +36,7 @@ DIMS = 256  # coordinates of the points in the R-trees
 HIGHEST = 65_535  # a count this high stands for any higher one
 LEAF = 16  # points of a leaf
 CELL = 2048  # points a cell takes from one block
-SETS = 256  # full sets a cell takes from one block
+SETS = 1_000_000  # shingles of full sets a cell takes from one block, about
 FILTER_BITS = 24  # bits of the filter that keeps texts without candidates from being read again
 _FULL = 2**ORDER_BITS
 
@@ -186,60 +186,71 @@ def _bounded(batches):
             yield batch.loc[keep, ["a", "b"]]
 
 
-def tree(points: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Levels of a packed R-tree, points first: (coordinate maxima, least size) per node."""
-    levels = [(points, sizes)]
+def tree(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Levels of a packed R-tree, points first: coordinate maxima, least size, first and last root."""
+    levels = [(points, sizes, roots, roots)]
     while len(levels[-1][1]) > 1:
-        maxima, least = levels[-1]
+        maxima, least, first, last = levels[-1]
         starts = np.arange(0, len(least), LEAF)
-        levels.append((np.maximum.reduceat(maxima, starts), np.minimum.reduceat(least, starts)))
+        levels.append((np.maximum.reduceat(maxima, starts), np.minimum.reduceat(least, starts),
+                       np.minimum.reduceat(first, starts), np.maximum.reduceat(last, starts)))
     return levels
 
 
-def tree_pairs(left, right) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of points of two trees that survive the bound at every level."""
-    up, down = len(left) - 1, len(right) - 1
-    i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    while True:
-        keep = []
-        for start in range(0, len(i), 65_536):
-            a, b = i[start : start + 65_536], j[start : start + 65_536]
-            reach = np.minimum(left[up][0][a], right[down][0][b]).sum(1)
-            keep.append(reach >= needed(left[up][1][a], right[down][1][b]))
-        keep = np.concatenate(keep) if keep else np.empty(0, bool)
-        i, j = i[keep], j[keep]
+def tree_pairs(left, right, step: int = 4096):
+    """Pairs (i, j) of points of different components that survive the bound at every level.
+
+    Nodes are opened depth first, ``step`` pairs at a time, so memory stays bounded.
+    """
+    stack = [(len(left) - 1, len(right) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while stack:
+        up, down, i, j = stack.pop()
+        if len(i) > step:
+            stack.append((up, down, i[step:], j[step:]))
+            i, j = i[:step], j[:step]
+        (max1, n1, lo1, hi1), (max2, n2, lo2, hi2) = left[up], right[down]
+        apart = (lo1[i] != hi1[i]) | (lo2[j] != hi2[j]) | (lo1[i] != lo2[j])
+        i, j = i[apart], j[apart]
+        reach = np.minimum(max1[i], max2[j]).sum(1) >= needed(n1[i], n2[j])
+        i, j = i[reach], j[reach]
         if up == down == 0:
-            return i, j
-        if up >= down:
-            up -= 1
-            child = i[:, None] * LEAF + np.arange(LEAF)
-            i, j = child.ravel(), np.repeat(j, LEAF)
-            there = i < len(left[up][1])
-        else:
-            down -= 1
-            child = j[:, None] * LEAF + np.arange(LEAF)
-            j, i = child.ravel(), np.repeat(i, LEAF)
-            there = j < len(right[down][1])
-        i, j = i[there], j[there]
+            yield i, j
+        elif len(i) and up >= down:
+            child = (i[:, None] * LEAF + np.arange(LEAF)).ravel()
+            there = child < len(left[up - 1][1])
+            stack.append((up - 1, down, child[there], np.repeat(j, LEAF)[there]))
+        elif len(i):
+            child = (j[:, None] * LEAF + np.arange(LEAF)).ravel()
+            there = child < len(right[down - 1][1])
+            stack.append((up, down - 1, np.repeat(i, LEAF)[there], child[there]))
 
 
 def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
     """Pairs across components within one cell of a slab, by joining the trees of its two blocks."""
-    same = cell["lo"].iloc[0] == cell["hi"].iloc[0]
     sides = []
-    for part in sorted(cell["part"].unique()):
-        rows = cell[cell["part"] == part].drop_duplicates("sig").sort_values(["n", "sig"])
-        sides.append((rows["sig"].to_numpy(), rows["root"].to_numpy(),
-                      tree(_points(rows["point"]).astype(np.int64), rows["n"].to_numpy().astype(np.int64))))
-    if same:
-        sides = [sides[0], sides[0]]
-    if len(sides) < 2:
-        return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    (sig1, root1, tree1), (sig2, root2, tree2) = sides
-    i, j = tree_pairs(tree1, tree2)
-    keep = (root1[i] != root2[j]) & (sig1[i] != sig2[j])
-    a, b = sig1[i[keep]], sig2[j[keep]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+    for part in sorted({cell["lo"].iloc[0], cell["hi"].iloc[0]}):
+        rows = cell[cell["part"] == part].drop_duplicates("sig").sort_values(["root", "n", "sig"])
+        if len(rows):
+            sig, root = rows["sig"].to_numpy(), rows["root"].to_numpy()
+            sides.append((sig, tree(_points(rows["point"]), rows["n"].to_numpy().astype(np.int64), root)))
+    found = [pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})]
+    if sides and (len(sides) == 2 or cell["lo"].iloc[0] == cell["hi"].iloc[0]):
+        (sig1, tree1), (sig2, tree2) = sides[0], sides[-1]
+        for i, j in tree_pairs(tree1, tree2):
+            a, b = np.minimum(sig1[i], sig2[j]), np.maximum(sig1[i], sig2[j])
+            found.append(pd.DataFrame({"a": a, "b": b}).drop_duplicates())
+    return pd.concat(found).drop_duplicates()
+
+
+def _packed(grams: np.ndarray) -> bytes:
+    """48 bits of each shingle hash: two sets of 20,000 agree in a shingle by chance once in a million pairs."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return np.sort(wide.view("<u8").ravel())
 
 
 def _sets(bits: bytes):
@@ -258,25 +269,15 @@ def _sets(bits: bytes):
                 if len(grams) and sig not in seen:
                     seen.add(sig)
                     sigs.append(sig)
-                    sets.append(grams.astype("<u8").tobytes())
+                    sets.append(_packed(grams))
             yield pd.DataFrame({"sig": np.array(sigs, np.int64), "grams": sets})
 
     return run
 
 
-def _verify(batches):
-    for batch in batches:
-        keep = np.zeros(len(batch), bool)
-        for i, (x, y) in enumerate(zip(batch["ga"], batch["gb"], strict=True)):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep[i] = 100 * both >= 80 * (len(x) + len(y) - both)
-        yield batch.loc[keep, ["a", "b"]]
-
-
 def _connect(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     """Links among the candidate pairs of one cell; pairs that are connected already are skipped."""
-    sets = {sig: np.frombuffer(x, "<u8") for sig, x in zip(members["sig"], members["grams"], strict=True)}
+    sets = {sig: _unpacked(x) for sig, x in zip(members["sig"], members["grams"], strict=True)}
     root = dict(zip(members["sig"], members["root"], strict=True))
     up: dict[int, int] = {}
 
@@ -312,35 +313,33 @@ def _needed_sets(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFr
     return stage(sets, "sets")
 
 
-def _end(c: str, source: DataFrame, *columns: str) -> DataFrame:
-    return source.select(F.col("sig").alias(c), *(F.col(x).alias(x[0] + c) for x in columns))
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) that are links: the bound first, then the full sets."""
-    pairs = (pairs.distinct().join(_end("a", nodes, "n", "point"), "a")
-             .join(_end("b", nodes, "n", "point"), "b"))
-    pairs = stage(pairs.mapInPandas(_bounded, "a long, b long"), "pairs")
-    sets = _needed_sets(pairs, nodes, texts)
-    joined = pairs.join(_end("a", sets, "grams"), "a").join(_end("b", sets, "grams"), "b")
-    return stage(joined.mapInPandas(_verify, "a long, b long"), "links")
+def _verified(pairs: DataFrame, roots: DataFrame | None, nodes: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
+    """Links (a, b) that connect what the candidate ``pairs`` can connect, besides ``roots``.
 
-
-def _verified_across(pairs: DataFrame, roots: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among pairs that come in large groups: a set goes to its group's cells once, not with each pair."""
-    groups = components(pairs).withColumnsRenamed({"node": "sig", "root": "family"})
-    sizes = groups.groupBy("family").agg(F.count("*").alias("size"))
-    dealt = stage(cells(groups.join(sizes, "family"), "size", "sig", SETS).drop("size"), "dealt")
-    part = dealt.where("lo = hi").select("sig", "family", "part")
-    pairs = (pairs.join(part.select(F.col("sig").alias("a"), "family", F.col("part").alias("pa")), "a")
-             .join(part.select(F.col("sig").alias("b"), F.col("part").alias("pb")), "b")
-             .select("family", F.least("pa", "pb").alias("lo"), F.greatest("pa", "pb").alias("hi"), "a", "b"))
-    pairs = stage(pairs, "dealt-pairs")
-    labelled = dealt.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
-    members = (labelled.withColumn("root", F.coalesce("root", "sig"))
-               .join(_needed_sets(pairs, nodes, texts), "sig").select("family", "lo", "hi", "sig", "root", "grams"))
-    keys = ("family", "lo", "hi")
-    return stage(pairs.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(_connect, "a long, b long"), "links")
+    Pairs fall into families, the components of the candidate graph. A family's sets go to one
+    cell, together with other small families', so a set travels once and not with each of its
+    pairs; a family of more than ``SETS`` shingles is dealt to several cells of bounded size.
+    """
+    pairs = stage(pairs, "pairs")
+    families = components(pairs).withColumnsRenamed({"node": "sig", "root": "family"})
+    families = families.join(nodes.select("sig", "n"), "sig")
+    sizes = families.groupBy("family").agg(F.sum("n").alias("size"))
+    cell = F.when(F.col("size") <= SETS, F.pmod(F.xxhash64("family"), F.lit(4 * parts))).otherwise(F.xxhash64("family", "lo", "hi"))
+    dealt = stage(cells(families.join(sizes, "family"), "size", "sig", SETS)
+                  .select("sig", "part", "size", "family", "lo", "hi", cell.alias("cell")), "dealt")
+    own = dealt.where("lo = hi")
+    both = (pairs.join(own.select(F.col("sig").alias("a"), "family", "size", F.col("part").alias("pa")), "a")
+            .join(own.select(F.col("sig").alias("b"), F.col("part").alias("pb")), "b")
+            .withColumns({"lo": F.least("pa", "pb"), "hi": F.greatest("pa", "pb")}).select(cell.alias("cell"), "a", "b"))
+    both = stage(both, "dealt-pairs")
+    members = dealt.select("cell", "sig")
+    if roots is None:
+        members = members.withColumn("root", F.col("sig"))
+    else:
+        members = (members.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
+                   .withColumn("root", F.coalesce("root", "sig")))
+    members = members.join(_needed_sets(both, nodes, texts), "sig")
+    return stage(both.groupBy("cell").cogroup(members.groupBy("cell")).applyInPandas(_connect, "a long, b long"), "links")
 
 
 def jaccard_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -374,7 +373,11 @@ def jaccard_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
         texts.mapInPandas(_slabs(rank), "slab long, sig long, n int, at int")
         .repartition(parts, "slab").sortWithinPartitions("slab", "n", "sig")
         .mapInPandas(_candidates, "slab long, n int, a long, b long"), "candidates")
-    links = _verified(found.where("slab is null").select("a", "b"), nodes, texts)
+    def end(c):
+        return nodes.select(F.col("sig").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
+
+    pairs = found.where("slab is null").select("a", "b").distinct().join(end("a"), "a").join(end("b"), "b")
+    links = _verified(pairs.mapInPandas(_bounded, "a long, b long"), None, nodes, texts, parts)
     roots = components(links)
 
     # Slabs of many texts: what is still apart meets in trees.
@@ -387,7 +390,7 @@ def jaccard_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
     dealt = cells(members.join(apart, "slab").join(nodes.select("sig", "n", "point"), "sig"), "size", "sig", CELL)
     more = stage(dealt.groupBy("slab", "lo", "hi").applyInPandas(_cell_pairs, "a long, b long").distinct(), "across")
     if not more.isEmpty():
-        roots = components(links.union(_verified_across(more, roots, nodes, texts)))
+        roots = components(links.union(_verified(more, roots, nodes, texts, parts)))
 
     named = nodes.select("sig", "least_id").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     named = named.withColumn("root", F.coalesce("root", "sig"))
