@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioforge.llm.decontaminate import contamination
 from folioforge.llm.jaccard import jaccard_components
 from folioforge.llm.lines import line_digest
+from folioforge.llm.mixing import mixed_decisions
 from folioforge.llm.neighbours import near_vectors
 from folioforge.llm.quality import quality_scores
 from folioforge.llm.secret_scan import duck_sql, secret_digest
 from folioforge.llm.shards import shard_documents
+from folioforge.llm.warc import archive_round_trip
 
 QUERIES = {}
 ORACLES = {}
@@ -98,3 +101,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, with its place and distance."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_mixing_to_target_weights")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cell, weight and draw."""
+    return mixed_decisions(table(spark, sf_dir, "documents"))
+
+
+@query("op3_warc_round_trip", """
+with p as (select page_id, coalesce(html, '') as h, strlen(coalesce(html, '')) as n from pages),
+f as (select *, sha1(h) as d, max(page_id) over (partition by h) as top from p)
+select page_id, n as payload_bytes, d as payload_digest,
+  case when n >= 1000 and page_id < top then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and page_id < top then top end as refers_to from f""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's payload after a round trip through WARC archives."""
+    return archive_round_trip(table(spark, sf_dir, "pages"))
