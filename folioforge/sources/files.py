@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow.fs
 from pyspark.sql import SparkSession
 
 
@@ -31,3 +32,16 @@ def latest_snapshot(spark: SparkSession, root: str) -> int | None:
         if exists(spark, f"{root}/snapshot={number}/_SUCCESS"):
             return number
     return None
+
+
+# Schemes that Hadoop and pyarrow name differently.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasb": "abfs"}
+
+
+def open_bytes(path: str) -> pyarrow.NativeFile:
+    """A seekable stream of the file that a path of Spark names, for use inside a task."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return pyarrow.fs.LocalFileSystem().open_input_file("/" + (rest if colon else path).lstrip("/"))
+    system, name = pyarrow.fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    return system.open_input_file(name)
