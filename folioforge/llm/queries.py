@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm.decontaminate import contamination
+from folioforge.llm.extract import extract_pages
 from folioforge.llm.jaccard import jaccard_components
 from folioforge.llm.lines import line_digest
 from folioforge.llm.mixing import mixed_decisions
@@ -124,3 +125,9 @@ select page_id, n as payload_bytes, d as payload_digest,
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's payload after a round trip through WARC archives."""
     return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op2_html_main_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return extract_pages(table(spark, sf_dir, "pages"))
