@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from folioforge.llm.grams import WordHashes
 from folioforge.session import stage
 
 TOPICS = 6
@@ -24,12 +22,13 @@ MARGINS = ("source", "lang", "topic")
 
 
 def _vectors(texts: pd.Series) -> np.ndarray:
-    """Unit vectors of damped counts of hashed words, over whole texts."""
-    out = np.zeros((len(texts), DIMS))
+    """Unit vectors of damped, signed counts of hashed words, over whole texts."""
+    out, hashes = np.zeros((len(texts), DIMS)), WordHashes()
     for row, text in zip(out, texts, strict=True):
-        for word, n in Counter((text or "").lower().split()).items():
-            h = xxhash.xxh32_intdigest(word)
-            row[h % DIMS] += (1 if h & 2**31 else -1) * np.log1p(n)
+        words = hashes.of(text or "")
+        signs = (words >> np.uint64(63)).astype(float) * 2 - 1
+        counts = np.bincount((words % np.uint64(DIMS)).astype(np.int64), signs, DIMS)
+        row[:] = np.sign(counts) * np.log1p(np.abs(counts))
     return out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-12)
 
 
