@@ -36,7 +36,7 @@ DIMS = 256  # coordinates of the points in the R-trees
 HIGHEST = 65_535  # a count this high stands for any higher one
 LEAF = 16  # points of a leaf
 CELL = 2048  # points a cell takes from one block
-SETS = 1_000_000  # shingles of full sets a cell takes from one block, about
+SETS = 4_000_000  # shingles of full sets a cell takes from one block, about
 FILTER_BITS = 24  # bits of the filter that keeps texts without candidates from being read again
 _FULL = 2**ORDER_BITS
 
@@ -332,7 +332,8 @@ def _verified(pairs: DataFrame, roots: DataFrame | None, nodes: DataFrame, texts
             .join(own.select(F.col("sig").alias("b"), F.col("part").alias("pb")), "b")
             .withColumns({"lo": F.least("pa", "pb"), "hi": F.greatest("pa", "pb")}).select(cell.alias("cell"), "a", "b"))
     both = stage(both, "dealt-pairs")
-    members = dealt.select("cell", "sig")
+    # A set goes only to cells that hold a pair of it.
+    members = both.select("cell", F.col("a").alias("sig")).union(both.select("cell", F.col("b").alias("sig"))).distinct()
     if roots is None:
         members = members.withColumn("root", F.col("sig"))
     else:
