@@ -334,6 +334,7 @@ def _verified(pairs: DataFrame, roots: DataFrame | None, nodes: DataFrame, texts
     both = stage(both, "dealt-pairs")
     # A set goes only to cells that hold a pair of it.
     members = both.select("cell", F.col("a").alias("sig")).union(both.select("cell", F.col("b").alias("sig"))).distinct()
+    members = stage(members, "dealt-members")
     if roots is None:
         members = members.withColumn("root", F.col("sig"))
     else:
