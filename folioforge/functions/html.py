@@ -57,8 +57,8 @@ def _character(code: Column) -> Column:
 
 def _after_ampersand(part: Column) -> Column:
     """Decode the reference at the start of ``part``, the text that followed a '&'."""
-    digits = F.regexp_extract(part, r"^#([0-9]{1,9})(?![0-9])", 1)
-    hexadecimal = F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,7})(?![0-9a-fA-F])", 1)
+    digits = F.regexp_extract(part, r"^#0*([0-9]{1,9})(?![0-9])", 1)
+    hexadecimal = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]{1,7})(?![0-9a-fA-F])", 1)
     name = F.regexp_extract(part, r"^([a-zA-Z][-.a-zA-Z0-9]*)", 1)
     rest = F.regexp_replace(part, r"^(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][-.a-zA-Z0-9]*);?", "")
     known = F.try_element_at(_named_references(), name)

@@ -9,8 +9,6 @@ from folioforge.functions.text import document_id
 from folioforge.operators.merge import keep_last
 
 WINDOW = ["date_from", "date_to"]
-# Requested windows queue up behind all pending ones.
-REQUESTED_OFFSET = 1_000_000_000
 
 
 def window_queue(
@@ -18,11 +16,13 @@ def window_queue(
 ) -> DataFrame:
     """Windows to process with their ``queue_key``: pending first, then requested.
 
-    Both inputs carry ``position``. A window is one exact (date_from, date_to) pair;
+    Both inputs carry ``position``, unique within each. Requested windows queue up behind the
+    last pending one, wherever earlier runs have put it. A window is one exact (date_from, date_to) pair;
     differently clipped windows of one month are different windows.
     """
-    later = requested.select(
-        *WINDOW, (F.col("position") + F.lit(REQUESTED_OFFSET).cast("bigint")).alias("queue_key")
+    behind = pending.agg((F.coalesce(F.max("position") + 1, F.lit(0))).cast("bigint").alias("behind"))
+    later = requested.join(behind).select(  # ``behind`` is one row
+        *WINDOW, (F.col("position") + F.col("behind")).alias("queue_key")
     )
     earlier = pending.select(*WINDOW, F.col("position").cast("bigint").alias("queue_key"))
     listed = earlier.unionByName(later) if retry_pending else later

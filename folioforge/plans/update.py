@@ -44,8 +44,6 @@ from folioforge.sources.sinks import append_corpus, write_corpus
 
 # What a batch keeps beside the corpus columns.
 BATCH_COLUMNS = ("requested_id", "outcome", "reference_key", "summary_json")
-# Up to this many summaries (some 100 MB) are broadcast to the scan of the details.
-FEW_SUMMARIES = 1_000_000
 # Where a row stood in the queue: later rows win over earlier ones.
 ARRIVAL = ("queue_key", "page_key", "pos")
 
@@ -72,18 +70,14 @@ class Run:
 def wanted_details(details: DataFrame, staged: DataFrame, language: str = "en") -> DataFrame:
     """The landed details that some staged summaries may ask for.
 
-    A few summaries are broadcast, so that only their bodies are parsed. For many, which
-    is the case when an archive is built, details are parsed as they are scanned: they
-    were landed for these summaries, and parsed ones are smaller to shuffle. Counting a
-    staged table reads no rows.
+    Only their bodies are parsed. The keys are a staged table, so the join is chosen by
+    their size: few of them are broadcast to the scan, many are shuffled.
     """
-    if staged.count() > FEW_SUMMARIES:
-        return details
     keys = staged.select(
         F.col("ref_code").alias("reference"),
         record_language(F.col("language_code"), F.lit(language)).alias("language"),
     )
-    return details.join(F.broadcast(keys), ["reference", "language"], "left_semi")
+    return details.join(keys, ["reference", "language"], "left_semi")
 
 
 def attach_detail(
@@ -178,7 +172,9 @@ def ledger_after(ledger: DataFrame, *batches: DataFrame) -> DataFrame:
     return last.where(F.col("last.outcome") == TRANSIENT).select("reference", "last.summary_json")
 
 
-def search_queue(queue: DataFrame, landed_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def search_queue(
+    queue: DataFrame, landed_pages: DataFrame, search_values: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Window outcomes and the summaries of the windows that were read completely.
 
     Returned are ``(date_from, date_to, queue_key, status)`` and one row per summary
@@ -188,9 +184,11 @@ def search_queue(queue: DataFrame, landed_pages: DataFrame) -> tuple[DataFrame,
     wanted = landed_pages.join(queue.select(*WINDOW), WINDOW, "left_semi")
     pages = stage(parse_pages(wanted), "pages")
     usable = F.col("complete") & ~F.col("blank_reference")
-    # A window has one row per search variant here: as many as the search has values.
+    # A window has one row per search variant that landed. One that didn't fails it too.
+    of_window = W.partitionBy(*WINDOW)
+    landed = F.count("*").over(of_window) >= (1 if search_values is None else search_values)
     judged = search_ends(page_facts(pages)).select(
-        *VARIANT, "last_page", F.bool_and(usable).over(W.partitionBy(*WINDOW)).alias("usable")
+        *VARIANT, "last_page", (F.bool_and(usable).over(of_window) & landed).alias("usable")
     )
     variants = stage(queue.join(judged, WINDOW, "left"), "variants")
     placed = variants.groupBy(*WINDOW, "queue_key").agg(
@@ -211,6 +209,7 @@ def run_windows(
     site: Site,
     *,
     limit: int | None = None,
+    search_values: int | None = None,
     retry_pending: bool = True,
     retry_details: bool = True,
     scraped_at: str | None = None,
@@ -218,6 +217,8 @@ def run_windows(
 ) -> Run:
     """Process the window queue: search, add what is new, settle both ledgers.
 
+    ``search_values`` is the number of values the search asks for in each window; a window
+    for which fewer landed has failed and stays in the ledger.
     ``requested`` and ``pending`` are (position, date_from, date_to); the landed tables
     hold the responses of this run.
     """
@@ -233,13 +234,14 @@ def run_windows(
         retried_rows = None
 
     queue = L.window_queue(pending, requested, retry_pending)
-    placed, listed = search_queue(queue, landed_pages)
+    placed, listed = search_queue(queue, landed_pages, search_values)
 
     order = ["queue_key", "variant_no", "page_no", "pos"]
     unique = stage(first_wins(listed, order, "requested_id"), "unique")
-    missing = new_documents(unique, corpus)
+    held = corpus.select("document_id")
     if retried_rows is not None:
-        missing = new_documents(missing, retried_rows)
+        held = held.unionByName(retried_rows.select("document_id"))
+    missing = new_documents(unique, held)
     missing = missing.withColumn(
         "page_key",
         F.col("variant_no").cast("bigint") * F.lit(1_000_000_000) + F.col("page_no"),
@@ -247,10 +249,11 @@ def run_windows(
     selected, progress = missing, None
     if limit is not None:
         selected, progress = canary_limit(stage(missing, "missing"), limit)
+    selected = stage(selected, "selected")
 
     batch = process_batch(
         selected,
-        wanted_details(landed_details, unique, site.language),
+        wanted_details(landed_details, selected, site.language),
         site,
         scraped_at=scraped_at,
         keep_html=keep_html,

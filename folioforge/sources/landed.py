@@ -145,10 +145,14 @@ def search_ends(facts: DataFrame) -> DataFrame:
     )
 
 
-def page_completeness(facts: DataFrame) -> DataFrame:
-    """Per window: ``complete`` when every search variant was read to its end."""
+def page_completeness(facts: DataFrame, search_values: int | None = None) -> DataFrame:
+    """Per window: ``complete`` when every search variant was read to its end.
+
+    With ``search_values`` a window of fewer landed variants has failed.
+    """
+    landed = F.count("*") >= (1 if search_values is None else search_values)
     return search_ends(facts).groupBy(*WINDOW).agg(
-        F.when(F.bool_and("complete"), COMPLETE).otherwise(FAILED).alias("status"),
+        F.when(F.bool_and("complete") & landed, COMPLETE).otherwise(FAILED).alias("status"),
         F.sum("pages").alias("pages"),
         F.sum("items").alias("items"),
     )

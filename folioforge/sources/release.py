@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import strip
 from folioforge.schema import MANIFEST_FIELDS, SCOPES
+from folioforge.sources.files import open_bytes
 
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 _CHUNK = 8 * 1024 * 1024
 
 
@@ -35,38 +35,28 @@ def validate_manifest(manifest: DataFrame) -> DataFrame:
 
 
 def _digest_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow.fs import FileSystem
-
     for batch in batches:
         digests = []
         for path in batch["path"]:
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") else path
-            system, name = FileSystem.from_uri(uri)
             digest = hashlib.sha256()
-            with system.open_input_stream(name) as stream:
+            with open_bytes(path) as stream:
                 while chunk := stream.read(_CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
         yield batch.assign(sha256=digests)
 
 
-def file_digests(spark: SparkSession, path: str, whole_file_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and SHA-256 of every file under ``path``.
 
-    Files of moderate size are hashed inside the JVM. Larger ones never become one
-    value in memory: their tasks read them in chunks.
+    Tasks read files of any size in chunks; a file never becomes one value in memory.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    small = files.where(F.col("length") <= whole_file_limit).select(
-        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = (
-        files.where(F.col("length") > whole_file_limit)
-        .select("path", F.col("length").alias("size_bytes"))
+    return (
+        files.select("path", F.col("length").alias("size_bytes"))
         .hint("rebalance", "path")
         .mapInPandas(_digest_in_chunks, "path string, size_bytes bigint, sha256 string")
     )
-    return small.unionByName(large)
 
 
 def verify_files(digests: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -26,37 +26,37 @@ def record(spark, entry, bodies, keep_html=False):
 
 def test_full_record(spark):
     row = record(
-        spark, summary("IP/26/301", "2026-01-20"), {"IP/26/301": detail("IP/26/301", "2026-01-20")}, keep_html=True
+        spark, summary("SPEECH/19/88", "2019-05-06"), {"SPEECH/19/88": detail("SPEECH/19/88", "2019-05-06")}, keep_html=True
     )
     assert row.asDict() == {
-        "document_id": "ip_26_301",
-        "reference": "IP/26/301",
+        "document_id": "speech_19_88",
+        "reference": "SPEECH/19/88",
         "doc_type": "IP",
         "doc_type_name": "Press release",
-        "title": "Detailed title",
-        "subtitle": "Detailed subtitle",
-        "summary": "Summary lead",
-        "date": "2026-01-20",
-        "publish_datetime": "2026-01-20T11:42:00Z",
-        "place": "Brussels",
+        "title": "Harbour widened",
+        "subtitle": "Work ends in autumn",
+        "summary": "What is planned for the quay",
+        "date": "2019-05-06",
+        "publish_datetime": "2019-05-06T07:08:09Z",
+        "place": "Ostend",
         "language": "en",
         "original_language": "en",
-        "commissioners": "Commissioner Alpha; Commissioner Beta",
-        "spokespersons": "Anna Example (Spokesperson); Ben Sample",
-        "policy_areas": "Trade; Economy, finance and the euro",
-        "policy_codes": "TRADE; ECON",
-        "full_text": "Heading\nFirst\nparagraph\n.",
-        "html": "<h1>Heading</h1><p>First <b>paragraph</b>.</p>",
-        "url": "https://archive.example/detail/en/ip_26_301",
-        "pdf_url": "https://archive.example/api/files/document/print/en/ip_26_301/IP_26_301_EN.pdf",
+        "commissioners": "Member for ports",
+        "spokespersons": "Olu Quay; Mira Dock (Harbour office)",
+        "policy_areas": "Seas, rivers and canals; Work; Towns",
+        "policy_codes": "SEA; JOBS; TOWN",
+        "full_text": "Three cranes\narrived\nfrom the north",
+        "html": "<p>Three cranes <i>arrived</i></p><ul><li>from the north</li></ul>",
+        "url": "https://archive.example/detail/en/speech_19_88",
+        "pdf_url": "https://archive.example/api/files/document/print/en/speech_19_88/SPEECH_19_88_EN.pdf",
         "detail_ok": True,
         "scraped_at": "fixed",
     }
 
 
 def test_missing_sections_become_null(spark):
-    body = json.dumps({"refCd": "IP/26/301", "docuLanguageResource": {"title": "Only a title"}})
-    row = record(spark, summary("IP/26/301"), {"IP/26/301": body})
+    body = json.dumps({"refCd": "SPEECH/19/88", "docuLanguageResource": {"title": "Only a title"}})
+    row = record(spark, summary("SPEECH/19/88"), {"SPEECH/19/88": body})
     for name in ("subtitle", "commissioners", "spokespersons", "policy_areas", "policy_codes", "place", "html"):
         assert row[name] is None
     assert (row.title, row.full_text, row.detail_ok) == ("Only a title", "", True)
@@ -64,8 +64,8 @@ def test_missing_sections_become_null(spark):
 
 
 def test_no_detail_gives_a_partial_record(spark):
-    row = record(spark, summary("IP/26/301"), {})
-    assert (row.title, row.summary, row.full_text, row.detail_ok) == ("Summary title", "Summary lead", "", False)
+    row = record(spark, summary("SPEECH/19/88"), {})
+    assert (row.title, row.summary, row.full_text, row.detail_ok) == ("Harbour plans", "What is planned for the quay", "", False)
 
 
 def test_sections_of_the_wrong_kind_read_as_absent(spark):
@@ -76,7 +76,7 @@ def test_sections_of_the_wrong_kind_read_as_absent(spark):
     )
     row = record(spark, summary("IP/1"), {"IP/1": body})
     assert (row.doc_type, row.place, row.spokespersons, row.commissioners) == ("IP", None, None, "C")
-    assert (row.policy_areas, row.policy_codes, row.title, row.full_text) == (None, "P", "Summary title", "")
+    assert (row.policy_areas, row.policy_codes, row.title, row.full_text) == (None, "P", "Harbour plans", "")
 
 
 def test_html_is_dropped_unless_asked_for(spark):
@@ -108,7 +108,7 @@ def test_booleans(spark, value, want):
 def test_migration(spark):
     legacy = spark.createDataFrame(
         [
-            ("ip_20_1", "IP/20/1", "IP", "2020-01-02", "Legacy body", "Anna Example", "", "newer"),
+            ("ip_20_1", "IP/20/1", "IP", "2020-01-02", "Legacy body", "Lee Wharf", "", "newer"),
             ("speech_20_2", "SPEECH/20/2", "SPEECH", "2020-01-01", "", "Ben Sample", "unused", None),
         ],
         "document_id string, reference_number string, document_type string, publication_date string, "
@@ -116,7 +116,7 @@ def test_migration(spark):
     )
     first, second = normalize_schema(migrate_legacy(legacy)).orderBy("document_id").collect()
     assert list(first.asDict()) == list(CORPUS_COLUMNS)
-    assert (first.reference, first.spokespersons, first.detail_ok) == ("IP/20/1", "Anna Example", True)
+    assert (first.reference, first.spokespersons, first.detail_ok) == ("IP/20/1", "Lee Wharf", True)
     assert (first.doc_type, second.doc_type, second.detail_ok) == ("newer", "SPEECH", False)
     assert "keywords" not in migrate_legacy(legacy).columns
 

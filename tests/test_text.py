@@ -38,7 +38,7 @@ def test_lists(spark):
 @pytest.mark.parametrize(
     ("first", "last", "title", "want"),
     [
-        ("Anna", "Example", "Spokesperson", "Anna Example (Spokesperson)"),
+        ("Lee", "Wharf", "Press", "Lee Wharf (Press)"),
         (" Ben ", None, "", "Ben"),
         (None, " ", "Desk", "Desk"),
         ("", None, None, ""),
@@ -186,3 +186,10 @@ def test_pages_equal_an_event_reader(spark):
         "html", html_to_text(F.col("html")).alias("text")
     )
     assert all(read(row.html) == row.text for row in rows.collect())
+
+
+def test_zero_padded_references_keep_their_character(spark):
+    from folioforge.functions.html import html_to_text
+
+    row = spark.createDataFrame([("a&#0000000065;b&#x00000041;c&#0;",)], "h string").select(html_to_text(F.col("h"))).first()
+    assert row[0] == "aAbAc�"

@@ -115,7 +115,7 @@ def test_search_values_are_united_and_the_first_copy_wins(spark):
     ]
     got = world.run([JANUARY], landed, {})
     assert got.new_documents == 2
-    assert {r.document_id: r.title for r in world.corpus.collect()} == {"ip_20_1": "first", "ip_20_2": "Summary title"}
+    assert {r.document_id: r.title for r in world.corpus.collect()} == {"ip_20_1": "first", "ip_20_2": "Harbour plans"}
 
 
 def test_a_document_in_two_windows_counts_for_the_first_in_the_queue(spark):
@@ -166,7 +166,7 @@ def test_retry_outcomes(spark):
     assert {r.reference: r.outcome for r in batch.refs.collect()} == {
         "IP/1": "stale", "IP/2": "ok", "IP/3": "permanently_empty", "IP/4": "transient", "IP/5": "transient",
     }
-    assert {r.document_id: r.title for r in batch.rows.collect()} == {"ip_2": "Detailed title", "ip_3": "T3"}
+    assert {r.document_id: r.title for r in batch.rows.collect()} == {"ip_2": "Harbour widened", "ip_3": "T3"}
     assert sorted(r.reference for r in U.ledger_after(ledger, batch.refs).collect()) == ["IP/4", "IP/5"]
 
 
@@ -192,16 +192,25 @@ def test_a_run_is_appended_unless_it_replaces_rows(spark, tmp_path):
     assert (third, rows) == ("snapshot=2", {"ip_20_1": True, "ip_20_2": True})
 
 
-def test_few_and_many_summaries_give_the_same_rows(spark, monkeypatch):
-    landed = [page(JANUARY, [summary(f"IP/20/{n}") for n in range(5)])]
-    answers = {f"IP/20/{n}": detail(f"IP/20/{n}") for n in (0, 2, 4, 7)}
-    few = World(spark)
-    few.run([JANUARY], landed, answers)
-    monkeypatch.setattr(U, "FEW_SUMMARIES", 2)
-    many = World(spark)
-    many.run([JANUARY], landed, answers)
-    assert sorted(map(tuple, few.corpus.collect())) == sorted(map(tuple, many.corpus.collect()))
-    assert many.pending_refs() == ["IP/20/1", "IP/20/3"]
+def test_requested_windows_queue_up_behind_pending_ones_in_every_run(spark):
+    from folioforge.operators import ledgers as L
+
+    schema = "position bigint, date_from date, date_to date"
+    nothing = spark.createDataFrame([], schema)
+    first = L.window_ledger(nothing, spark.createDataFrame([(0, *JANUARY)], schema))
+    second = L.window_ledger(first, spark.createDataFrame([(0, *FEBRUARY)], schema))
+    third = L.window_queue(second, spark.createDataFrame([(0, *MARCH), (1, *JANUARY)], schema)).orderBy("queue_key")
+    assert [(r.date_from, r.queue_key) for r in third.collect()] == [(JANUARY[0], 0), (FEBRUARY[0], 1), (MARCH[0], 2)]
+
+
+def test_a_window_without_all_its_search_values_fails(spark):
+    queue = spark.createDataFrame([(*JANUARY, 0), (*FEBRUARY, 1)], "date_from date, date_to date, queue_key bigint")
+    landed = pages(spark, page(JANUARY, [summary("IP/20/1")], variant=0), page(JANUARY, [summary("IP/20/2")], variant=1),
+                   page(FEBRUARY, [summary("IP/20/3")], variant=0))
+    for values, want in ((None, ["complete", "complete"]), (2, ["complete", "failed"])):
+        placed, listed = U.search_queue(queue, landed, values)
+        assert [r.status for r in placed.orderBy("queue_key").collect()] == want
+        assert listed.count() == (3 if values is None else 2)
 
 
 def test_fixed_references(spark):

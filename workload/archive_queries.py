@@ -371,17 +371,17 @@ def pending(spark, sf):
 
 QUEUE_SQL = """select cast(date_from as varchar) as date_from, cast(date_to as varchar) as date_to, cast(min(k) as bigint) as {name}
   from (select date_from, date_to, position as k from pending
-        union all select date_from, date_to, position + 1000000000 from months where position < 20) q group by 1, 2"""
+        union all select date_from, date_to, position + (select coalesce(max(position) + 1, 0) from pending) from months) q group by 1, 2"""
 
 
 @query("window_queue", with_duck(MONTHS_DUCK, PENDING_DUCK) + QUEUE_SQL.format(name="queue_key"))
 def q_window_queue(spark, sf):
-    return dates_as_text(L.window_queue(pending(spark, sf), months(spark, sf).where("position < 20")))
+    return dates_as_text(L.window_queue(pending(spark, sf), months(spark, sf)))
 
 
 @query("window_ledger", with_duck(MONTHS_DUCK, PENDING_DUCK) + QUEUE_SQL.format(name="position"))
 def q_window_ledger(spark, sf):
-    return dates_as_text(L.window_ledger(pending(spark, sf), months(spark, sf).where("position < 20")))
+    return dates_as_text(L.window_ledger(pending(spark, sf), months(spark, sf)))
 
 
 @query(

@@ -96,8 +96,8 @@ def q_export_csv(spark, sf):
 
 @query(
     "write_metadata",
-    C + """select (select count(*) from corpus) as total_documents, (select max(date) from corpus where date <> '') as cutoff,
-      'active' as scope, 'abc' as config_hash, '2026.05' as dataset_version, cast(2 as bigint) as failed_window_count,
+    with_duck(MONTHS_DUCK) + C.replace("with ", ", ", 1) + """select (select count(*) from corpus) as total_documents, (select max(date) from corpus where date <> '') as cutoff,
+      'active' as scope, 'abc' as config_hash, '2026.05' as dataset_version, (select count(*) from months) as failed_window_count,
       (select count(*) from documents where doc_id % 9 = 1) as failed_ref_count,
       '2026-05-08T00:00:00' as last_run,
       '{' || (select string_agg('"' || doc_type || '":' || cast(n as varchar), ',' order by doc_type)
@@ -105,7 +105,7 @@ def q_export_csv(spark, sf):
 )
 def q_write_metadata(spark, sf):
     rows = corpus(spark, sf)
-    failed_windows = months(spark, sf).limit(2)
+    failed_windows = months(spark, sf)
     failed_refs = table(spark, sf, "documents").where("doc_id % 9 = 1")
     row = sinks.metadata_row(
         rows, failed_windows, failed_refs, scope="active", config_hash="abc",
