@@ -67,9 +67,14 @@ def topic_of(centres: np.ndarray):
 
 def tempered(cells: pd.DataFrame, margin: str, temper: float = TEMPER) -> dict:
     """Target shares of a margin's categories: their shares of tokens to a power, which lifts the rare ones."""
-    shares = cells.groupby(margin)["tokens"].sum() / max(1, cells["tokens"].sum())
+    shares = cells.groupby(margin, dropna=False)["tokens"].sum() / max(1, cells["tokens"].sum())
     shares = shares[shares > 0] ** temper
-    return (shares / shares.sum()).to_dict()
+    return {_name(name): share for name, share in (shares / shares.sum()).items()}
+
+
+def _name(category):
+    """None for a null category, whichever way pandas holds it."""
+    return None if category is None or category != category else category
 
 
 def rake(cells: pd.DataFrame, targets: dict[str, dict], rounds: int = ROUNDS, close: float = 1e-9,
@@ -85,7 +90,7 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict], rounds: int = ROUNDS, cl
     coded = {m: pd.factorize(cells[m], use_na_sentinel=False) for m in targets}
     goals = {}
     for m, (_, names) in coded.items():
-        goal = np.array([targets[m].get(name, 0.0) for name in names])
+        goal = np.array([targets[m].get(_name(name), 0.0) for name in names])
         goals[m] = goal
         weight[goal[coded[m][0]] == 0] = 0.0
     for _ in range(rounds):
@@ -138,7 +143,7 @@ def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int =
         raise ValueError(f"more than {MOST_CELLS} cells; use coarser categories")
     cells = grouped.toPandas().sort_values(["source", "lang", "topic"], na_position="first", ignore_index=True)
     for m in ("source", "lang"):
-        cells[m] = [None if x is None or x != x else x for x in cells[m]]
+        cells[m] = pd.Series([_name(x) for x in cells[m]], dtype=object)
     goals = {m: (targets or {}).get(m) or tempered(cells, m) for m in MARGINS}
     cells["weight"] = rake(cells, goals)
     top = cells["weight"].max() if len(cells) else 0.0
