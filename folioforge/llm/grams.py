@@ -43,4 +43,6 @@ def shingles(words: np.ndarray) -> np.ndarray:
     total = np.zeros(n - WORDS + 1, np.uint64)
     for i in range(WORDS):
         total += words[i : n - WORDS + 1 + i] * _FACTORS[i]
-    return np.unique(mix(total))
+    total = mix(total)
+    total.sort()
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
