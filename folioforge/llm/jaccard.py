@@ -171,17 +171,24 @@ def _candidates(batches):
 
 
 def _points(column: pd.Series) -> np.ndarray:
-    points = np.frombuffer(b"".join(column), "<u2").reshape(-1, DIMS).astype(np.int32)
-    points[points == HIGHEST] = 2**22  # sums over all coordinates still fit
+    points = np.frombuffer(b"".join(column), "<u2").reshape(-1, DIMS)
+    if (points == HIGHEST).any():
+        points = points.astype(np.int32)
+        points[points == HIGHEST] = 2**22  # sums over all coordinates still fit
     return points
 
 
+def _overlap(p, q) -> np.ndarray:
+    """Summed coordinate minima: no two sets at these points share more."""
+    return np.minimum(p, q).sum(1, dtype=np.int32)
+
+
 def _bounded(batches):
     """Pairs whose points' summed minima reach the overlap that the sizes need."""
     for batch in batches:
         if len(batch):
             n1, n2 = batch["na"].to_numpy(), batch["nb"].to_numpy()
-            reach = np.minimum(_points(batch["pa"]), _points(batch["pb"])).sum(1) >= needed(n1, n2)
+            reach = _overlap(_points(batch["pa"]), _points(batch["pb"])) >= needed(n1, n2)
             keep = reach & (5 * np.minimum(n1, n2) >= 4 * np.maximum(n1, n2))
             yield batch.loc[keep, ["a", "b"]]
 
@@ -211,7 +218,7 @@ def tree_pairs(left, right, step: int = 4096):
         (max1, n1, lo1, hi1), (max2, n2, lo2, hi2) = left[up], right[down]
         apart = (lo1[i] != hi1[i]) | (lo2[j] != hi2[j]) | (lo1[i] != lo2[j])
         i, j = i[apart], j[apart]
-        reach = np.minimum(max1[i], max2[j]).sum(1) >= needed(n1[i], n2[j])
+        reach = _overlap(max1[i], max2[j]) >= needed(n1[i], n2[j])
         i, j = i[reach], j[reach]
         if up == down == 0:
             yield i, j
