@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioforge.sources.files import remove
+
 # Settings the library is written for. AQE sizes shuffle partitions, splits skewed
 # join and rebalance partitions, and turns joins into broadcasts by measured size.
 SETTINGS = {
@@ -65,6 +69,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     join with a small staged table becomes a broadcast and one with a big table
     does not.
     """
+    return _written(df, new_path(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like ``stage`` for jobs that repeat: the table is removed at the end of the block."""
     path = new_path(df.sparkSession, label)
+    try:
+        yield _written(df, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table; a path that is gone already is fine."""
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> int | None:
     """Highest ``snapshot=<n>`` under ``root`` whose write was committed."""
     if not exists(spark, root):

@@ -1,11 +1,13 @@
 """Incremental top-ups with Structured Streaming.
 
 Rows land as files. Each micro-batch adds the documents that are not stored yet as its
-own part of the corpus, so nothing stored is ever rewritten.
+own part of the corpus, so nothing stored is ever rewritten. A part is named by the stream
+and the batch: another checkpoint is another stream and writes parts of its own.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,19 +15,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioforge.operators.merge import first_wins, keep_last
-from folioforge.session import stage
+from folioforge.session import staged
 from folioforge.sources.files import exists
 
 
-def read_parts(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All parts of a streamed corpus, or those of earlier micro-batches only."""
+def read_parts(
+    spark: SparkSession, root: str, schema: T.StructType, but: tuple[str, int] | None = None
+) -> DataFrame:
+    """All parts of a streamed corpus, or all but that of one (stream, batch)."""
     if not exists(spark, root):
         return spark.createDataFrame([], schema)
-    with_part = T.StructType([*schema.fields, T.StructField("part", T.LongType())])
-    parts = spark.read.schema(with_part).parquet(root)
-    if before is not None:
-        parts = parts.where(F.col("part") < before)
-    return parts.drop("part")
+    place = [T.StructField("stream", T.StringType()), T.StructField("part", T.LongType())]
+    parts = spark.read.schema(T.StructType([*schema.fields, *place])).parquet(root)
+    if but is not None:
+        parts = parts.where((F.col("stream") != but[0]) | (F.col("part") != but[1]))
+    return parts.drop("stream", "part")
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identifier that Spark keeps in a checkpoint from its first batch on."""
+    lines = spark.read.text(f"{checkpoint}/metadata").collect()  # one line that Spark wrote
+    return json.loads("".join(line.value for line in lines))["id"]
 
 
 def _consume(
@@ -34,14 +44,16 @@ def _consume(
     schema: T.StructType,
     files_per_batch: int,
     checkpoint: str,
-    on_batch: Callable[[DataFrame, int], None],
+    on_batch: Callable[[DataFrame, tuple[str, int]], None],
 ) -> None:
     """Run ``on_batch`` over all files that have landed and not been seen yet."""
     (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landed)
-        .writeStream.foreachBatch(on_batch)
+        .writeStream.foreachBatch(
+            lambda batch, number: on_batch(batch, (_stream_id(batch.sparkSession, checkpoint), number))
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -49,6 +61,10 @@ def _consume(
     )
 
 
+def _write_part(rows: DataFrame, root: str, place: tuple[str, int]) -> None:
+    rows.write.mode("overwrite").parquet(f"{root}/stream={place[0]}/part={place[1]}")
+
+
 def incremental_update(
     spark: SparkSession,
     landed: str,
@@ -66,19 +82,20 @@ def incremental_update(
 
     ``prepare`` turns landed rows into rows of ``schema`` where the two differ, for
     example landed search pages into summaries. A batch replayed after a failure
-    overwrites its own part and looks only at earlier parts, so the outcome is the same
-    however often it runs. Documents that are landed again, or late, meet the stored
-    identifiers and change nothing.
+    overwrites its own part and looks at all others, those of earlier streams included, so
+    the outcome is the same however often it runs. Documents that are landed again, or
+    late, meet the stored identifiers and change nothing. One stream at a time may write
+    to ``root``.
     """
 
-    def add_new(batch: DataFrame, batch_id: int) -> None:
+    def add_new(batch: DataFrame, place: tuple[str, int]) -> None:
         # Staged, the batch is read and prepared once and its size is known: a small one
         # is broadcast to the scan of stored identifiers, which is then not shuffled.
-        fresh = stage(first_wins(prepare(batch), order, key).select(*schema.names), "landed")
-        stored = read_parts(batch.sparkSession, root, schema, before=batch_id)
-        known = stored.select(key).join(fresh.select(key), key, "left_semi")
-        new = fresh.join(known, key, "left_anti").select(*schema.names)
-        new.write.mode("overwrite").parquet(f"{root}/part={batch_id}")
+        first = first_wins(prepare(batch), order, key).select(*schema.names)
+        with staged(first, "micro-batch") as fresh:
+            stored = read_parts(batch.sparkSession, root, schema, but=place)
+            known = stored.select(key).join(fresh.select(key), key, "left_semi")
+            _write_part(fresh.join(known, key, "left_anti").select(*schema.names), root, place)
 
     _consume(spark, landed, landed_schema or schema, files_per_batch, checkpoint, add_new)
 
@@ -100,10 +117,8 @@ def stream_latest(
     over all parts then picks the newest among at most one row per key and part.
     """
 
-    def add_last(batch: DataFrame, batch_id: int) -> None:
-        keep_last(batch, order, key).select(*schema.names).write.mode("overwrite").parquet(
-            f"{root}/part={batch_id}"
-        )
+    def add_last(batch: DataFrame, place: tuple[str, int]) -> None:
+        _write_part(keep_last(batch, order, key).select(*schema.names), root, place)
 
     _consume(spark, landed, schema, files_per_batch, checkpoint, add_last)
     return keep_last(read_parts(spark, root, schema), order, key)

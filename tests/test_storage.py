@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -169,6 +170,54 @@ def test_streamed_batches_are_idempotent(spark, tmp_path):
     assert consume(str(tmp_path / "state2")) == [("a", "1"), ("b", "1"), ("c", "1")]
 
 
+def test_another_checkpoint_or_batch_size_keeps_what_is_stored(spark, tmp_path):
+    schema = spark.createDataFrame([], "id int, title string").schema
+    root = str(tmp_path / "root")
+    scratch = Path(S.shared_dir(spark).removeprefix("file:")) / "folioforge"
+    before = set(scratch.glob("micro-batch-*"))
+
+    def consume(landed, state, files):
+        T.incremental_update(spark, str(tmp_path / landed), root, str(tmp_path / state), schema, key="id", order=["title"],
+                             files_per_batch=files)
+        return sorted(r.id for r in T.read_parts(spark, root, schema).collect())
+
+    for n in range(5):
+        frame = spark.createDataFrame([(3 * n + k, "x") for k in range(3)], schema)
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "one"))
+    assert consume("one", "state1", 1) == list(range(15))
+    assert consume("one", "state2", 2) == list(range(15))
+    spark.createDataFrame([(1, "again"), (20, "x"), (21, "x")], schema).write.parquet(str(tmp_path / "two"))
+    assert consume("two", "state3", 1) == [*range(15), 20, 21]
+    assert set(scratch.glob("micro-batch-*")) == before
+
+
+def test_a_repeated_document_is_never_stored_twice(spark, tmp_path, small):
+    with pytest.raises(ValueError, match="ip_26_301"):
+        K.write_corpus(small.unionByName(small.where("doc_type = 'IP'")), str(tmp_path / "corpus"))
+    assert C.scan_snapshot(spark, str(tmp_path / "corpus")).count() == 0
+
+
+def test_the_latest_entry_of_a_reference_is_kept(spark, tmp_path):
+    entries = spark.createDataFrame(
+        [("d", "IP/1", '{"title":"new"}', 2), ("d", "IP/1", '{"title":"zold"}', 1)],
+        "dataset string, reference string, summary_json string, step int",
+    )
+    LG.write_failed_refs(entries, str(tmp_path / "refs"), order=["step"])
+    assert [r.summary_json for r in LG.scan_failed_refs(spark, str(tmp_path / "refs")).collect()] == ['{"title":"new"}']
+    with pytest.raises(PySparkException, match="no order"):
+        LG.write_failed_refs(entries.drop("step"), str(tmp_path / "unsure"))
+
+
+def test_recorded_scope_of_a_dataset(spark, tmp_path, small):
+    windows, refs = LG.empty_ledgers(spark)
+    assert K.stored_scope(spark, f"{tmp_path}/none") == "all"
+    K.write_metadata(K.metadata_row(small, windows, refs, scope="active", last_run="2026-01-01"), f"{tmp_path}/meta")
+    assert K.stored_scope(spark, f"{tmp_path}/meta") == "active"
+    (tmp_path / "meta" / "later.json").write_text('{"last_run":"2027","scope":"some"}\n')
+    with pytest.raises(ValueError, match="some"):
+        K.stored_scope(spark, f"{tmp_path}/meta")
+
+
 def test_an_unbounded_feed_passes_a_key_once(spark, tmp_path):
     landed, out = str(tmp_path / "landed"), str(tmp_path / "out")
     frame = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "id string, s int").select(

@@ -249,7 +249,7 @@ def q_stream_dedup(spark, sf):
     "stream_ingest",
     duck_views("feed", "totals", "pg") + """select lower(replace(trim(ref), '/', '_')) as requested_id, min(event_date) as event_date,
         min(lang) as language_code from feed f
-      where exists (select 1 from pg where pg.w = f.w and pg.page_no = f.page_no and page_ok) group by 1""",
+      where exists (select 1 from pg where pg.w = f.w and pg.page_no = f.page_no and page_ok) and trim(ref) <> '' group by 1""",
 )
 def q_stream_ingest(spark, sf):
     """Landed search pages, streamed from several files into summaries, each document once."""
@@ -260,6 +260,6 @@ def q_stream_ingest(spark, sf):
     schema = ingest_search_pages(bodies).select("requested_id", "event_date", "language_code").schema
     topup.incremental_update(
         spark, landed, root, checkpoint, schema, key="requested_id", order=order, files_per_batch=1,
-        landed_schema=bodies.schema, prepare=ingest_search_pages,
+        landed_schema=bodies.schema, prepare=lambda batch: ingest_search_pages(batch).where("requested_id <> ''"),
     )
     return topup.read_parts(spark, root, schema)
