@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import variants as V
 from folioforge.functions.text import strip
+from folioforge.operators.merge import keep_last
 from folioforge.schema import REF_LEDGER_SCHEMA, WINDOW_LEDGER_SCHEMA
 from folioforge.sources.files import exists
 
@@ -51,8 +52,20 @@ def write_failed_windows(ledger: DataFrame, path: str) -> None:
     unique.write.mode("errorifexists").json(path)
 
 
-def write_failed_refs(ledger: DataFrame, path: str) -> None:
-    ledger.dropDuplicates(["dataset", "reference"]).write.mode("errorifexists").json(path)
+def write_failed_refs(ledger: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Replace the ledger; each reference once, its latest entry kept.
+
+    ``order`` names the arrival columns of entries that may repeat a reference. Without it
+    a reference with two different summaries is an error: none of them is known to be newer.
+    """
+    key = ["dataset", "reference"]
+    if order is not None:
+        unique = keep_last(ledger, order, key).drop(*order)
+    else:
+        first, last = F.min("summary_json"), F.max("summary_json")
+        unsure = F.raise_error(F.concat(F.lit("no order of entries for "), F.first("reference"))).cast("string")
+        unique = ledger.groupBy(*key).agg(F.when(first.eqNullSafe(last), last).otherwise(unsure).alias("summary_json"))
+    unique.write.mode("errorifexists").json(path)
 
 
 def empty_ledgers(spark: SparkSession) -> tuple[DataFrame, DataFrame]:

@@ -16,7 +16,7 @@ from folioforge.schema import (
     OTHER_STEM,
     SCOPES,
 )
-from folioforge.sources.files import latest_snapshot
+from folioforge.sources.files import exists, latest_snapshot
 
 METADATA_SCHEMA = (
     "last_run string, total_documents bigint, cutoff string, scope string, "
@@ -30,7 +30,8 @@ def write_corpus(rows: DataFrame, root: str, order: list[str] | None = None) ->
 
     A snapshot is never written over the one being read. Readers take the highest
     committed number, so a failed write stays invisible. ``order`` names the arrival
-    columns of rows that may repeat a document; without it they must be unique.
+    columns of rows that may repeat a document, the latest copy is stored; without it a
+    repeated document is an error, found by a pass over the identifiers alone.
 
     Rows are rebalanced by year: small years share a task, while a year with a large
     share of all rows is split over many. Within each file they lie newest first.
@@ -38,6 +39,10 @@ def write_corpus(rows: DataFrame, root: str, order: list[str] | None = None) ->
     unique = normalize_schema(rows)
     if order is not None:
         unique = keep_last(normalize_schema(rows, keep=tuple(order)), order).drop(*order)
+    else:
+        repeated = unique.groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1").first()
+        if repeated is not None:
+            raise ValueError(f"document {repeated.document_id!r} occurs {repeated.n} times and no order is given")
     target = f"{root}/snapshot={(latest_snapshot(rows.sparkSession, root) or 0) + 1}"
     _by_year(unique).mode("overwrite").parquet(target)
     return target
@@ -176,6 +181,17 @@ def write_metadata(row: DataFrame, target: str) -> None:
 
 
 def read_metadata(spark: SparkSession, target: str) -> DataFrame:
-    """The latest metadata row."""
+    """The latest metadata row; none for a dataset without metadata."""
+    if not exists(spark, target):
+        return spark.createDataFrame([], METADATA_SCHEMA)
     history = spark.read.schema(METADATA_SCHEMA).json(target)
     return history.orderBy(F.col("last_run").desc()).limit(1)
+
+
+def stored_scope(spark: SparkSession, target: str) -> str:
+    """The scope a dataset was recorded with; ``all`` where none is, an unknown one is an error."""
+    row = read_metadata(spark, target).first()
+    scope = "all" if row is None or row.scope is None else row.scope
+    if scope not in SCOPES:
+        raise ValueError(f"recorded scope {scope!r} is none of {SCOPES}")
+    return scope
