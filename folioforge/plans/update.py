@@ -259,7 +259,7 @@ def run_windows(
         keep_html=keep_html,
         carry=ARRIVAL,
     )
-    windows = window_outcomes(placed, unique, batch.rows, progress, limit)
+    windows = stage(window_outcomes(placed, unique, batch.rows, progress, limit), "windows")
     window_ledger = L.resolve_windows(
         L.window_ledger(pending, requested), windows.where(F.col("status") == COMPLETE)
     )
@@ -326,19 +326,18 @@ def run_summary(
         F.count_if((kind == "retry") & (outcome == OK)).alias("recovered_details"),
         F.count_if(outcome == PERMANENTLY_EMPTY).alias("permanently_empty_details"),
     )
-    status = F.col("status")
-    done = windows.agg(F.count_if(status == COMPLETE).alias("n"))
-    failed = windows.agg(F.count_if(status == FAILED).alias("n"))
-    held_back = windows.agg(F.count_if(status == "pending").alias("n"))
+    by_status = windows.agg(
+        F.struct(*[F.count_if(F.col("status") == s).alias(s) for s in (COMPLETE, FAILED, "pending")])
+    ).scalar()
     left = window_ledger.agg(F.count("*").alias("n"))
     refs = ref_ledger.agg(F.count("*").alias("n"))
     return counted.select(
         "*",
-        done.scalar().alias("completed_windows"),
-        failed.scalar().alias("failed_window_attempts"),
+        by_status[COMPLETE].alias("completed_windows"),
+        by_status[FAILED].alias("failed_window_attempts"),
         left.scalar().alias("pending_windows"),
         refs.scalar().alias("pending_refs"),
-        (held_back.scalar() > 0).alias("limit_reached"),
+        (by_status["pending"] > 0).alias("limit_reached"),
     ).withColumn("partial", (F.col("pending_windows") > 0) | (F.col("pending_refs") > 0))
 
 
