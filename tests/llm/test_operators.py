@@ -138,6 +138,28 @@ def test_near_vectors_equal_brute_force(spark):
     assert got[506][:2] == (1, 1) and all(got[i] == (0, i, True) for i in range(500, 506)) and got[None] == (0, None, False)
 
 
+def test_near_vectors_of_a_common_direction_are_found(spark):
+    rng = np.random.default_rng(8)
+    n, dims, cosine = 6000, 32, 0.75
+    first = rng.standard_normal((n, dims))
+    first /= np.linalg.norm(first, axis=1)[:, None]
+    base = np.sqrt(1 - cosine) * first
+    base[:, 0] += np.sqrt(cosine)  # unrelated vectors have a cosine of about 0.75
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    side = rng.standard_normal((300, dims))
+    side -= (side * base[:300]).sum(1, keepdims=True) * base[:300]
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    base[300:600] = 0.905 * base[:300] + np.sqrt(1 - 0.905**2) * side
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(base)] + [(10_000 + i, [1.0] * dims) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_vectors(frame, window=16).collect()}
+    close = base @ base.T >= 0.9
+    links = sum(got[i][0] for i in range(n)) / (close.sum() - n)
+    planted = np.mean([got[i][1] == got[300 + i][1] for i in range(300)])
+    assert links >= 0.9 and planted >= 0.9
+    assert all(got[10_000 + i] == (199, 10_000) for i in range(200))
+
+
 def test_edit_distance_and_planted_items(spark):
     rng = random.Random(5)
     for _ in range(500):
