@@ -16,7 +16,6 @@ TOPIC_SAMPLE = 3_000  # documents that the topics are fitted to, at most
 DIMS = 512  # hashed words of a document's vector
 TEMPER = 0.9  # a category's target share is its share of tokens to this power
 ROUNDS = 200
-SPREAD = 2.0  # a cell's weight stays between 1 / SPREAD and SPREAD, or a rare cell would set the scale
 MOST_CELLS = 1_000_000  # (source, language, topic) combinations that occur; more is an error
 MARGINS = ("source", "lang", "topic")
 
@@ -78,12 +77,13 @@ def _name(category):
 
 
 def rake(cells: pd.DataFrame, targets: dict[str, dict], rounds: int = ROUNDS, close: float = 1e-9,
-         spread: float = SPREAD) -> np.ndarray:
+         spread: float | None = None) -> np.ndarray:
     """A weight per cell such that the weighted tokens meet each margin's target shares.
 
     Iterative proportional fitting: margins take turns in scaling their categories. A category
     without a target gets none of the mixture; one without tokens can't be met and is left out.
-    Weights are held within ``spread``; where that binds, the other cells make up for it.
+    With a ``spread``, weights are held between 1 / spread and spread, and targets are missed
+    where that binds.
     """
     tokens = cells["tokens"].to_numpy(dtype=float)
     weight = np.where(tokens > 0, 1.0, 0.0)
@@ -103,7 +103,8 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict], rounds: int = ROUNDS, cl
             factor = np.divide(goal / goal.sum(), have / have.sum(), out=np.zeros_like(have), where=have > 0)
             moved = max(moved, float(np.abs(factor[have > 0] - 1).max()))
             weight = weight * factor[codes]
-        weight = np.where(weight > 0, np.clip(weight, 1 / spread, spread), 0.0)
+        if spread is not None:
+            weight = np.where(weight > 0, np.clip(weight, 1 / spread, spread), 0.0)
         if moved < close:
             break
     return weight
@@ -118,7 +119,7 @@ def uniform(seed: int, *keys: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2**53)) / F.lit(float(2**53))
 
 
-def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0) -> DataFrame:
+def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None) -> DataFrame:
     """The decision on each distinct document: _id, _key (hash of the text), _source, _lang, _topic,
     _tokens, _weight, _probability and _kept.
 
@@ -126,7 +127,9 @@ def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int =
     table of cells; its weights are raked to the targets of all three margins (``targets`` by
     ``MARGINS``; tempered shares where none are given). A document is kept with a probability
     that is its cell's weight over the largest weight, so kept tokens follow the targets and no
-    document is repeated; the draw depends on seed, doc_id and text only. Documents without
+    document is repeated: a rare category that is raised a lot makes the sample small, unless
+    the caller bounds the weights by ``spread`` and misses the target; ``reached`` shows both.
+    The draw depends on seed, doc_id and text only. Documents without
     tokens have no share in any margin and are kept. Null sources and languages are categories
     of their own (None); rows that repeat a doc_id and text share their fate.
 
@@ -145,7 +148,7 @@ def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int =
     for m in ("source", "lang"):
         cells[m] = pd.Series([_name(x) for x in cells[m]], dtype=object)
     goals = {m: (targets or {}).get(m) or tempered(cells, m) for m in MARGINS}
-    cells["weight"] = rake(cells, goals)
+    cells["weight"] = rake(cells, goals, spread=spread)
     top = cells["weight"].max() if len(cells) else 0.0
     kind = StructType([StructField("_s", StringType()), StructField("_l", StringType()), StructField("_t", StringType()),
                        StructField("_weight", DoubleType()), StructField("_probability", DoubleType())])
@@ -162,17 +165,33 @@ def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int =
     return known
 
 
-def mixed_decisions(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0) -> DataFrame:
+def mixed_decisions(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None) -> DataFrame:
     """doc_id, source, lang, topic, tokens, weight, probability, kept: the decision on each distinct document."""
-    known = mixture(docs, targets, seed)
+    known = mixture(docs, targets, seed, spread)
     return known.select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
                         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.col("_weight").alias("weight"),
                         F.col("_probability").alias("probability"), F.col("_kept").alias("kept"))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0) -> DataFrame:
+def reached(decisions: DataFrame, targets: dict[str, dict] | None = None) -> pd.DataFrame:
+    """margin, category, before, target, expected, kept: shares of tokens in rows of ``mixed_decisions``.
+
+    ``targets`` are those the decisions were made with; ``expected`` is by probability, ``kept`` by draw.
+    """
+    p, k = F.col("tokens") * F.col("probability"), F.when(F.col("kept"), F.col("tokens"))
+    cells = decisions.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.sum(p).alias("expected"), F.sum(k).alias("kept")).toPandas()
+    out = []
+    for m in MARGINS:
+        goals = (targets or {}).get(m) or tempered(cells, m)
+        sums = cells.groupby(m, dropna=False)[["tokens", "expected", "kept"]].sum().astype(float)
+        shares = sums / np.maximum(sums.sum(), 1e-300)
+        out += [(m, _name(c), row["tokens"], goals.get(_name(c), 0.0), row["expected"], row["kept"]) for c, row in shares.iterrows()]
+    return pd.DataFrame(out, columns=["margin", "category", "before", "target", "expected", "kept"])
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None) -> DataFrame:
     """The rows of ``docs`` that the mixture keeps, with their own columns only."""
-    known = mixture(docs, targets, seed)
+    known = mixture(docs, targets, seed, spread)
     gone = known.where("not _kept").select("_id", F.col("_key").alias("_text"), F.col("_source").alias("_s"), F.col("_lang").alias("_l"))
     match = (docs["doc_id"].eqNullSafe(gone["_id"]) & (text_key() == gone["_text"])
              & docs["source"].eqNullSafe(gone["_s"]) & docs["lang"].eqNullSafe(gone["_l"]))

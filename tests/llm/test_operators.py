@@ -187,6 +187,17 @@ def test_edit_distance_and_planted_items(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6] and kept.columns == docs_of(spark, rows).columns
 
 
+def test_a_rare_source_reaches_a_large_target(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices(["oak", "elm", "fir", "ash", "yew", "bay"], k=100)), "en", "a" if i % 100 == 0 else "b") for i in range(20_000)]
+    targets = {"source": {"a": 0.5, "b": 0.5}}
+    decisions = mixing.mixed_decisions(docs_of(spark, rows).repartition(4), targets)
+    shares = {(r.margin, r.category): r for r in mixing.reached(decisions, targets).itertuples()}
+    rare = shares["source", "a"]
+    assert abs(rare.before - 0.01) < 1e-9 and rare.target == 0.5 and abs(rare.expected - 0.5) < 1e-6 and abs(rare.kept - 0.5) < 0.1
+    assert all(abs(r.expected - r.target) < 1e-6 for r in shares.values())
+
+
 def test_raking_meets_the_margins_and_rows_keep_their_columns(spark, corpus):
     import pandas as pd
 
