@@ -15,11 +15,12 @@ from folioforge.sources.files import open_bytes
 
 SHORTEST = 1000  # bytes of the smallest payload that others may revisit
 CHUNK = 8 * 2**20  # bytes of an archive that a task looks through
-HEADER = 2**20  # bytes of the longest header
+HEADER = 2**20  # bytes beyond a chunk that are read at first; more if a header needs them
 END = "\r\n\r\n"  # between records
 DATE = "2024-01-01T00:00:00Z"
 _MAGIC = b"WARC/1.1\r\n"
 _HEADER = re.compile(rb"WARC/1\.1\r\n((?:[A-Za-z0-9-]+:[^\r\n]*\r\n)+)\r\n")
+_BEGUN = re.compile(rb"WARC/1\.1\r\n(?:[A-Za-z0-9-]++:[^\r\n]*+\r\n)*+(?:[A-Za-z0-9-]++(?::[^\r\n]*+)?+)?+\r?+\Z")  # as far as it was read
 
 
 def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
@@ -84,6 +85,11 @@ def _candidates(chunk_bytes: int):
                 with open_bytes(path) as stream:
                     stream.seek(start)
                     data = stream.read(chunk_bytes + HEADER)
+                    at = data.find(_MAGIC)
+                    while 0 <= at < chunk_bytes:  # a header that was cut off is read to its end
+                        while not _HEADER.match(data, at) and _BEGUN.match(data, at) and (more := stream.read(len(data))):
+                            data += more
+                        at = data.find(_MAGIC, at + 1)
                 rows, at = [], data.find(_MAGIC)
                 while 0 <= at < chunk_bytes:
                     if match := _HEADER.match(data, at):
@@ -128,7 +134,8 @@ def read_records(spark: SparkSession, path: str, chunk_bytes: int = CHUNK) -> Da
     Files are looked through in chunks, for candidates and their successors. Pointer jumping
     from the start of each file then reaches a place in every chunk, in as many rounds as the
     number of chunks has bits, and only candidates on the chain from there are records: a
-    record's magic inside a payload is never reached. What follows a damaged record isn't either.
+    record's magic inside a payload is never reached. A file whose chain doesn't end exactly at
+    its length holds something else or a damaged record, and is an error.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
@@ -141,7 +148,11 @@ def read_records(spark: SparkSession, path: str, chunk_bytes: int = CHUNK) -> Da
         reached = stage(reached.union(reached.join(jumps, ["path", "start"]).select("path", F.col("leaves").alias("start"))).distinct(), "reached")
         then = jumps.select("path", F.col("start").alias("leaves"), F.col("leaves").alias("further"))
         jumps = stage(jumps.join(then, ["path", "leaves"]).select("path", "start", F.col("further").alias("leaves")), "jumps")
-    entries = found.join(reached, ["path", "start"]).select("path", "chunk", F.col("first").alias("entry"))
+    entries = stage(found.join(reached, ["path", "start"]).select("path", "chunk", F.col("first").alias("entry"), "leaves"), "entries")
+    ends = entries.select("path", F.col("leaves").alias("length"))
+    if broken := files.join(ends, ["path", "length"], "left_anti").select("path").take(1):
+        raise ValueError(f"{broken[0][0]} has bytes that no record of it leads to")
+    entries = entries.drop("leaves")
     return (found.join(entries, ["path", "chunk"]).where("first <= entry and entry < last")
             .select("path", "chunk", "start", "kind", "record_id", "refers_to", "digest", "block", "size"))
 

@@ -233,6 +233,22 @@ def test_archives_come_back_whole(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_archives_with_long_headers_and_damage(spark, tmp_path):
+    url = "data:text/plain," + "x" * 1_500_000
+    rows = [(i, url if i in (3, 6) else f"http://a/{i}", f"page {i} " * 40) for i in range(10)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    want = {(i, len(h.encode()), hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows}
+    warc.write_archives(frame, str(tmp_path / "whole"))
+    for chunk in (3000, 1_000_000):
+        assert {(r.page_id, r.payload_bytes, r.payload_digest) for r in warc.read_payloads(spark, str(tmp_path / "whole"), chunk).collect()} == want
+    data = next((tmp_path / "whole").glob("part-*")).read_bytes()
+    for k, damaged in enumerate((data[:-3], data.replace(b"WARC/1.1\r\nWARC-Type", b"WARC/1.0\r\nWARC-Type", 1), data + b"more")):
+        (tmp_path / f"damaged{k}").mkdir()
+        (tmp_path / f"damaged{k}" / "part-0").write_bytes(damaged)
+        with pytest.raises(ValueError, match="part-0"):
+            warc.read_records(spark, str(tmp_path / f"damaged{k}"), 3000)
+
+
 def test_odd_markup_and_decoding():
     page = dom.parse("<p class='a>b'>x &amp; y<p>z<!-- <p>no --><script>var t='</p>'</script><ul><li>1<li>2</ul><title>t</title>tail<b")
     assert dom.assemble(page.pieces, [True] * len(page.tags)) == "x & y z 1 2 tail<b"
