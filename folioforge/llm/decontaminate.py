@@ -89,13 +89,15 @@ class Index:
         out = []
         for number, begins in found.items():
             item_id, item, budget = self.items[number]
-            best, reach = None, -1
+            best, windows = None, []
             for begin in sorted(begins):
                 lo, hi = max(0, begin - budget), min(len(words), begin + len(item) + budget)
-                if lo <= reach - len(item) - budget:  # this window adds nothing to the last one
-                    continue
+                if windows and lo <= windows[-1][1]:  # windows that meet are searched as one
+                    windows[-1][1] = max(hi, windows[-1][1])
+                else:
+                    windows.append([lo, hi])
+            for lo, hi in windows:
                 distance, end = best_end(item, words[lo:hi])
-                reach = hi
                 if distance <= budget and (best is None or distance < best[0]):
                     back, length = best_end(item[::-1], words[lo : lo + end][::-1])
                     best = (distance, lo + end - length, lo + end)

@@ -187,6 +187,34 @@ def test_edit_distance_and_planted_items(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6] and kept.columns == docs_of(spark, rows).columns
 
 
+def test_search_finds_what_the_whole_text_holds():
+    rng = random.Random(11)
+
+    def check(item, text):
+        index = decontaminate.Index([(1, " ".join(item))], 0.2, 8)
+        distance, end = decontaminate.best_end(item, text)
+        length = decontaminate.best_end(item[::-1], text[:end][::-1])[1]
+        want = [(1, distance, end - length, end)] if distance <= int(len(item) * 0.2) else []
+        assert index.search(" ".join(text)) == want
+        return bool(want)
+
+    item = [f"w{i}" for i in range(20)]
+    inserted = [x for i, word in enumerate(item) for x in ([f"new{i}", word] if i in (6, 10, 14, 18) else [word])]
+    assert check(item, item[:4] + inserted)  # a piece recurs just before the passage
+    hits = 0
+    for _ in range(3000):
+        item = rng.choices("abcdefghijkl"[: rng.randint(2, 12)], k=rng.randint(8, 30))
+        text = rng.choices("abcdefghijkl", k=rng.randint(0, 10))
+        for _ in range(rng.randint(1, 3)):
+            copy = item[rng.choice([0, 0, rng.randrange(len(item))]) : rng.choice([len(item), rng.randint(1, len(item))])]
+            for _ in range(rng.randint(0, 6)):
+                at = rng.randint(0, len(copy))
+                copy[at : at + rng.randint(0, 1)] = rng.choices("abcxyz", k=rng.randint(0, 1))
+            text += copy + rng.choices("abcdefghijkl", k=rng.randint(0, 4))
+        hits += check(item, text)
+    assert 500 < hits < 2900
+
+
 def test_a_rare_source_reaches_a_large_target(spark):
     rng = random.Random(12)
     rows = [(i, " ".join(rng.choices(["oak", "elm", "fir", "ash", "yew", "bay"], k=100)), "en", "a" if i % 100 == 0 else "b") for i in range(20_000)]
