@@ -8,10 +8,13 @@ from html import unescape
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
-HIDDEN = frozenset("head select option datalist button object svg canvas audio video map math".split())
+RAW = frozenset("script style textarea title template".split())
+HIDDEN = frozenset("head select option datalist button".split())
+FOREIGN = frozenset(("svg", "math"))  # inside them a tag may close itself
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small "
-                   "span strike strong sub sup time tt u var wbr img".split())
+                   "span strike strong sub sup time tt u var wbr img math maction menclose merror mfrac mi mmultiscripts mn mo mover "
+                   "mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover none "
+                   "semantics annotation".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -44,31 +47,33 @@ class Page:
 
 
 def parse(html: str) -> Page:
-    """Nodes and text of the page; never fails. Scripts, styles, heads and controls have no text."""
+    """Nodes and text of the page; never fails. Scripts, styles, templates, heads and controls have no text."""
     page = Page()
     tags, names, parents, pieces = page.tags, page.names, page.parents, page.pieces
     tags.append("")
     names.append("")
     parents.append(-1)
     stack: list[tuple[str, int]] = [("", 0)]  # open elements, with the node that holds their text
-    hidden = links = block = at = 0
+    hidden = links = foreign = block = at = 0
     size = len(html)
 
     def close(depth: int) -> None:
-        nonlocal hidden, links, block
+        nonlocal hidden, links, foreign, block
         while len(stack) > depth:
             tag, _ = stack.pop()
             if tag in HIDDEN:
                 hidden -= 1
             elif tag == "a":
                 links -= 1
+            elif tag in FOREIGN:
+                foreign -= 1
             if tag not in INLINE:
                 block += 1
 
-    def text(lo: int, hi: int) -> None:
+    def text(lo: int, hi: int, raw: bool = False) -> None:
         if hi > lo and not hidden:
             piece = html[lo:hi]
-            pieces.append((stack[-1][1], block, links > 0, unescape(piece) if "&" in piece else piece))
+            pieces.append((stack[-1][1], block, links > 0, unescape(piece) if "&" in piece and not raw else piece))
 
     while at < size:
         found = _TOKEN.search(html, at)
@@ -113,7 +118,7 @@ def parse(html: str) -> Page:
                     break
         if tag not in INLINE:
             block += 1
-        if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
+        if tag in VOID or attributes.endswith("/") and (foreign or tag in FOREIGN or tag == "path"):
             continue
         node = stack[-1][1]
         label = label_of(attributes)
@@ -127,6 +132,13 @@ def parse(html: str) -> Page:
             hidden += 1
         elif tag == "a":
             links += 1
+        elif tag in FOREIGN:
+            foreign += 1
+        elif tag == "xmp":  # its text holds no markup
+            match = re.compile("</xmp[\\s/>]", re.I).search(html, at)
+            stop = match.start() if match else size
+            text(at, stop, raw=True)
+            at = stop
     return page
 
 

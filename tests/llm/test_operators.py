@@ -300,6 +300,24 @@ def test_main_text_of_given_pages(spark):
     assert right >= 0.97 * pages.count() and rows[9001].text == rows[9002].text == ""
 
 
+def test_formulas_and_preformatted_text_are_article_text(spark):
+    page = dom.parse("<p>so <math><mi>a</mi><mspace/><mo>=</mo><mn>4</mn></math>, <svg><path/><text>b</text></svg>"
+                     "<xmp><b>&amp;</xmp>c<object>d</object><map>e</map><noscript><i>f</i></noscript><template>no</template><select><option>no</select>")
+    assert dom.assemble(page.pieces, [True] * len(page.tags)) == "so a=4, b <b>&amp; c d e f"
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    forest = extract.fit_extractor(pages)
+    right = total = 0
+    for tag in ("math", "xmp", "object", "map", "noscript"):
+        rows = []
+        for r in pages.orderBy("page_id").limit(20).collect():
+            start = r.html.index("</article>")
+            words = "Preformatted words that stand in the article, as its other sentences do, and belong to it."
+            rows.append((r.page_id, "u", r.html[:start] + f"<{tag}>{words}</{tag}>" + r.html[start:]))
+        got = extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), forest).collect()
+        right, total = right + sum(words in r.text for r in got), total + len(got)
+    assert right >= 0.95 * total
+
+
 def test_quality_on_held_out_rows_and_odd_texts(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = {r.doc_id: r for r in quality.quality_scores(docs, labels).collect()}
