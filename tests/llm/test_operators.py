@@ -344,3 +344,61 @@ def test_empty_tables(spark):
                   neighbours.near_vectors(vectors), decontaminate.contamination(docs, bench), mixing.mixed_decisions(docs),
                   mixing.mixed(docs), quality.quality_scores(docs, labels), extract.extract_pages(pages), warc.archive_round_trip(pages)):
         assert frame.count() == 0
+
+
+def test_stages_equal_brute_force(spark, tmp_path):
+    from collections import Counter
+
+    import corpus_pipeline
+    from folioforge.session import stage
+
+    folder = str(tmp_path / "sf")
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("labels", "benchmark"))
+    rows = [r.asDict() for r in given.orderBy("doc_id").limit(120).collect()]
+    item = next(t for _, t in bench.select("item_id", "text").orderBy("item_id").collect() if len(decontaminate.words_of(t)) >= 8)
+    rows += [rows[1], rows[1], rows[2] | {"doc_id": None}, rows[3] | {"doc_id": 90_001}, rows[4] | {"doc_id": 90_002, "text": rows[4]["text"] + " end"},
+             rows[5] | {"doc_id": 90_003, "text": f"{rows[5]['text']} {item}"}, rows[6] | {"doc_id": None, "text": item}, rows[7] | {"text": rows[3]["text"]},
+             rows[8] | {"doc_id": None, "text": None}, rows[9] | {"doc_id": 90_004, "text": ""}]
+    spark.createDataFrame(rows, given.schema).write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    bench.write.parquet(f"{folder}/benchmark.parquet")
+
+    def by_quality(docs):
+        score = quality.quality_score(quality.fit_quality(docs, labels))
+        return [r[:-1] for r in docs.select("*", score("text").alias("_score")).collect() if r[-1] >= quality.THRESHOLD]
+
+    def by_copies(docs):
+        own = docs.collect()
+        sets, top = [shingles_of(r.text) for r in own], list(range(len(own)))
+        for i in range(len(own)):
+            for j in range(i):
+                if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    top = [top[j] if t == top[i] else t for t in top]
+        least = {}
+        for t, r in zip(top, own, strict=True):
+            if r.doc_id is not None:
+                least[t] = min(least.get(t, r.doc_id), r.doc_id)
+        gone = {r.doc_id for t, r, s in zip(top, own, sets, strict=True) if s and r.doc_id is not None and r.doc_id != least[t]}
+        return [r for r in own if r.doc_id not in gone]
+
+    def by_items(docs):
+        items = [w for _, t in bench.select("item_id", "text").collect() if len(w := decontaminate.words_of(t)) >= 8]
+        held = {r.doc_id for r in docs.collect() if r.text is not None
+                and any(decontaminate.best_end(w, decontaminate.words_of(r.text))[0] <= int(len(w) * 0.2) for w in items)}
+        return [r for r in docs.collect() if r.doc_id not in held]
+
+    def by_draw(docs):
+        kept = {(r["_id"], r["_key"], r["_source"], r["_lang"]) for r in mixing.mixture(docs).where("_kept").collect()}
+        return [r[:-1] for r in docs.select("*", mixing.text_key().alias("_k")).collect() if (r.doc_id, r["_k"], r.source, r.lang) in kept]
+
+    docs, sizes = spark.read.parquet(f"{folder}/documents.parquet"), []
+    for (name, step), brute in zip(corpus_pipeline.STAGES[:-1], (by_quality, by_copies, by_items, by_draw), strict=True):
+        after = stage(step(spark, docs, folder), name)
+        assert after.columns == docs.columns
+        assert Counter(map(tuple, after.collect())) == Counter(map(tuple, brute(docs))), name
+        sizes.append((docs.count(), after.count()))
+        docs = after
+    assert sizes[1][1] < sizes[1][0] and sizes[2][1] < sizes[2][0] and sizes[3][1] > 0
+    last = corpus_pipeline.run(spark, folder).collect()
+    assert Counter(map(tuple, last)) == Counter(map(tuple, corpus_pipeline.sharding(spark, docs, folder).collect())) and len(last) == sizes[3][1]
