@@ -10,6 +10,7 @@ from folioforge.llm.jaccard import jaccard_components
 from folioforge.llm.lines import line_digest
 from folioforge.llm.mixing import mixed_decisions
 from folioforge.llm.neighbours import near_vectors
+from folioforge.llm.phrases import collocations
 from folioforge.llm.quality import quality_scores
 from folioforge.llm.secret_scan import duck_sql, secret_digest
 from folioforge.llm.shards import shard_documents
@@ -131,3 +132,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op13_phrase_collocations", """
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[.,;:!?\\x0A-\\x0D]')) as p from documents),
+words as (select lang, regexp_extract_all(p, '[^\\x20\\x09]+') as w from pieces),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+  from words, (select unnest([1, 2, 3, 4, 5]) as k) ks where len(w) >= k),
+f as (select lang, k, phrase, count(*) as f from grams group by all),
+n as (select lang, sum(f)::bigint as n from f where k = 1 group by 1),
+c as (select *, string_split(phrase, ' ') as w from f where k >= 2 and f >= 100),
+cuts as (
+  select lang, phrase, k, f, j, array_to_string(w[1:j], ' ') as p, array_to_string(w[j + 1:], ' ') as q
+  from c, (select unnest([1, 2, 3, 4]) as j) js where j < k),
+scored as (
+  select x.lang, x.phrase, x.k, x.f as a, l.f as l, r.f as r, n, j,
+    ((1000::hugeint * x.f * n) // (l.f::hugeint * r.f))::bigint as score
+  from cuts x join f l on l.lang = x.lang and l.phrase = p join f r on r.lang = x.lang and r.phrase = q
+  join n on n.lang = x.lang
+  qualify row_number() over (partition by x.lang, x.phrase order by score, j) = 1),
+kept as (
+  select * from scored s where not exists (
+    select 1 from c where c.lang = s.lang and c.k > s.k and c.f >= s.a
+      and contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept qualify rank <= 2000""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 closest phrases of two to five words."""
+    return collocations(table(spark, sf_dir, "documents"))
