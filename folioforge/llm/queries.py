@@ -12,6 +12,7 @@ from folioforge.llm.mixing import mixed_decisions
 from folioforge.llm.neighbours import near_vectors
 from folioforge.llm.phrases import collocations
 from folioforge.llm.quality import quality_scores
+from folioforge.llm.repeats import repeat_digest
 from folioforge.llm.secret_scan import duck_sql, secret_digest
 from folioforge.llm.shards import shard_documents
 from folioforge.llm.warc import archive_round_trip
@@ -164,3 +165,29 @@ from kept qualify rank <= 2000""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2000 closest phrases of two to five words."""
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_repeated_bytes", """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
+strings as (
+  select doc_id, x, md5_number(substr(h, 2 * x + 1, 800)) as s
+  from (select doc_id, h, unnest(range(0, n - 399)) as x from d where n >= 400) a),
+repeated as (select doc_id, x from strings qualify count(*) over (partition by s) > 1),
+marked as (
+  select *, sum(cast(x > before + 400 as int)) over (partition by doc_id order by x) as run
+  from (select *, lag(x, 1, -1000) over (partition by doc_id order by x) as before from repeated) a),
+runs as (select doc_id, run, min(x) as low, max(x) + 400 as high from marked group by 1, 2),
+pieces as (
+  select r.doc_id, low, high, substr(h, 2 * before + 1, 2 * (low - before)) as piece,
+    substr(h, 2 * high + 1) as rest, low = max(low) over (partition by r.doc_id) as final
+  from (select *, lag(high, 1, 0) over (partition by doc_id order by low) as before from runs) r join d on d.doc_id = r.doc_id),
+kept as (
+  select doc_id, sum(high - low)::bigint as n_removed, count(*) as n_spans,
+    string_agg(piece, '' order by low) || max(rest) filter (final) as kept from pieces group by 1)
+select d.doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept, h))) as kept_sha256
+from d left join kept k on k.doc_id = d.doc_id""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes that strings of 400 bytes repeat, and the digest of what stays."""
+    return repeat_digest(table(spark, sf_dir, "documents"))
