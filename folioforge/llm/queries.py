@@ -15,6 +15,7 @@ from folioforge.llm.quality import quality_scores
 from folioforge.llm.repeats import repeat_digest
 from folioforge.llm.secret_scan import duck_sql, secret_digest
 from folioforge.llm.shards import shard_documents
+from folioforge.llm.turns import damaged, repair_report
 from folioforge.llm.warc import archive_round_trip
 
 QUERIES = {}
@@ -191,3 +192,10 @@ from d left join kept k on k.doc_id = d.doc_id""")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes that strings of 400 bytes repeat, and the digest of what stays."""
     return repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after the set damage, and its cheapest repair."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair_report(turns, damaged(turns))
