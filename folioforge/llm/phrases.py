@@ -43,20 +43,34 @@ def _numbers(text: str, words: _Words) -> np.ndarray:
     return ids
 
 
-def _shards(batches, size: int):
-    """(words, {language: (numbers, words of the language in the corpus)}) of bounded size each."""
-    words, parts, totals, held = _Words(), {}, {}, 0
-    for batch in batches:
-        for lang, text, n in zip(*(batch[c].to_pylist() for c in ("lang", "text", "n")), strict=True):
-            ids = _numbers(text, words)
-            parts.setdefault(lang, []).append(ids)
-            totals[lang] = n
-            held += len(ids)
-            if held >= size:
-                yield list(words), {x: (np.concatenate(p), totals[x]) for x, p in parts.items()}
-                words, parts, totals, held = _Words(), {}, {}, 0
-    if parts:
-        yield list(words), {x: (np.concatenate(p), totals[x]) for x, p in parts.items()}
+_SHARD = "lang string, n long, words binary, ids binary"
+
+
+def _shards(docs: DataFrame, size: int) -> DataFrame:
+    """A row per language of each shard: its number of words, its distinct words, and its texts as their numbers."""
+
+    def packed(parts):
+        rows = [(lang, words, np.concatenate(ids)) for lang, (words, ids) in parts.items()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([int((r[2] > 0).sum()) for r in rows], pa.int64()),
+             pa.array([b" ".join(list(r[1])[1:]) for r in rows], pa.binary()), pa.array([r[2].tobytes() for r in rows], pa.binary())],
+            ["lang", "n", "words", "ids"])
+
+    def run(batches):
+        parts, held = {}, 0
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words, ids = parts.setdefault(lang, (_Words(), []))
+                ids.append(_numbers(text, words))
+                held += len(ids[-1])
+                if held >= size:
+                    yield packed(parts)
+                    parts, held = {}, 0
+        if parts:
+            yield packed(parts)
+
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(run, _SHARD)
 
 
 def _seed(lang: str) -> np.uint64:
@@ -87,41 +101,45 @@ def _filter_of(phrases: DataFrame):
     return phrases.sparkSession.sparkContext.broadcast(bits)
 
 
-def _same(ids: np.ndarray, at: np.ndarray, k: int, base: int):
-    """The k-word phrases that begin at ``at``: (first place, number per place, count); exact, without hashes."""
-    names = ids[at].astype(np.int64)
-    for i in range(1, k):
-        names = names * base + ids[at + i]
-        if i < k - 1:
-            names = np.unique(names, return_inverse=True)[1]
-    _, first, inverse, counts = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
-    return first, inverse, counts
-
-
-def _frequent(words, lang, ids, least, lengths, filters):
-    """(k, places of one occurrence, counts) of all phrases of ``lengths`` that the shard holds ``least`` times.
+def _frequent(words: list[bytes], lang: str, ids: np.ndarray, least: int, lengths, filters):
+    """(k, phrases as rows of word numbers, counts) of all phrases of ``lengths`` that the shard holds ``least`` times.
 
     ``filters`` holds, by length, what phrases and their parts may be; a phrase is looked at only
-    where the two phrases one word shorter passed.
+    where the two phrases one word shorter passed. Phrases are named exactly: by the number of
+    the phrase without its last word, and that word.
     """
     hashes, known = np.zeros(len(words), np.uint64), WordHashes()
     hashes[1:] = [known[w] for w in words[1:]]
-    hashes = hashes[ids]
-    good = ids > 0
-    for k in range(1, max(lengths) + 1):
-        if k > 1:
-            good = np.concatenate([good[:-1] & good[1:], [False]])
-        at = np.flatnonzero(good)
+    may = np.zeros(len(words), bool)
+    may[1:] = _passes(filters[1], lang, hashes[1:, None])
+    names = np.where(may, np.arange(len(words)), -1)[ids]
+    spelt, base = np.arange(len(words))[:, None], len(words)
+    for k in range(2, max(lengths) + 1):
+        at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
         if k in filters:
-            slots = _slots(lang, np.stack([hashes[at + i] for i in range(k)], 1))
-            at = at[filters[k][slots >> 3] >> (slots & 7) & 1 == 1]
-        if k in lengths and len(at):
-            first, inverse, counts = _same(ids, at, k, len(words))
-            often = counts >= least
-            yield k, at[first[often]], counts[often]
-            at = at[often[inverse]]
-        good = np.zeros(len(ids), bool)
-        good[at] = True
+            at = at[_passes(filters[k], lang, np.stack([hashes[ids[at + i]] for i in range(k)], 1))]
+        codes = names[at] * base + ids[at + k - 1]
+        found, counts = np.unique(codes, return_counts=True)
+        often = counts >= (least if k in lengths else 1)
+        found, counts = found[often], counts[often]
+        spelt = np.concatenate([spelt[found // base], found[:, None] % base], 1)
+        if k in lengths:
+            yield k, spelt, counts
+        if k < max(lengths) and len(found):
+            place = np.minimum(np.searchsorted(found, codes), len(found) - 1)
+            names = np.full(len(ids), -1)
+            passed = found[place] == codes
+            names[at[passed]] = place[passed]
+        elif not len(found):
+            return
+
+
+def _passes(bits: np.ndarray, lang: str, hashes: np.ndarray) -> np.ndarray:
+    slots = _slots(lang, hashes)
+    return bits[slots >> 3] >> (slots & 7) & 1 == 1
+
+
+_COUNTS = "lang string, phrase string, k int, f long"
 
 
 def _rows(lang, phrases, k, counts) -> pa.RecordBatch:
@@ -131,55 +149,60 @@ def _rows(lang, phrases, k, counts) -> pa.RecordBatch:
          pa.array(counts, pa.int64())], ["lang", "phrase", "k", "f"])
 
 
-def _counts(docs: DataFrame, lengths, filters, mine: bool, support: int, shard_words: int) -> DataFrame:
-    """(lang, phrase, k, f) by shard: all that pass the filters, or those above the shard's share of the support."""
+def _unpacked(batches, names):
+    for batch in batches:
+        for lang, words, ids, *rest in zip(*(batch.column(name) for name in names), strict=True):
+            yield (lang.as_py(), [_BREAK, *words.as_py().split(b" ")], np.frombuffer(ids.as_py(), np.int32), *(x.as_py() for x in rest))
+
+
+def _words(batches):
+    """(lang, word, 1, count) of each shard."""
+    for lang, words, ids in _unpacked(batches, ("lang", "words", "ids")):
+        counts = np.bincount(ids, minlength=len(words))[1:]
+        yield _rows(lang, [w.decode("utf-8", "surrogatepass") for w in words[1:]] if counts.any() else [], 1, counts if counts.any() else [])
+
+
+def _phrases(shards: DataFrame, lengths, filters, support: int | None) -> DataFrame:
+    """(lang, phrase, k, f) by shard: all that pass the filters, or those above the shard's share of ``support``."""
 
     def run(batches):
         bits = {k: b.value for k, b in filters.items()}
-        for words, langs in _shards(batches, shard_words):
-            for lang, (ids, total) in langs.items():
-                n = int((ids > 0).sum())
-                if 1 in lengths:  # the number of words goes along as a row without a phrase
-                    yield _rows(lang, [None], 0, [n])
-                # The sum of the shards' shares is the support, so one shard at least reaches its own.
-                least = max(1, -(-support * n // int(total))) if mine else 1
-                for k, at, counts in _frequent(words, lang, ids, least, lengths, bits):
-                    spelt = [b" ".join([words[i] for i in row]).decode("utf-8", "surrogatepass")
-                             for row in np.stack([ids[at + i] for i in range(k)], 1).tolist()]
-                    yield _rows(lang, spelt, k, counts)
+        for lang, words, ids, n, total in _unpacked(batches, ("lang", "words", "ids", "n", "total")):
+            # The sum of the shards' shares is the support, so one shard at least reaches its own.
+            least = max(1, -(-support * n // total)) if support else 1
+            for k, spelt, counts in _frequent(words, lang, ids, least, lengths, bits):
+                yield _rows(lang, [b" ".join([words[i] for i in row]).decode("utf-8", "surrogatepass") for row in spelt.tolist()], k, counts)
 
-    return docs.mapInArrow(run, "lang string, phrase string, k int, f long")
+    return shards.mapInArrow(run, _COUNTS)
 
 
 def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, phrase, k, f): words per language (k = 0, no phrase), and all phrases of 1 to ``longest``
     words with f >= ``support``, counted exactly.
 
-    Two steps, pairs and then longer phrases, each in two passes over the texts. The first mines
-    every shard (a task's next ``shard_words`` words) completely at the share of the support that
-    its words are of the language's; a phrase that reaches the support reaches that share in some
-    shard, so the union holds every result. The second counts the union in all texts. Tasks know
-    the union, the frequent words and the frequent pairs as filters of fixed size; what passes by
-    chance is counted like the rest. Beyond ``support`` shards the share is one occurrence, and
-    the pruning rests on the words and pairs counted before.
+    A shard is a task's next ``shard_words`` words, numbered once and staged. Two steps follow, pairs
+    and then longer phrases, of two passes each. The first mines every shard completely at the share
+    of the support that its words are of the language's; a phrase that reaches the support
+    reaches that share in some shard, so the union holds every result. The second counts the union in
+    all shards. Tasks know the union, the frequent words and the frequent pairs as filters of fixed
+    size; what passes by chance is counted like the rest. Beyond ``support`` shards the share is one
+    occurrence, and the pruning rests on the words and pairs counted before.
     """
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                        F.coalesce("text", F.lit("")).alias("text"))
-    total = lambda rows: rows.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
-    bare = texts.withColumn("n", F.lit(1).cast("long"))
-    known = stage(total(_counts(bare, [1], {}, False, support, shard_words)).where(F.col("phrase").isNull() | (F.col("f") >= support)), "words")
-    sizes = known.where("k = 0").select("lang", F.greatest("f", F.lit(1)).alias("n"))
-    sized = texts.join(sizes, "lang")
-    filters = {1: _filter_of(known.where("k = 1"))}
+    total = lambda rows: rows.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    shards = stage(_shards(docs, shard_words), "shards")
+    sizes = shards.groupBy("lang").agg(F.sum("n").alias("total")).where("total > 0")
+    known = stage(total(shards.mapInArrow(_words, _COUNTS)), "words")
+    shards = shards.join(stage(sizes, "sizes"), "lang")
+    filters = {1: _filter_of(known)}
     for lengths in ([2], range(3, longest + 1)):
-        if longest < min(lengths, default=longest + 1):
+        if not lengths or longest < 2:
             break
-        union = stage(_counts(sized, lengths, filters, True, support, shard_words).select("lang", "phrase", "k").distinct(), "union")
+        union = stage(_phrases(shards, lengths, filters, support).select("lang", "phrase", "k").distinct(), "union")
         bits = {k: _filter_of(union.where(F.col("k") == k)) for k in lengths}
-        counted = stage(total(_counts(bare, lengths, filters | bits, False, support, shard_words)).where(F.col("f") >= support), "counts")
+        counted = stage(total(_phrases(shards, lengths, filters | bits, None)), "counts")
         known = known.union(counted)
         filters = filters | {2: _filter_of(counted)} if lengths == [2] else filters
-    return known
+    return known.union(sizes.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("k"), F.col("total").alias("f")))
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP) -> DataFrame:
