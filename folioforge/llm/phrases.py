@@ -19,6 +19,7 @@ TOP = 2000  # phrases reported per language
 SHARD_WORDS = 4_000_000  # words mined together; bounds a task's memory
 FILTER_BITS = 1 << 24  # of a filter in the tasks; more phrases make it weaker, never wrong
 SALTS = 64
+STEP = 100_000  # places or phrases handled together
 
 _BREAK = b"\xff"  # never part of UTF-8
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _BREAK * 10)
@@ -112,13 +113,15 @@ def _frequent(words: list[bytes], lang: str, ids: np.ndarray, least: int, length
     hashes[1:] = [known[w] for w in words[1:]]
     may = np.zeros(len(words), bool)
     may[1:] = _passes(filters[1], lang, hashes[1:, None])
-    names = np.where(may, np.arange(len(words)), -1)[ids]
+    names = np.where(may, np.arange(len(words), dtype=np.int32), np.int32(-1))[ids]
     spelt, base = np.arange(len(words))[:, None], len(words)
     for k in range(2, max(lengths) + 1):
         at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
         if k in filters:
-            at = at[_passes(filters[k], lang, np.stack([hashes[ids[at + i]] for i in range(k)], 1))]
-        codes = names[at] * base + ids[at + k - 1]
+            parts = [part[_passes(filters[k], lang, np.stack([hashes[ids[part + i]] for i in range(k)], 1))]
+                     for part in np.split(at, range(STEP, len(at), STEP))]
+            at = np.concatenate(parts)
+        codes = names[at].astype(np.int64) * base + ids[at + k - 1]
         found, counts = np.unique(codes, return_counts=True)
         often = counts >= (least if k in lengths else 1)
         found, counts = found[often], counts[often]
@@ -127,7 +130,7 @@ def _frequent(words: list[bytes], lang: str, ids: np.ndarray, least: int, length
             yield k, spelt, counts
         if k < max(lengths) and len(found):
             place = np.minimum(np.searchsorted(found, codes), len(found) - 1)
-            names = np.full(len(ids), -1)
+            names = np.full(len(ids), -1, np.int32)
             passed = found[place] == codes
             names[at[passed]] = place[passed]
         elif not len(found):
@@ -171,7 +174,10 @@ def _phrases(shards: DataFrame, lengths, filters, support: int | None) -> DataFr
             # The sum of the shards' shares is the support, so one shard at least reaches its own.
             least = max(1, -(-support * n // total)) if support else 1
             for k, spelt, counts in _frequent(words, lang, ids, least, lengths, bits):
-                yield _rows(lang, [b" ".join([words[i] for i in row]).decode("utf-8", "surrogatepass") for row in spelt.tolist()], k, counts)
+                for begin in range(0, len(spelt), STEP):
+                    part = spelt[begin : begin + STEP].tolist()
+                    yield _rows(lang, [b" ".join([words[i] for i in row]).decode("utf-8", "surrogatepass") for row in part],
+                                k, counts[begin : begin + STEP])
 
     return shards.mapInArrow(run, _COUNTS)
 
