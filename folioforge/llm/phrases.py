@@ -16,8 +16,8 @@ from folioforge.session import stage
 SUPPORT = 100  # occurrences of the rarest phrase that counts
 LONGEST = 5  # words of the longest phrase
 TOP = 2000  # phrases reported per language
-SHARD_WORDS = 4_000_000  # words mined together; bounds a task's memory
-FILTER_BITS = 1 << 24  # of a filter in the tasks; more phrases make it weaker, never wrong
+SHARD_WORDS = 3_000_000  # words mined together; bounds a task's memory
+FILTER_BITS = 1 << 26  # of a filter in the tasks; more phrases make it weaker, never wrong
 SALTS = 64
 STEP = 100_000  # places or phrases handled together
 
@@ -60,9 +60,9 @@ def _shards(docs: DataFrame, size: int) -> DataFrame:
     def run(batches):
         parts, held = {}, 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words, ids = parts.setdefault(lang, (_Words(), []))
-                ids.append(_numbers(text, words))
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):  # one text at a time
+                words, ids = parts.setdefault(lang.as_py(), (_Words(), []))
+                ids.append(_numbers(text.as_py(), words))
                 held += len(ids[-1])
                 if held >= size:
                     yield packed(parts)
@@ -116,19 +116,27 @@ def _frequent(words: list[bytes], lang: str, ids: np.ndarray, least: int, length
     names = np.where(may, np.arange(len(words), dtype=np.int32), np.int32(-1))[ids]
     spelt, base = np.arange(len(words))[:, None], len(words)
     for k in range(2, max(lengths) + 1):
-        at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
+        good = (names[:-1] >= 0) & (names[1:] >= 0)
         if k in filters:
-            parts = [part[_passes(filters[k], lang, np.stack([hashes[ids[part + i]] for i in range(k)], 1))]
-                     for part in np.split(at, range(STEP, len(at), STEP))]
-            at = np.concatenate(parts)
-        codes = names[at].astype(np.int64) * base + ids[at + k - 1]
-        found, counts = np.unique(codes, return_counts=True)
+            for part in np.split(np.flatnonzero(good), range(STEP, int(good.sum()), STEP)):
+                good[part] = _passes(filters[k], lang, np.stack([hashes[ids[part + i]] for i in range(k)], 1))
+        at = np.flatnonzero(good).astype(np.int32)  # a shard of more words than that would be no shard
+        codes = names[at].astype(np.int64)
+        codes *= base
+        codes += ids[at + k - 1]
+        more = k < max(lengths)
+        ordered = np.sort(codes) if more else codes
+        if not more:
+            ordered.sort()
+        ends = np.flatnonzero(np.concatenate([ordered[1:] != ordered[:-1], [True]])) if len(ordered) else np.empty(0, np.int64)
+        found, counts = ordered[ends], np.diff(ends, prepend=-1)
+        del ordered
         often = counts >= (least if k in lengths else 1)
         found, counts = found[often], counts[often]
         spelt = np.concatenate([spelt[found // base], found[:, None] % base], 1)
         if k in lengths:
             yield k, spelt, counts
-        if k < max(lengths) and len(found):
+        if more and len(found):
             place = np.minimum(np.searchsorted(found, codes), len(found) - 1)
             names = np.full(len(ids), -1, np.int32)
             passed = found[place] == codes
