@@ -30,6 +30,7 @@ GRAM = 8  # bytes that decide about a trigger
 TASK_ROWS = 500_000  # blocks sorted in one task
 GROUP = 2_000  # blocks of one core whose suffixes are sorted in one task; larger groups go by hashes of whole strings
 SEGMENT = 1 << 20  # bytes hashed at a time
+FILTER_BITS = 1 << 24
 
 _BLOCKS = "core long, hull long, at int, size int, tie int, doc_id long, text_key long"
 
@@ -68,9 +69,9 @@ class _Hashes:
         return mix(out)
 
 
-def _triggers(data: np.ndarray, length: int) -> np.ndarray:
-    """Places whose next ``GRAM`` bytes hash below a bound, about one in ``length / 6``."""
-    found, bound = [], np.uint64((1 << 64) // max(2, length // 6))
+def _triggers(data: np.ndarray, every: int) -> np.ndarray:
+    """Places whose next ``GRAM`` bytes hash below a bound, about one in ``every``."""
+    found, bound = [], np.uint64((1 << 64) // max(2, every))
     for low in range(0, len(data) - GRAM + 1, SEGMENT):
         part = np.ascontiguousarray(data[low : low + SEGMENT + GRAM - 1])
         grams = np.ndarray((len(part) - GRAM + 1,), np.dtype("<u8"), part, 0, (1,))
@@ -78,28 +79,31 @@ def _triggers(data: np.ndarray, length: int) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-def _block(length: int) -> int:
-    return max(1, length * 8 // 25)
-
-
 def _blocks(data: np.ndarray, length: int):
-    """(ends of blocks, first place of each block's phrase), and the strings without a trigger inside."""
-    n, size = len(data), _block(length)
-    at = _triggers(data, length)
-    begins = np.concatenate([[-1], at])
-    before = begins[:-1]
-    last = length - GRAM  # a string that begins further before its trigger doesn't hold the trigger whole
-    ends, firsts = [], []
-    for back in range(0, last + 1, size):
-        end = at - back
-        ok = (end > before) & (np.maximum(end - size + 1, 0) + length <= n)
-        ends.append(end[ok])
-        firsts.append(before[ok] + 1)
-    ends, firsts = np.concatenate(ends), np.concatenate(firsts)
-    order = np.argsort(ends)
-    stops = np.minimum(np.concatenate([at - last, [n]]), n - length + 1)
-    bare = [np.arange(begins[i] + 1, stops[i]) for i in np.flatnonzero(stops > begins + 1)]
-    return ends[order], firsts[order], np.concatenate(bare) if bare else np.empty(0, np.int64)
+    """(end, size, first, last) of each block: it is named by its last place, holds ``size`` at most, and
+    of these the places from first to last; every string of ``length`` bytes begins in one block.
+
+    Blocks lie before triggers. Strings without a trigger inside, as in long runs of few letters, take the
+    next of more and more frequent triggers, and blocks are smaller; without any, a string is a
+    block by itself.
+    """
+    n = len(data)
+    last = length - GRAM  # a string that begins further before a trigger doesn't hold it whole
+    found, open_places = [], np.arange(n - length + 1)
+    for every, size in ((length // 6, length * 8 // 25), (8, length // 25), (2, length // 100)):
+        at, size = _triggers(data, every), max(1, size)
+        if not len(at) or not len(open_places):
+            continue
+        place = np.searchsorted(at, open_places)
+        back = at[np.minimum(place, len(at) - 1)] - open_places
+        inside = (place < len(at)) & (back <= last)
+        here, back = open_places[inside], back[inside]
+        ends = here + back % size
+        new = np.flatnonzero(np.diff(ends, prepend=-1))
+        found.append((ends[new], np.full(len(new), size), here[new], here[np.append(new[1:], len(here)) - 1] if len(new) else here[:0]))
+        open_places = open_places[~inside]
+    found.append((open_places, np.ones(len(open_places), np.int64), open_places, open_places))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -129,9 +133,18 @@ def _taken(batch, rows: np.ndarray, names) -> dict:
     return {name: batch.column(name).take(at) for name in names}
 
 
+def _hashed(hashes: _Hashes, data: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of a few different lengths."""
+    out = np.empty(len(begins), np.uint64)
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        rows = rows[np.argsort(begins[rows], kind="stable")]
+        out[rows] = hashes.of(data, begins[rows], int(length))
+    return out
+
+
 def _parsed(texts: DataFrame, length: int) -> DataFrame:
-    """A row per block and per string without trigger: hashes of core and hull, and where it ends."""
-    size = _block(length)
+    """A row per block: hashes of core and hull, and where it ends."""
 
     def run(batches):
         one, two, seen = _Hashes(1), _Hashes(2), 0
@@ -141,16 +154,16 @@ def _parsed(texts: DataFrame, length: int) -> DataFrame:
                 data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                 if len(data) < length:
                     continue
-                ends, _, bare = _blocks(data, length)
-                whole = (ends >= size - 1) & (ends + length <= len(data))
+                ends, sizes, _, _ = _blocks(data, length)
+                whole = (ends >= sizes - 1) & (ends + length <= len(data))
                 # A block at the edge of its text has no hull; its mark is its own.
                 hull = mix(ends.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key % (1 << 64)))
-                hull[whole] = two.of(data, ends[whole] - size + 1, length + size - 1)
-                out["core"] += [one.of(data, ends, length - size + 1).view(np.int64), one.of(data, bare, length).view(np.int64)]
-                out["hull"] += [hull.view(np.int64), two.of(data, bare, length).view(np.int64)]
-                out["at"] += [ends, bare]
-                out["size"].append(np.repeat([size, 1], [len(ends), len(bare)]))
-                out["row"].append(np.full(len(ends) + len(bare), row))
+                hull[whole] = _hashed(two, data, (ends - sizes + 1)[whole], (length + sizes - 1)[whole])
+                out["core"].append(_hashed(one, data, ends, length - sizes + 1).view(np.int64))
+                out["hull"].append(hull.view(np.int64))
+                out["at"].append(ends)
+                out["size"].append(sizes)
+                out["row"].append(np.full(len(ends), row))
             rows = np.concatenate(out.pop("row"))
             out["tie"] = (rows + seen) % (1 << 31)
             seen += batch.num_rows
@@ -192,8 +205,11 @@ def _sorted_runs(batches):
     asked |= (core == core[0]) | (core == core[-1])
     for kind, rows in ((0, hull_n > 1), (1, single & ~edge), (2, many & (hull_n > 1) & new_hull & asked), (3, edge)):
         found = np.flatnonzero(rows)
-        yield _table(_KINDS, _taken(table, found, ("place", "core", "hull", "at", "size", "doc_id", "text_key"))
-                     | {"kind": np.full(len(found), kind), "core_n": np.minimum(core_n[found], 2), "hull_n": np.minimum(hull_n[found], 2)})
+        columns = _taken(table, found, ("place", "core", "hull", "at", "size", "doc_id", "text_key"))
+        if kind == 0:  # most rows of copies; nobody asks for their hashes again
+            columns |= dict.fromkeys(("core", "hull"), [None] * len(found))
+        yield _table(_KINDS, columns | {"kind": np.full(len(found), kind), "core_n": np.minimum(core_n[found], 2),
+                                        "hull_n": np.minimum(hull_n[found], 2)})
 
 
 def _classed(blocks: DataFrame) -> DataFrame:
@@ -254,43 +270,56 @@ def repeated_strings(groups, left, n_left, right, n_right) -> np.ndarray:
     return out
 
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``texts`` with ``marked``: false only where no row of ``wanted`` has the text's key.
+
+    A filter of ``FILTER_BITS`` bits whatever the tables' sizes, so that texts nobody asks for
+    aren't shuffled; more keys make it weaker, never wrong.
+    """
+    slot = F.expr(f"text_key & {FILTER_BITS - 1}")
+    words = (wanted.select((slot / 64).cast("int").alias("word"), (slot % 64).cast("int").alias("bit")).distinct()
+             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+    joined = texts.join(F.broadcast(words), (slot / 64).cast("int") == F.col("word"), "left")
+    bit = F.expr(f"shiftright(bits, cast((text_key & {FILTER_BITS - 1}) % 64 as int)) & 1")
+    return joined.withColumn("marked", F.coalesce(bit == 1, F.lit(False))).drop("word", "bits")
+
+
 _SPANS = "doc_id long, text_key long, low int, high int"
-_SIDES = "core long, open boolean, at int, doc_id long, text_key long, before binary, after binary"
+_SIDES = "core long, open boolean, at int, size int, doc_id long, text_key long, before binary, after binary"
 
 
 def _looked_up(texts: DataFrame, wanted: DataFrame, run, schema: str) -> DataFrame:
     """``run`` over the texts that have rows in ``wanted``, each with its rows as the list ``found``."""
     lists = (wanted.groupBy(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
-             .agg(F.collect_set(F.struct("core", "open", "at", "hot")).alias("found")))  # of one text
-    joined = texts.join(lists, (F.col("text_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+             .agg(F.collect_set(F.struct("core", "open", "at", "size", "hot")).alias("found")))  # of one text
+    named = _marked(texts, wanted).where("marked")
+    joined = named.join(lists, (F.col("text_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
     return joined.select("doc_id", "text_key", "text", "found").mapInArrow(run, schema)
 
 
 def _sides(length: int):
     """The bytes beside the cores of blocks; for blocks of very frequent cores hashes of their strings instead."""
-    size = _block(length)
     schema = _SIDES + ", first long, second long"
 
     def run(batches):
-        one, two, reach = _Hashes(1), _Hashes(2), size - 1
+        one, two = _Hashes(1), _Hashes(2)
         for batch in batches:
-            near = {name: [] for name in ("core", "open", "at", "before", "after", "row")}
+            near = {name: [] for name in ("core", "open", "at", "size", "before", "after", "row")}
             far = {name: [np.empty(0, np.int64)] for name in ("at", "first", "second", "row")}
             for row, (text, found) in enumerate(zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True)):
                 raw = text.encode("utf-8", "surrogatepass")
                 for x in found:
                     if not x["hot"]:
-                        at = x["at"]
-                        for name, value in zip(near, (x["core"], x["open"], at, raw[max(0, at - reach) : at],
+                        at, reach = x["at"], x["size"] - 1
+                        for name, value in zip(near, (x["core"], x["open"], at, x["size"], raw[max(0, at - reach) : at],
                                                       raw[at + length - reach : at + length], row), strict=True):
                             near[name].append(value)
-                hot = {x["at"] for x in found if x["hot"]}
+                hot = {(x["at"], x["size"]) for x in found if x["hot"]}
                 if hot:
                     data = np.frombuffer(raw, np.uint8)
-                    ends, firsts, _ = _blocks(data, length)
-                    # Blocks don't overlap, so no string is counted twice.
-                    begins = np.concatenate([np.arange(max(first, end - reach), min(end, len(raw) - length) + 1)
-                                             for end, first in zip(ends.tolist(), firsts.tolist(), strict=True) if end in hot])
+                    # Of the places a block names, those that are its own, so no string is counted twice.
+                    begins = np.sort(np.concatenate([np.arange(first, last + 1) for end, size, first, last
+                                                     in zip(*(x.tolist() for x in _blocks(data, length)), strict=True) if (end, size) in hot]))
                     for name, values in zip(far, (begins, one.of(data, begins, length).view(np.int64), two.of(data, begins, length).view(np.int64),
                                                   np.full(len(begins), row)), strict=True):
                         far[name].append(values)
@@ -299,16 +328,20 @@ def _sides(length: int):
             yield _table(schema, near | {"first": none, "second": none} | _taken(batch, rows, ("doc_id", "text_key")))
             rows = np.concatenate(far.pop("row"))
             none = [None] * len(rows)
-            yield _table(schema, far | dict.fromkeys(("core", "open", "before", "after"), none) | _taken(batch, rows, ("doc_id", "text_key")))
+            yield _table(schema, far | dict.fromkeys(("core", "open", "size", "before", "after"), none) | _taken(batch, rows, ("doc_id", "text_key")))
 
     return run, schema
 
 
 def _solved(length: int):
     """Spans of the repeated strings of blocks that come sorted by core."""
-    reach = _block(length) - 1
 
     def spans(rows: pa.RecordBatch):
+        sizes = rows.column("size").to_numpy()
+        for size in np.unique(sizes).tolist():
+            yield spans_of(rows.filter(pa.array(sizes == size)), size - 1)
+
+    def spans_of(rows: pa.RecordBatch, reach: int):
         core, at = rows.column("core").to_numpy(), rows.column("at").to_numpy()
         groups = np.cumsum(np.concatenate([[0], core[1:] != core[:-1]]))
         left, n_left = _matrix([x[::-1] for x in rows.column("before").to_pylist()], reach)
@@ -330,10 +363,10 @@ def _solved(length: int):
             core = rows.column("core").to_numpy()
             cut = int(np.flatnonzero(core == core[-1])[0])  # the last group may go on
             if cut:
-                yield spans(rows.slice(0, cut))
+                yield from spans(rows.slice(0, cut))
             held, kept = [rows.slice(cut)], len(core) - cut
         if kept:
-            yield spans(pa.concat_batches(held))
+            yield from spans(pa.concat_batches(held))
 
     return run
 
@@ -342,7 +375,7 @@ def _matrix(rows: list[bytes], width: int):
     """Rows of bytes, filled up with zeros, and their lengths."""
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
     filled = b"".join(x.ljust(width, b"\0") for x in rows)
-    return np.frombuffer(filled, np.uint8).reshape(len(rows), width), lengths
+    return np.frombuffer(filled, np.uint8).reshape(len(rows), width), lengths  # a block has two places at least
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
@@ -352,13 +385,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     one core that are sorted together.
     """
     texts = _texts(docs)
-    classed = stage(_classed(stage(_parsed(texts, length), "blocks")), "classed")
+    classed = _classed(stage(_parsed(texts, length), "blocks"))
     whole = classed.where("kind = 0").select(
         "doc_id", "text_key", F.greatest(F.lit(0), F.col("at") - F.col("size") + 1).alias("low"), (F.col("at") + length).alias("high"))
-    open_or_model = classed.where("kind in (1, 2)")
+    open_or_model = stage(classed.where("kind in (1, 2)"), "open")
     sizes = open_or_model.groupBy("core").agg(F.count("*").alias("n"), F.max(F.col("kind") == 1).alias("asked"))
     sizes = stage(sizes.where("n > 1 and asked").select("core", (F.col("n") > group).alias("hot")), "cores")
-    wanted = open_or_model.join(sizes, "core").select("core", (F.col("kind") == 1).alias("open"), "at", "hot", "doc_id", "text_key")
+    wanted = open_or_model.join(sizes, "core").select("core", (F.col("kind") == 1).alias("open"), "at", "size", "hot", "doc_id", "text_key")
     run, schema = _sides(length)
     sides = stage(_looked_up(texts, wanted, run, schema), "sides")
     near = sides.where("core is not null").select(*(x.split()[0] for x in _SIDES.split(", ")))
@@ -382,8 +415,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     spans = stage(repeated_spans(docs, length, group), "spans")
     lists = (spans.groupBy(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
              .agg(F.collect_set(F.struct("low", "high")).alias("found")))  # of one text
-    texts = _texts(docs)
-    joined = texts.join(lists, (F.col("text_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id")), "left")
+    texts = _marked(_texts(docs), spans)
+    none = F.array().cast("array<struct<low: int, high: int>>")
+    whole = texts.where("not marked").select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), none.alias("spans"),
+        F.encode("text", "UTF-8").alias("kept"))
+    joined = texts.where("marked").join(
+        lists, (F.col("text_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id")), "left")
 
     def run(batches):
         for batch in batches:
@@ -406,8 +444,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
                  pa.array(runs, pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    return joined.select("doc_id", "text", "found").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, spans array<struct<low: int, high: int>>, kept binary")
+    return whole.union(joined.select("doc_id", "text", "found").mapInArrow(
+        run, "doc_id long, n_bytes long, n_removed long, spans array<struct<low: int, high: int>>, kept binary"))
 
 
 def repeat_digest(docs: DataFrame) -> DataFrame:

@@ -79,9 +79,9 @@ def test_long_text_is_hashed_in_segments(spark, monkeypatch):
     rng = random.Random(2)
     data = np.frombuffer(bytes(rng.choices(range(256), k=20_000)), np.uint8)
     begins = np.sort(np.array(rng.sample(range(19_600), 300)))
-    whole, triggers = repeats._Hashes(3).of(data, begins, 400), repeats._triggers(data, 400)
+    whole, triggers = repeats._Hashes(3).of(data, begins, 400), repeats._triggers(data, 66)
     monkeypatch.setattr(repeats, "SEGMENT", 1_000)
-    assert (repeats._Hashes(3).of(data, begins, 400) == whole).all() and (repeats._triggers(data, 400) == triggers).all()
+    assert (repeats._Hashes(3).of(data, begins, 400) == whole).all() and (repeats._triggers(data, 66) == triggers).all()
 
 
 def test_no_documents(spark):
