@@ -83,9 +83,22 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
 
 
+def _cdata_as_text(html: Column) -> Column:
+    """The content of CDATA sections as text nodes of their own: '<' and '&' in them are no markup."""
+
+    def section(part: Column, place: Column) -> Column:
+        inner = F.substring_index(part, "]]>", 1)
+        plain = F.replace(F.replace(inner, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        rest = F.substring(part, F.length(inner) + 4, F.length(part))
+        return F.when(place == 0, part).otherwise(F.concat(F.lit("<!>"), plain, F.lit("<!>"), rest))
+
+    parts = F.transform(F.split(html, r"<!\[CDATA\["), section)
+    return F.when(html.contains("<![CDATA["), F.array_join(parts, "")).otherwise(html)
+
+
 def html_to_text(html: Column) -> Column:
     """Text nodes, trimmed, blank ones dropped, one per line; empty text for null."""
-    nodes = F.transform(F.split(html, MARKUP), lambda node: strip(unescape(node)))
+    nodes = F.transform(F.split(_cdata_as_text(html), MARKUP), lambda node: strip(unescape(node)))
     return F.coalesce(
         F.array_join(F.filter(nodes, lambda node: node != ""), "\n"), F.lit("")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.operators.merge import stored_ids
-from folioforge.operators.windows import window_counts
+from folioforge.operators.windows import counts_of_days, day_counts
 
 WINDOW = ["date_from", "date_to"]
 # Audit outcomes.
@@ -41,7 +41,12 @@ def reconcile_windows(windows: DataFrame, remote: DataFrame, corpus: DataFrame)
     ``remote`` is (date_from, date_to, api_count). A window without a readable count
     gets the status ``unknown``; the other windows are not held up by it.
     """
-    counted = window_counts(corpus, windows).join(
+    return reconcile_days(windows, remote, day_counts(corpus))
+
+
+def reconcile_days(windows: DataFrame, remote: DataFrame, days: DataFrame) -> DataFrame:
+    """``reconcile_windows`` from rows per day, such as a stored corpus keeps them."""
+    counted = counts_of_days(days, windows).join(
         remote.select(*WINDOW, "api_count"), WINDOW, "left"
     )
     api, local = F.col("api_count"), F.col("local_count")

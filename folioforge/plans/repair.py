@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.operators import audit as A
-from folioforge.plans.update import Run, merged_corpus, run_windows, search_queue
-from folioforge.schema import REF_LEDGER_SCHEMA, Site
+from folioforge.operators import windows as W
+from folioforge.plans.update import Run, merged_corpus, replaced_rows, run_rows, run_windows, search_queue, touched_ids
+from folioforge.schema import REF_LEDGER_SCHEMA, SearchSpec, Site
 from folioforge.session import stage
 from folioforge.sources.landed import COMPLETE, WINDOW
 
@@ -29,16 +30,20 @@ def audit_repair(
     remote_after: DataFrame,
     verification_pages: DataFrame,
     site: Site,
+    search: SearchSpec,
     *,
     pending: DataFrame | None = None,
     ref_ledger: DataFrame | None = None,
+    days: DataFrame | None = None,
     scraped_at: str | None = None,
 ) -> Repair:
     """Repair deficient windows only; surplus rows are never deleted.
 
     A window that is still deficient becomes ``reconciled`` when it was processed, added
     nothing, and a second, later enumeration lists stored documents only: its count then
-    includes entries that cannot be retrieved. ``pending`` windows stay in the ledger.
+    includes entries that cannot be retrieved. ``days`` are the corpus's rows per day, where they
+    are stored (``parts.stored_days``). Both enumerations must have read every value
+    of ``search``, else the window stays deficient. ``pending`` windows stay in the ledger.
     """
     spark = corpus.sparkSession
     deficient = stage(
@@ -56,12 +61,20 @@ def audit_repair(
         requested.limit(0) if pending is None else pending,
         spark.createDataFrame([], REF_LEDGER_SCHEMA) if ref_ledger is None else ref_ledger,
         site,
+        search,
         retry_pending=False,
         retry_details=False,
         scraped_at=scraped_at,
     )
-    repaired = merged_corpus(corpus, run)
-    after = A.reconcile_windows(requested, remote_after, repaired).select(
+    touched = touched_ids(run)
+    repaired = merged_corpus(corpus, run, touched)
+    # The recount needs the rows added and replaced only: the corpus was counted before.
+    rows = run_rows(run, touched)
+    changes = W.day_counts(rows)
+    if not touched.isEmpty():
+        changes = changes.unionByName(W.day_counts(replaced_rows(corpus, touched)).withColumn("n", -F.col("n")))
+    counted = W.day_counts(corpus) if days is None else days
+    after = A.reconcile_days(requested, remote_after, counted.unionByName(changes)).select(
         *WINDOW, F.col("api_count").alias("after_api"), F.col("local_count").alias("after_local"),
         F.col("status").alias("after_status"),
     )
@@ -73,8 +86,9 @@ def audit_repair(
         .select(*WINDOW, "queue_key"),
         "doubtful",
     )
-    placed, listed = search_queue(doubtful, verification_pages)
-    held = A.phantom_check(listed, repaired)
+    placed, listed = search_queue(doubtful, verification_pages, search)
+    now = corpus.select("document_id").join(touched, "document_id", "left_anti").unionByName(rows.select("document_id"))
+    held = A.phantom_check(listed, now)
     reconciled = (
         placed.where(F.col("status") == COMPLETE)
         .join(held, WINDOW, "left")

@@ -24,7 +24,7 @@ from folioforge.operators.records import (
     rebuild_retry_summary,
 )
 from folioforge.operators.windows import month_windows, overlap_range
-from folioforge.schema import Site, scope_types
+from folioforge.schema import REF_LEDGER_SCHEMA, SearchSpec, Site, scope_types
 from folioforge.session import stage
 from folioforge.sources.landed import (
     COMPLETE,
@@ -40,7 +40,7 @@ from folioforge.sources.landed import (
     read_details,
     search_ends,
 )
-from folioforge.sources.sinks import append_corpus, write_corpus
+from folioforge.sources.sinks import append_corpus, replace_rows
 
 # What a batch keeps beside the corpus columns.
 BATCH_COLUMNS = ("requested_id", "outcome", "reference_key", "summary_json")
@@ -173,29 +173,39 @@ def ledger_after(ledger: DataFrame, *batches: DataFrame) -> DataFrame:
 
 
 def search_queue(
-    queue: DataFrame, landed_pages: DataFrame, search_values: int | None = None
+    queue: DataFrame, landed_pages: DataFrame, search: SearchSpec
 ) -> tuple[DataFrame, DataFrame]:
     """Window outcomes and the summaries of the windows that were read completely.
 
     Returned are ``(date_from, date_to, queue_key, status)`` and one row per summary
-    with its place in the queue. A window without landed pages has failed, and so has
-    one that lists a summary without reference.
+    with its place in the queue. A window is complete when each of the search's values was
+    read to its end there; pages of other variants are ignored, they can't stand in for one
+    that didn't land. A window that lists a summary without reference has failed.
+
+    Totals count what a response lists, whatever its type: a window is read whole before its
+    summaries are cut down to the types asked for.
     """
-    wanted = landed_pages.join(queue.select(*WINDOW), WINDOW, "left_semi")
+    expected = F.sequence(F.lit(0), F.lit(len(search.search_values()) - 1))
+    asked = stage(queue.withColumn("variant_no", F.explode(expected)), "asked")
+    wanted = landed_pages.join(asked.select(*VARIANT), VARIANT, "left_semi")
     pages = stage(parse_pages(wanted), "pages")
-    usable = F.col("complete") & ~F.col("blank_reference")
-    # A window has one row per search variant that landed. One that didn't fails it too.
-    of_window = W.partitionBy(*WINDOW)
-    landed = F.count("*").over(of_window) >= (1 if search_values is None else search_values)
     judged = search_ends(page_facts(pages)).select(
-        *VARIANT, "last_page", (F.bool_and(usable).over(of_window) & landed).alias("usable")
+        *VARIANT, "last_page", (F.col("complete") & ~F.col("blank_reference")).alias("read")
+    )
+    of_window = W.partitionBy(*WINDOW)
+    variants = stage(
+        asked.join(judged, VARIANT, "left").withColumn(
+            "usable", F.bool_and(F.coalesce("read", F.lit(False))).over(of_window)
+        ),
+        "variants",
     )
-    variants = stage(queue.join(judged, WINDOW, "left"), "variants")
     placed = variants.groupBy(*WINDOW, "queue_key").agg(
-        F.when(F.bool_or("usable"), COMPLETE).otherwise(FAILED).alias("status")
+        F.when(F.bool_and("usable"), COMPLETE).otherwise(FAILED).alias("status")
     )
     read = variants.where("usable").select(*VARIANT, "queue_key", "last_page")
     listed = page_summaries(pages).join(read, VARIANT).where(F.col("page_no") <= F.col("last_page"))
+    if search.document_types:
+        listed = listed.where(F.upper(F.trim("type_code")).isin(*search.document_types))
     return placed, listed.drop("last_page")
 
 
@@ -207,9 +217,9 @@ def run_windows(
     pending: DataFrame,
     ref_ledger: DataFrame,
     site: Site,
+    search: SearchSpec,
     *,
     limit: int | None = None,
-    search_values: int | None = None,
     retry_pending: bool = True,
     retry_details: bool = True,
     scraped_at: str | None = None,
@@ -217,8 +227,8 @@ def run_windows(
 ) -> Run:
     """Process the window queue: search, add what is new, settle both ledgers.
 
-    ``search_values`` is the number of values the search asks for in each window; a window
-    for which fewer landed has failed and stays in the ledger.
+    ``search`` says which values each window was searched for, and which types are wanted; a
+    window for which one didn't land has failed and stays in the ledger.
     ``requested`` and ``pending`` are (position, date_from, date_to); the landed tables
     hold the responses of this run.
     """
@@ -234,7 +244,7 @@ def run_windows(
         retried_rows = None
 
     queue = L.window_queue(pending, requested, retry_pending)
-    placed, listed = search_queue(queue, landed_pages, search_values)
+    placed, listed = search_queue(queue, landed_pages, search)
 
     order = ["queue_key", "variant_no", "page_no", "pos"]
     unique = stage(first_wins(listed, order, "requested_id"), "unique")
@@ -302,9 +312,12 @@ def window_outcomes(
     if progress is not None:
         cut = progress.where(~F.col("complete")).select("queue_key", F.lit(True).alias("cut"))
         joined = joined.join(cut, "queue_key", "left")
-        taken = joined.agg(F.sum("additions")).scalar()
-        last = joined.where(F.col("additions") > 0).agg(F.max("queue_key")).scalar()
-        beyond = F.col("cut").isNotNull() | ((taken >= limit) & (F.col("queue_key") > last))
+        joined = stage(joined, "progress")
+        reached = joined.agg(
+            F.sum("additions").alias("taken"), F.max(F.when(F.col("additions") > 0, F.col("queue_key"))).alias("last")
+        ).first()
+        stopped = F.lit((reached.taken or 0) >= limit) & (F.col("queue_key") > F.lit(reached["last"]))
+        beyond = F.col("cut").isNotNull() | stopped
         status = F.when(F.coalesce(beyond, F.lit(False)), "pending").otherwise(status)
     return joined.select(*WINDOW, "queue_key", status.alias("status"), "listed", "additions")
 
@@ -374,14 +387,20 @@ def merged_corpus(corpus: DataFrame, run: Run, touched: DataFrame | None = None)
 def save_run(corpus: DataFrame, run: Run, root: str) -> str:
     """Store a run in the corpus at ``root``, of which ``corpus`` is the latest snapshot.
 
-    A run that replaces nothing is appended, so its cost does not depend on the size of
-    the corpus. Only a run that replaces rows writes a new snapshot.
+    What is written follows from the run, also where it replaces rows: they are listed as
+    replaced, and stay where they are. Of the corpus, identifiers and dates are read.
     """
     touched = touched_ids(run)
-    stored = corpus.select("document_id").join(touched, "document_id", "left_semi")
-    if stored.isEmpty():
-        return append_corpus(run_rows(run, touched), root)
-    return write_corpus(merged_corpus(corpus, run, touched), root)
+    replaced = stage(replaced_rows(corpus, touched), "replaced")
+    rows = run_rows(run, touched)
+    if replaced.isEmpty():
+        return append_corpus(rows, root)
+    return replace_rows(rows, replaced, root)
+
+
+def replaced_rows(corpus: DataFrame, touched: DataFrame) -> DataFrame:
+    """(document_id, date) of the stored rows that a run replaces."""
+    return corpus.select("document_id", "date").join(touched, "document_id", "left_semi")
 
 
 def update_scope(recorded: str | None, requested: str | None = None, full: bool = False) -> str:
@@ -414,24 +433,63 @@ def run_fixed(
     details: DataFrame,
     site: Site,
     *,
+    pending: DataFrame | None = None,
+    ref_ledger: DataFrame | None = None,
+    limit: int | None = None,
     scraped_at: str | None = None,
     keep_html: bool = False,
-) -> Batch:
-    """Rows for listed references that are not stored; unresolved ones stay partial."""
-    wanted = references.select(normalize_ref(F.col("reference")).alias("ref_code")).distinct()
+) -> Run:
+    """Build or resume a corpus of listed references: retry what is pending, then add what is missing.
+
+    ``references`` are taken in the order of ``position``, if they have one, else by reference;
+    ``limit`` bounds how many are added. Unresolved ones stay partial and pending. Windows have no
+    part in it: their ledger, ``pending``, passes unchanged. Only details of selected and pending
+    references are parsed.
+    """
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1")
+    spark = corpus.sparkSession
+    if ref_ledger is None:
+        ref_ledger = spark.createDataFrame([], REF_LEDGER_SCHEMA)
+    if pending is None:
+        pending = spark.createDataFrame([], "position bigint, date_from date, date_to date")
+    ledger = ref_ledger.select("reference", "summary_json")
+    retried = retry_pass(ledger, corpus, details, site, scraped_at=scraped_at, keep_html=keep_html)
+
+    place = F.col("position").cast("bigint") if "position" in references.columns else F.lit(0).cast("bigint")
+    listed = references.select(normalize_ref(F.col("reference")).alias("ref_code"), place.alias("queue_key"))
+    wanted = listed.groupBy("ref_code").agg(F.min("queue_key").alias("queue_key"))
+    wanted = wanted.withColumn("requested_id", document_id(F.col("ref_code")))
+    held = corpus.select("document_id").unionByName(retried.rows.select("document_id"))
+    missing = stage(new_documents(wanted, held), "missing")
+    chosen = missing if limit is None else missing.orderBy("queue_key", "ref_code").limit(limit)
     unknown = F.lit(None).cast("string")
-    summaries = wanted.select(
-        document_id(F.col("ref_code")).alias("requested_id"),
-        "ref_code",
-        *[
-            unknown.alias(c)
-            for c in ("event_date", "title", "lead_text", "type_code", "type_name")
-        ],
-        F.lit(site.language).alias("language_code"),
-        F.to_json(
-            F.struct(F.col("ref_code").alias("refCode"), F.lit(site.language).alias("languageCode"))
-        ).alias("summary_json"),
-    )
-    return process_batch(
-        new_documents(summaries, corpus), details, site, scraped_at=scraped_at, keep_html=keep_html
+    selected = stage(
+        chosen.select(
+            "requested_id",
+            "ref_code",
+            *[unknown.alias(c) for c in ("event_date", "title", "lead_text", "type_code", "type_name")],
+            F.lit(site.language).alias("language_code"),
+            F.to_json(
+                F.struct(F.col("ref_code").alias("refCode"), F.lit(site.language).alias("languageCode"))
+            ).alias("summary_json"),
+            "queue_key",
+            F.lit(0).cast("bigint").alias("page_key"),
+            F.lit(0).alias("pos"),
+        ),
+        "selected",
     )
+    batch = process_batch(
+        selected, wanted_details(details, selected, site.language), site,
+        scraped_at=scraped_at, keep_html=keep_html, carry=ARRIVAL,
+    )
+    first = {name: F.lit(-1).cast(batch.rows.schema[name].dataType) for name in ARRIVAL}
+    rows = retried.rows.withColumns(first).unionByName(batch.rows)
+    now = corpus.select("document_id", "detail_ok").unionByName(rows.select("document_id", "detail_ok"))
+    ledger_now = stage(L.unresolved_refs(ledger_after(ledger, retried.refs, batch.refs), now), "ref-ledger")
+    windows = spark.createDataFrame([], "date_from date, date_to date, queue_key bigint, status string, listed bigint, additions bigint")
+    window_ledger = pending.select(*WINDOW, "position")
+    summary = run_summary(windows, batch.refs, retried.refs, window_ledger, ledger_now)
+    if limit is not None:
+        summary = summary.withColumn("limit_reached", F.lit(missing.count() > limit))
+    return Run(rows, windows, window_ledger, ledger_now, summary)

@@ -192,6 +192,15 @@ class SearchSpec:
             raise ValueError("start must be on or before end")
         object.__setattr__(self, "document_types", normalize_type_codes(self.document_types))
 
+    def search_values(self) -> tuple[tuple[str, str], ...]:
+        """(field, value) of each search a window needs; landed pages number them ``variant_no`` from 0.
+
+        Types are asked for together, the other lists value by value; without any, one search
+        without a value covers a window.
+        """
+        lists = {"keyword": self.keywords, "commissioner": self.commissioners, "policy_area": self.policy_areas}
+        return tuple((field, value) for field, values in lists.items() for value in values) or (("", ""),)
+
 
 def normalize_type_codes(codes: str | Iterable[str] | None) -> tuple[str, ...]:
     """Trim and upper-case type codes; the word ``active`` stands for the active set."""

@@ -6,17 +6,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioforge.operators.filters import filter_window
 from folioforge.operators.records import migrate_legacy, normalize_schema
 from folioforge.operators.stats import per_type_counts, resolve
 from folioforge.schema import CORPUS_SCHEMA
-from folioforge.sources.files import exists, latest_snapshot
-
-# Written snapshots are partitioned by the year their date text starts with.
-STORED_SCHEMA = T.StructType([*CORPUS_SCHEMA.fields, T.StructField("pub_year", T.IntegerType())])
-
+from folioforge.sources.files import exists
+from folioforge.sources.parts import stored_rows
 
 def empty_corpus(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CORPUS_SCHEMA)
@@ -34,7 +30,7 @@ def scan_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The latest committed snapshot of a corpus written by this library."""
-    return _stored(spark, root).drop("pub_year")
+    return stored_rows(spark, root).drop("part", "pub_year")
 
 
 def scan_snapshot_window(
@@ -43,14 +39,8 @@ def scan_snapshot_window(
     """Rows of a date range; only the partitions of its years are read."""
     year = F.col("pub_year")
     wanted = year.between(date_from.year, date_to.year) | year.isNull()
-    return filter_window(_stored(spark, root).where(wanted), date_from, date_to).drop("pub_year")
-
-
-def _stored(spark: SparkSession, root: str) -> DataFrame:
-    number = latest_snapshot(spark, root)
-    if number is None:
-        return spark.createDataFrame([], STORED_SCHEMA)
-    return spark.read.schema(STORED_SCHEMA).parquet(f"{root}/snapshot={number}")
+    rows = stored_rows(spark, root).where(wanted)
+    return filter_window(rows, date_from, date_to).drop("part", "pub_year")
 
 
 def scan_summary(raw: DataFrame) -> DataFrame:

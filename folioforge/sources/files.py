@@ -24,18 +24,26 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Write an empty file."""
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.create(hadoop_path, True).close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none for a folder that isn't there."""
+    if not exists(spark, path):
+        return []
+    file_system, hadoop_path = _file_system(spark, path)
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> int | None:
     """Highest ``snapshot=<n>`` under ``root`` whose write was committed."""
-    if not exists(spark, root):
-        return None
-    file_system, hadoop_path = _file_system(spark, root)
-    numbers = [
-        int(match.group(1))
-        for status in file_system.listStatus(hadoop_path)
-        if (match := re.fullmatch(r"snapshot=(\d+)", status.getPath().getName()))
-    ]
-    for number in sorted(numbers, reverse=True):
-        if exists(spark, f"{root}/snapshot={number}/_SUCCESS"):
+    found = (re.fullmatch(r"snapshot=(\d+)", name) for name in children(spark, root))
+    for number in sorted((int(match.group(1)) for match in found if match), reverse=True):
+        snapshot = f"{root}/snapshot={number}"
+        if exists(spark, f"{snapshot}/commits/0") or exists(spark, f"{snapshot}/_SUCCESS"):
             return number
     return None
 

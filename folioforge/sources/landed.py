@@ -14,6 +14,7 @@ from folioforge.functions.html import html_to_text
 from folioforge.functions.text import contact_label, document_id, join_nonempty, nullable, strip
 from folioforge.operators.merge import keep_last
 from folioforge.operators.ordered import running_total
+from folioforge.schema import SearchSpec
 
 WINDOW = ["date_from", "date_to"]
 VARIANT = [*WINDOW, "variant_no"]
@@ -145,13 +146,14 @@ def search_ends(facts: DataFrame) -> DataFrame:
     )
 
 
-def page_completeness(facts: DataFrame, search_values: int | None = None) -> DataFrame:
-    """Per window: ``complete`` when every search variant was read to its end.
+def page_completeness(facts: DataFrame, search: SearchSpec) -> DataFrame:
+    """Per window: ``complete`` when every value of the search was read to its end.
 
-    With ``search_values`` a window of fewer landed variants has failed.
+    ``variant_no`` numbers the values; variants beyond them are left out.
     """
-    landed = F.count("*") >= (1 if search_values is None else search_values)
-    return search_ends(facts).groupBy(*WINDOW).agg(
+    values = len(search.search_values())
+    landed = F.count("*") == values
+    return search_ends(facts.where(F.col("variant_no").between(0, values - 1))).groupBy(*WINDOW).agg(
         F.when(F.bool_and("complete") & landed, COMPLETE).otherwise(FAILED).alias("status"),
         F.sum("pages").alias("pages"),
         F.sum("items").alias("items"),

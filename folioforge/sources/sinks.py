@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+import json
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge import __version__
 from folioforge.functions import dates as D
 from folioforge.operators.filters import filter_types
 from folioforge.operators.merge import keep_last
@@ -14,12 +18,16 @@ from folioforge.schema import (
     CORPUS_COLUMNS,
     EXPORT_STEMS,
     OTHER_STEM,
+    REF_LEDGER_SCHEMA,
     SCOPES,
+    WINDOW_LEDGER_SCHEMA,
 )
+from folioforge.session import stage
 from folioforge.sources.files import exists, latest_snapshot
+from folioforge.sources.parts import add_part, compact, new_snapshot
 
 METADATA_SCHEMA = (
-    "last_run string, total_documents bigint, cutoff string, scope string, "
+    "number bigint, package_version string, metadata string, last_run string, total_documents bigint, cutoff string, scope string, "
     "per_type_counts map<string, bigint>, config_hash string, dataset_version string, "
     "failed_window_count bigint, failed_ref_count bigint"
 )
@@ -31,55 +39,41 @@ def write_corpus(rows: DataFrame, root: str, order: list[str] | None = None) ->
     A snapshot is never written over the one being read. Readers take the highest
     committed number, so a failed write stays invisible. ``order`` names the arrival
     columns of rows that may repeat a document, the latest copy is stored; without it a
-    repeated document is an error, found by a pass over the identifiers alone.
-
-    Rows are rebalanced by year: small years share a task, while a year with a large
-    share of all rows is split over many. Within each file they lie newest first.
+    repeated document is an error, found in the identifiers of the staged rows.
     """
-    unique = normalize_schema(rows)
     if order is not None:
         unique = keep_last(normalize_schema(rows, keep=tuple(order)), order).drop(*order)
     else:
+        unique = stage(normalize_schema(rows), "rows")
         repeated = unique.groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1").first()
         if repeated is not None:
             raise ValueError(f"document {repeated.document_id!r} occurs {repeated.n} times and no order is given")
-    target = f"{root}/snapshot={(latest_snapshot(rows.sparkSession, root) or 0) + 1}"
-    _by_year(unique).mode("overwrite").parquet(target)
-    return target
+    return new_snapshot(unique, root)
 
 
 def append_corpus(rows: DataFrame, root: str) -> str:
     """Add new documents to the latest snapshot; stored files are not touched.
 
-    Rows must be unique and not stored yet. An append that was cut off and is repeated
-    finds the documents that made it and leaves them out.
+    Rows must be unique and not stored yet. An append that was cut off is invisible, and
+    written over by the next one.
     """
-    number = latest_snapshot(rows.sparkSession, root)
-    if number is None:
+    if latest_snapshot(rows.sparkSession, root) is None:
         return write_corpus(rows, root)
-    target = f"{root}/snapshot={number}"
-    _by_year(normalize_schema(rows)).mode("append").parquet(target)
-    return target
+    return add_part(normalize_schema(rows), root)
 
 
-def _by_year(rows: DataFrame) -> DataFrameWriter:
-    return (
-        rows.withColumn("pub_year", year_of(F.col("date")))
-        .hint("rebalance", "pub_year")
-        .sortWithinPartitions("pub_year", F.col("date").desc_nulls_last())
-        .write.partitionBy("pub_year")
-        .option("compression", "snappy")
-    )
+def replace_rows(rows: DataFrame, replaced: DataFrame, root: str) -> str:
+    """Add rows to the latest snapshot, some of them in the place of stored ones.
 
+    ``replaced`` are the stored rows (document_id, date) that count no more. Stored files stay as
+    they are, the work follows the rows given; ``compact_corpus`` folds such parts together.
+    """
+    return add_part(normalize_schema(rows), root, replaced)
 
-def year_of(date: Column) -> Column:
-    """Year in the first four characters of date text, null where they are no digits.
 
-    Taken from the text, not from a parsed date, so that it orders like the text does:
-    the years of a text range are exactly the years of its limits.
-    """
-    start = F.substring(date, 1, 4)
-    return F.when(start.rlike("^[0-9]{4}$"), start).try_cast("int")
+def compact_corpus(spark: SparkSession, root: str) -> str:
+    """A new snapshot of one part, without replaced rows, newest rows first."""
+    return compact(spark, root)
 
 
 def export_stem(doc_type: Column) -> Column:
@@ -141,11 +135,13 @@ def metadata_row(
     config_hash: str | None = None,
     dataset_version: str | None = None,
     last_run: str | None = None,
+    project_metadata: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """One row that describes corpus and pending work.
 
-    The corpus is reduced to one row per type first; the map is built from those.
-    Ledger contents stay in their own tables; here are their sizes.
+    The corpus is reduced to one row per type first; the map is built from those. The row has the
+    ledgers' sizes; ``write_metadata`` keeps their contents, which have no bound, in tables beside it.
+    ``project_metadata`` is stored as JSON.
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
@@ -162,7 +158,10 @@ def metadata_row(
     window_count = failed_windows.agg(F.count("*").alias("n"))
     ref_count = failed_refs.agg(F.count("*").alias("n"))
     now = F.date_format(F.current_timestamp(), ISO_UTC) if last_run is None else F.lit(last_run)
+    project = None if project_metadata is None else json.dumps(project_metadata, sort_keys=True)
     return totals.select(
+        F.lit(__version__).alias("package_version"),
+        F.lit(project).cast("string").alias("metadata"),
         now.alias("last_run"),
         "total_documents",
         "cutoff",
@@ -175,17 +174,43 @@ def metadata_row(
     )
 
 
-def write_metadata(row: DataFrame, target: str) -> None:
-    """Append to the metadata history."""
-    row.write.mode("append").json(target)
+def write_metadata(
+    row: DataFrame, target: str, failed_windows: DataFrame | None = None, failed_refs: DataFrame | None = None
+) -> None:
+    """Append to the metadata history under the next running number, which decides what is latest.
+
+    With them, the contents of the ledgers are kept under the same number. The row is written
+    last: a number without a row is not read, and given again.
+    """
+    spark = row.sparkSession
+    last = _history(spark, target).agg(F.max("number").alias("last")).first()["last"]
+    number = (0 if last is None else last) + 1
+    for name, ledger in (("failed_windows", failed_windows), ("failed_refs", failed_refs)):
+        if ledger is not None:
+            ledger.write.mode("overwrite").json(f"{target}/{name}/number={number}")
+    row.withColumn("number", F.lit(number).cast("bigint")).write.mode("append").json(f"{target}/rows")
+
+
+def _history(spark: SparkSession, target: str) -> DataFrame:
+    if not exists(spark, f"{target}/rows"):
+        return spark.createDataFrame([], METADATA_SCHEMA)
+    return spark.read.schema(METADATA_SCHEMA).json(f"{target}/rows")
 
 
 def read_metadata(spark: SparkSession, target: str) -> DataFrame:
     """The latest metadata row; none for a dataset without metadata."""
-    if not exists(spark, target):
-        return spark.createDataFrame([], METADATA_SCHEMA)
-    history = spark.read.schema(METADATA_SCHEMA).json(target)
-    return history.orderBy(F.col("last_run").desc()).limit(1)
+    return _history(spark, target).orderBy(F.col("number").desc()).limit(1)
+
+
+def metadata_ledgers(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
+    """Pending windows and references as the latest metadata row found them."""
+    row = read_metadata(spark, target).first()
+    found = []
+    for name, schema in (("failed_windows", WINDOW_LEDGER_SCHEMA), ("failed_refs", REF_LEDGER_SCHEMA)):
+        path = None if row is None else f"{target}/{name}/number={row.number}"
+        known = path is not None and exists(spark, path)
+        found.append(spark.read.schema(schema).json(path) if known else spark.createDataFrame([], schema))
+    return tuple(found)
 
 
 def stored_scope(spark: SparkSession, target: str) -> str:

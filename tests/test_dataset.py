@@ -51,6 +51,17 @@ def test_an_update_stores_corpus_ledgers_and_metadata(spark, tmp_path):
     assert (told.scope, told.total_documents, told.failed_window_count, told.failed_ref_count) == ("active", 2, 0, 0)
 
 
+def test_an_active_dataset_stores_active_types_only(spark, tmp_path):
+    root = str(tmp_path / "data")
+    old = {"docutype": {"code": "MEMO", "description": "Memo"}}
+    landed = [page(FEBRUARY, []), page(JANUARY, [summary("IP/20/1"), summary("MEMO/20/2", **old)])]
+    got = update(spark, root, landed, {}, full=True, scope="active")
+    assert (got.new_documents, got.pending_refs, got.pending_windows) == (1, 1, 0) and ids(spark, root) == ["ip_20_1"]
+    assert read_metadata(spark, f"{root}/metadata").first().per_type_counts == {"IP": 1}
+    everything = str(tmp_path / "all")
+    assert update(spark, everything, landed, {}, full=True, scope="all").new_documents == 2
+
+
 @pytest.mark.parametrize(("step", "before"), [("save_run", 0), ("write_failed_windows", 0), ("write_metadata", 1)])
 def test_an_update_that_was_cut_off_is_repeated_in_full(spark, tmp_path, monkeypatch, step, before):
     root = str(tmp_path / "data")

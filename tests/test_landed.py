@@ -3,15 +3,16 @@ from __future__ import annotations
 import json
 
 import pytest
-from payloads import FEBRUARY, JANUARY, page, pages, summary
+from payloads import FEBRUARY, JANUARY, MARCH, page, pages, summary
 from pyspark.sql import functions as F
 
+from folioforge.schema import SearchSpec
 from folioforge.sources import landed as L
 
 
-def status(spark, *rows):
+def status(spark, *rows, search=SearchSpec()):
     facts = L.page_facts(L.parse_pages(pages(spark, *rows)))
-    return {(r.date_from, r.date_to): (r.status, r.items) for r in L.page_completeness(facts).collect()}
+    return {(r.date_from, r.date_to): (r.status, r.items) for r in L.page_completeness(facts, search).collect()}
 
 
 A, B, C = (summary(f"IP/20/{n}") for n in (1, 2, 3))
@@ -60,8 +61,11 @@ def test_every_variant_has_to_be_complete(spark):
         page(JANUARY, [B], variant=1, status=500),
         page(FEBRUARY, [A]),
         page(FEBRUARY, [B], variant=1),
+        page(MARCH, [A]),
+        page(MARCH, [B], variant=4),
+        search=SearchSpec(policy_areas=("x", "y")),
     )
-    assert got[JANUARY][0] == "failed"
+    assert got[JANUARY][0] == "failed" and got[MARCH][0] == "failed"
     assert got[FEBRUARY] == ("complete", 2)
 
 

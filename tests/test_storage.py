@@ -213,7 +213,7 @@ def test_recorded_scope_of_a_dataset(spark, tmp_path, small):
     assert K.stored_scope(spark, f"{tmp_path}/none") == "all"
     K.write_metadata(K.metadata_row(small, windows, refs, scope="active", last_run="2026-01-01"), f"{tmp_path}/meta")
     assert K.stored_scope(spark, f"{tmp_path}/meta") == "active"
-    (tmp_path / "meta" / "later.json").write_text('{"last_run":"2027","scope":"some"}\n')
+    (tmp_path / "meta" / "rows" / "later.json").write_text('{"number":2,"last_run":"2025","scope":"some"}\n')
     with pytest.raises(ValueError, match="some"):
         K.stored_scope(spark, f"{tmp_path}/meta")
 

@@ -170,6 +170,21 @@ def test_html_equals_an_event_reader(spark, html):
     assert one(spark, html_to_text(F.lit(html))) == read(html)
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<p>a<![CDATA[b]]>c</p>", "a\nb\nc"),
+        ("<p><![CDATA[ 1 < 2 &amp; <b>x</b> ]]></p>", "1 < 2 &amp; <b>x</b>"),
+        ("<![CDATA[one]]><![CDATA[]]>two ]]> three", "one\ntwo ]]> three"),
+        ("<script>//<![CDATA[\nif (a < b) {}\n//]]></script>seen", "seen"),
+        ("<!-- <![CDATA[ x --> seen", "seen"),
+        ("open <![CDATA[to the end", "open\nto the end"),
+    ],
+)
+def test_cdata_is_text(spark, html, want):
+    assert one(spark, html_to_text(F.lit(html))) == want
+
+
 def test_null_html_is_empty_text(spark):
     assert one(spark, html_to_text(F.lit(None).cast("string"))) == ""
 

@@ -7,6 +7,7 @@ from payloads import FEBRUARY, JANUARY, MARCH, SITE, detail, details, page, page
 
 from folioforge.operators.records import normalize_schema
 from folioforge.plans import update as U
+from folioforge.schema import SearchSpec
 from folioforge.session import stage
 from folioforge.sources.corpus import empty_corpus, scan_snapshot
 
@@ -20,7 +21,7 @@ class World:
         self.windows = window_rows(spark)
         self.refs = ref_ledger(spark)
 
-    def run(self, requested, landed, answers, **options):
+    def run(self, requested, landed, answers, search=SearchSpec(), **options):
         run = U.run_windows(
             self.corpus,
             pages(self.spark, *landed),
@@ -29,6 +30,7 @@ class World:
             self.windows,
             self.refs,
             SITE,
+            search,
             scraped_at="fixed",
             **options,
         )
@@ -113,7 +115,7 @@ def test_search_values_are_united_and_the_first_copy_wins(spark):
         page(JANUARY, [summary(" ip/20/1", title="second"), summary("IP/20/2")], variant=1),
         page(JANUARY, [], variant=2),
     ]
-    got = world.run([JANUARY], landed, {})
+    got = world.run([JANUARY], landed, {}, SearchSpec(keywords=("a", "b"), policy_areas=("c",)))
     assert got.new_documents == 2
     assert {r.document_id: r.title for r in world.corpus.collect()} == {"ip_20_1": "first", "ip_20_2": "Harbour plans"}
 
@@ -177,7 +179,7 @@ def test_a_run_is_appended_unless_it_replaces_rows(spark, tmp_path):
         corpus = scan_snapshot(spark, root)
         run = U.run_windows(
             corpus, pages(spark, *landed), details(spark, answers), window_rows(spark, JANUARY),
-            window_rows(spark), ledger, SITE, scraped_at="fixed",
+            window_rows(spark), ledger, SITE, SearchSpec(), scraped_at="fixed",
         )
         path = U.save_run(corpus, run, root)
         rows = scan_snapshot(spark, root).collect()
@@ -189,7 +191,7 @@ def test_a_run_is_appended_unless_it_replaces_rows(spark, tmp_path):
     second, rows, ledger = step([page(JANUARY, [one, two])], {"IP/20/2": detail("IP/20/2")}, ledger)
     assert (second, rows) == ("snapshot=1", {"ip_20_1": False, "ip_20_2": True})
     third, rows, ledger = step([page(JANUARY, [one, two])], {"IP/20/1": detail("IP/20/1")}, ledger)
-    assert (third, rows) == ("snapshot=2", {"ip_20_1": True, "ip_20_2": True})
+    assert (third, rows) == ("snapshot=1", {"ip_20_1": True, "ip_20_2": True})
 
 
 def test_requested_windows_queue_up_behind_pending_ones_in_every_run(spark):
@@ -207,10 +209,23 @@ def test_a_window_without_all_its_search_values_fails(spark):
     queue = spark.createDataFrame([(*JANUARY, 0), (*FEBRUARY, 1)], "date_from date, date_to date, queue_key bigint")
     landed = pages(spark, page(JANUARY, [summary("IP/20/1")], variant=0), page(JANUARY, [summary("IP/20/2")], variant=1),
                    page(FEBRUARY, [summary("IP/20/3")], variant=0))
-    for values, want in ((None, ["complete", "complete"]), (2, ["complete", "failed"])):
-        placed, listed = U.search_queue(queue, landed, values)
+    two, three = SearchSpec(keywords=("a", "b")), SearchSpec(commissioners=("x", "y"), policy_areas=("z",))
+    for search, want, rows in ((SearchSpec(), ["complete", "complete"], 2), (two, ["complete", "failed"], 2), (three, ["failed", "failed"], 0)):
+        placed, listed = U.search_queue(queue, landed, search)
         assert [r.status for r in placed.orderBy("queue_key").collect()] == want
-        assert listed.count() == (3 if values is None else 2)
+        assert listed.count() == rows
+    stray = pages(spark, page(JANUARY, [summary("IP/20/1")], variant=0), page(JANUARY, [summary("IP/20/2")], variant=7))
+    placed, _ = U.search_queue(queue, stray, two)
+    assert {r.status for r in placed.collect()} == {"failed"}
+
+
+def test_only_the_types_asked_for_are_listed(spark):
+    memo = {"docutype": {"code": "memo ", "description": "Memo"}}
+    landed = [page(JANUARY, [summary("IP/20/1"), summary("MEMO/20/2", **memo)])]
+    world = World(spark)
+    got = world.run([JANUARY], landed, {}, SearchSpec(document_types=("ip",)))
+    assert (got.new_documents, got.completed_windows, world.ids()) == (1, 1, ["ip_20_1"])
+    assert world.run([JANUARY], landed, {}, SearchSpec(document_types=("MEMO",))).new_documents == 1
 
 
 def test_fixed_references(spark):

@@ -106,6 +106,30 @@ def q_window_counts(spark, sf):
     return dates_as_text(WN.window_counts(stored_archive(spark, sf), mixed))
 
 
+@query(
+    "range_windows_wide",
+    with_duck(YEARS_DUCK, STORED_DUCK,
+              "spans as (select date_from, date_to from years union all select cast(lo + 100 as date), cast(hi - 100 as date) from limits "
+              "union all select cast(lo + 45 as date), cast(lo + 75 as date) from limits)")
+    + """select cast(date_from as varchar) as date_from, cast(date_to as varchar) as date_to, doc_type, count(*) as documents
+      from (select doc_type, case when o_orderkey % 11 = 4 then date || 'T10' when o_orderkey % 11 = 7 then substring(date, 1, 7) else date end as date
+            from stored) x join spans on date between cast(date_from as varchar) and cast(date_to as varchar) group by 1, 2, 3""",
+)
+def q_range_windows_wide(spark, sf):
+    """Windows of years, of all but the ends, and over two months; some dates are cut short or go on."""
+    span = limits(spark, sf)
+    add = lambda begin, end: span.select(begin.alias("date_from"), end.alias("date_to"))
+    spans = (
+        WN.year_windows(span).drop("position")
+        .unionByName(add(F.date_add("since", 100), F.date_sub("until", 100)))
+        .unionByName(add(F.date_add("since", 45), F.date_add("since", 75)))
+    )
+    odd = F.expr("case when o_orderkey % 11 = 4 then date || 'T10' when o_orderkey % 11 = 7 then substring(date, 1, 7) else date end")
+    rows = stored_archive(spark, sf).select("doc_type", odd.alias("date"))
+    joined = WN.range_window_join(rows, spans)
+    return dates_as_text(joined.groupBy("date_from", "date_to", "doc_type").agg(F.count("*").alias("documents")))
+
+
 @query(
     "range_window_join",
     with_duck(MONTHS_DUCK, STORED_DUCK)
@@ -346,12 +370,10 @@ def q_new_documents(spark, sf):
 @query(
     "missing_references",
     with_duck(STORED_DUCK) + """select distinct ' ' || cast(o_orderkey as varchar) as reference from orders
-      where o_orderkey % 97 = 0 and cast(o_orderkey as varchar) not in (select document_id from stored)""",
+      where cast(o_orderkey as varchar) not in (select document_id from stored)""",
 )
 def q_missing_references(spark, sf):
-    wanted = archive(spark, sf).where("o_orderkey % 97 = 0").select(
-        F.concat(F.lit(" "), "document_id").alias("reference")
-    )
+    wanted = archive(spark, sf).select(F.concat(F.lit(" "), "document_id").alias("reference"))
     return M.missing_references(wanted.unionAll(wanted), stored_archive(spark, sf)).select("reference")
 
 
@@ -404,16 +426,14 @@ CANARY = 700
     with_duck(MONTHS_DUCK, STORED_DUCK) + f"""select document_id, queue_key from (
       select cast(o_orderkey as varchar) as document_id, position as queue_key,
         row_number() over (order by position, day(o_orderdate), o_orderkey) as rn
-      from months join orders on cast(o_orderdate as date) between date_from and date_to
-      where o_orderkey % 3 = 0) a where rn <= {CANARY}""",
+      from months join orders on cast(o_orderdate as date) between date_from and date_to) a where rn <= {CANARY}""",
 )
 def q_canary_limit(spark, sf):
     return _canary(spark, sf)[0].select("document_id", "queue_key")
 
 
 def _canary(spark, sf):
-    rows = archive(spark, sf).where("o_orderkey % 3 = 0")
-    placed = WN.range_window_join(rows, months(spark, sf).drop("position"))
+    placed = WN.range_window_join(archive(spark, sf), months(spark, sf).drop("position"))
     queued = placed.join(months(spark, sf).select("date_from", F.col("position").alias("queue_key")), "date_from")
     missing = queued.withColumn("page_key", F.dayofmonth("day").cast("bigint")).withColumn("pos", F.col("o_orderkey"))
     return ordered.canary_limit(missing, CANARY)
@@ -424,8 +444,7 @@ def _canary(spark, sf):
     with_duck(MONTHS_DUCK) + f"""select position as queue_key, count(*) as missing, count(*) filter (rn <= {CANARY}) as selected,
       count(*) filter (rn <= {CANARY}) = count(*) as complete from (
       select position, row_number() over (order by position, day(o_orderdate), o_orderkey) as rn
-      from months join orders on cast(o_orderdate as date) between date_from and date_to
-      where o_orderkey % 3 = 0) a group by position""",
+      from months join orders on cast(o_orderdate as date) between date_from and date_to) a group by position""",
 )
 def q_canary_progress(spark, sf):
     return _canary(spark, sf)[1]

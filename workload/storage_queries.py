@@ -11,7 +11,6 @@ from folioforge.session import new_path
 from folioforge.sources import ledgers as LG
 from folioforge.sources import release, sinks
 from folioforge.sources.corpus import scan_snapshot, scan_snapshot_window
-from folioforge.sources.landed import ingest_search_pages
 from folioforge.streaming import topup
 from workload.archive_queries import MONTHS_DUCK, months, with_duck
 from workload.corpus_queries import sql_list
@@ -22,7 +21,6 @@ from workload.views import (
     dates_as_text,
     duck_views,
     keyed_corpus,
-    landed_pages,
     table,
 )
 
@@ -38,7 +36,7 @@ def q_write_corpus(spark, sf):
     rows = keyed_corpus(spark, sf).withColumnRenamed("doc_id", "arrival")
     older = rows.withColumns({"title": F.lit("old"), "arrival": F.col("arrival") - 1_000_000})
     sinks.write_corpus(rows.unionByName(older), root, order=["arrival"])
-    sinks.write_corpus(scan_snapshot(spark, root), root)
+    sinks.compact_corpus(spark, root)
     return scan_snapshot(spark, root)
 
 
@@ -97,6 +95,7 @@ def q_export_csv(spark, sf):
 @query(
     "write_metadata",
     with_duck(MONTHS_DUCK) + C.replace("with ", ", ", 1) + """select (select count(*) from corpus) as total_documents, (select max(date) from corpus where date <> '') as cutoff,
+      cast(1 as bigint) as number, '0.1.0' as package_version, '{"name": "orders"}' as metadata,
       'active' as scope, 'abc' as config_hash, '2026.05' as dataset_version, (select count(*) from months) as failed_window_count,
       (select count(*) from documents where doc_id % 9 = 1) as failed_ref_count,
       '2026-05-08T00:00:00' as last_run,
@@ -109,20 +108,20 @@ def q_write_metadata(spark, sf):
     failed_refs = table(spark, sf, "documents").where("doc_id % 9 = 1")
     row = sinks.metadata_row(
         rows, failed_windows, failed_refs, scope="active", config_hash="abc",
-        dataset_version="2026.05", last_run="2026-05-08T00:00:00",
+        dataset_version="2026.05", last_run="2026-05-08T00:00:00", project_metadata={"name": "orders"},
     )
     target = new_path(spark, "metadata")
-    sinks.write_metadata(row, target)
+    sinks.write_metadata(row, target, failed_windows.withColumn("dataset", F.lit("orders")))
     return sinks.read_metadata(spark, target).withColumn("per_type_counts", F.to_json("per_type_counts"))
 
 
 @query(
     "write_ledgers",
     with_duck(MONTHS_DUCK) + """select cast(date_from as varchar) as date_from, cast(date_to as varchar) as date_to, position
-      from months where position % 3 = 0""",
+      from months""",
 )
 def q_write_ledgers(spark, sf):
-    pending = months(spark, sf).where("position % 3 = 0").withColumn("dataset", F.lit("orders"))
+    pending = months(spark, sf).withColumn("dataset", F.lit("orders"))
     twice = pending.unionByName(pending.withColumn("position", F.col("position") + 500))
     target = new_path(spark, "failed-windows")
     LG.write_failed_windows(twice, target)
@@ -243,23 +242,3 @@ def q_stream_dedup(spark, sf):
         spark, landed, root, checkpoint, events.schema, key="user_id", order=[*ORDER, "event_id"], files_per_batch=1
     )
     return latest.select("user_id", "event_id", "event_type")
-
-
-@query(
-    "stream_ingest",
-    duck_views("feed", "totals", "pg") + """select lower(replace(trim(ref), '/', '_')) as requested_id, min(event_date) as event_date,
-        min(lang) as language_code from feed f
-      where exists (select 1 from pg where pg.w = f.w and pg.page_no = f.page_no and page_ok) and trim(ref) <> '' group by 1""",
-)
-def q_stream_ingest(spark, sf):
-    """Landed search pages, streamed from several files into summaries, each document once."""
-    landed, root, checkpoint = (new_path(spark, name) for name in ("pages", "stream", "stream-state"))
-    bodies = landed_pages(spark, sf)
-    bodies.repartition(3, "date_from", "page_no").write.parquet(landed)
-    order = ["date_from", "variant_no", "page_no", "pos"]
-    schema = ingest_search_pages(bodies).select("requested_id", "event_date", "language_code").schema
-    topup.incremental_update(
-        spark, landed, root, checkpoint, schema, key="requested_id", order=order, files_per_batch=1,
-        landed_schema=bodies.schema, prepare=lambda batch: ingest_search_pages(batch).where("requested_id <> ''"),
-    )
-    return topup.read_parts(spark, root, schema)

@@ -44,10 +44,10 @@ CORPUS = """
     reference,
     case when doc_id % 53 = 7 then null else code end as doc_type,
     'Type ' || code as doc_type_name,
-    substring(text, 1, 40) as title,
-    case when year(d0) >= 2010 and doc_id % 4 <> 0 then substring(text, 1, 20)
+    'Document ' || cast(doc_id as {S}) || ' of ' || source as title,
+    case when year(d0) >= 2010 and doc_id % 4 <> 0 then source
          when doc_id % 5 = 0 then '' end as subtitle,
-    case doc_id % 6 when 0 then null when 1 then '' else substring(text, 1, 60) end as summary,
+    case doc_id % 6 when 0 then null when 1 then '' else text end as summary,
     case when doc_id % 47 = 5 then null when doc_id % 61 = 9 then '' else iso end as date,
     case when doc_id % 7 = 2 then null else iso || 'T12:00:00Z' end as publish_datetime,
     case doc_id % 3 when 0 then 'Geneva' when 1 then 'Vienna' end as place,
@@ -77,8 +77,8 @@ CORPUS = """
 FEED = """
   select doc_id, w, page_no, pos, code, ref, date_from, date_to, text, lang, source,
     {iso0} as event_date,
-    case when doc_id % 3 = 1 then null else substring(text, 1, 30) end as title,
-    case doc_id % 6 when 0 then null when 1 then '' else substring(text, 1, 50) end as lead_text
+    case when doc_id % 3 = 1 then null else 'Document ' || cast(doc_id as {S}) end as title,
+    case doc_id % 6 when 0 then null when 1 then '' else text end as lead_text
   from (
     select *, date_from + cast(doc_id % 28 as int) as d0, last_day(date_from) as date_to,
            case when w % 24 = 6 and page_no = 1 and pos = 0 then ' '
@@ -290,7 +290,7 @@ def _detail_bodies(spark: SparkSession, sf: str) -> DataFrame:
             F.expr("case when doc_id % 9 = 4 then null else event_date end").alias("eventDate"),
             F.concat("event_date", F.lit("T10:00:00Z")).alias("publishDate"),
             F.struct(
-                F.expr("case when doc_id % 4 = 0 then '' else 'Detail ' || substring(text, 1, 12) end").alias("title"),
+                F.expr("case when doc_id % 4 = 0 then '' else 'Detail ' || source end").alias("title"),
                 F.expr("case when doc_id % 5 = 1 then '' when doc_id % 5 = 2 then 'Sub' end").alias("subtitle"),
                 F.when(
                     F.expr("doc_id % 11 <> 6"),
@@ -358,7 +358,7 @@ FLAT_DUCK = f"""
     ref as reference,
     code as doc_type,
     case when ok and doc_id % 8 <> 3 then 'Detail type ' || code else 'Type ' || code end as doc_type_name,
-    case when ok and doc_id % 4 <> 0 then 'Detail ' || substring(text, 1, 12) else coalesce(title, '') end as title,
+    case when ok and doc_id % 4 <> 0 then 'Detail ' || source else coalesce(title, '') end as title,
     case when ok and doc_id % 5 = 2 then 'Sub' end as subtitle,
     nullif(lead_text, '') as summary,
     event_date as date,
