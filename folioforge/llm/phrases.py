@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -16,7 +17,8 @@ from folioforge.session import stage
 SUPPORT = 100  # occurrences of the rarest phrase that counts
 LONGEST = 5  # words of the longest phrase
 TOP = 2000  # phrases reported per language
-SHARD_WORDS = 3_000_000  # words mined together; bounds a task's memory
+SHARDS = 16  # parts of the corpus that are mined each by itself
+BLOCK_WORDS = 3_000_000  # words of a shard that a task holds at once
 FILTER_BITS = 1 << 26  # of a filter in the tasks; more phrases make it weaker, never wrong
 SALTS = 64
 STEP = 100_000  # places or phrases handled together
@@ -44,45 +46,52 @@ def _numbers(text: str, words: _Words) -> np.ndarray:
     return ids
 
 
-_SHARD = "lang string, n long, words binary, ids binary"
+_BLOCK = "lang string, shard int, n long, words binary, ids binary"
 
 
-def _shards(docs: DataFrame, size: int) -> DataFrame:
-    """A row per language of each shard: its number of words, its distinct words, and its texts as their numbers."""
+def _blocks(docs: DataFrame, size: int, shards: int) -> DataFrame:
+    """A row per language of each block of texts: its shard, number of words, distinct words, and texts as their numbers.
 
-    def packed(parts):
+    A task's blocks go to the shards in turn.
+    """
+
+    def packed(parts, shard):
         rows = [(lang, words, np.concatenate(ids)) for lang, (words, ids) in parts.items()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([int((r[2] > 0).sum()) for r in rows], pa.int64()),
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([shard] * len(rows), pa.int32()), pa.array([int((r[2] > 0).sum()) for r in rows], pa.int64()),
              pa.array([b" ".join(list(r[1])[1:]) for r in rows], pa.binary()), pa.array([r[2].tobytes() for r in rows], pa.binary())],
-            ["lang", "n", "words", "ids"])
+            ["lang", "shard", "n", "words", "ids"])
 
     def run(batches):
-        parts, held = {}, 0
+        parts, held, turn = {}, 0, TaskContext.get().partitionId()
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):  # one text at a time
                 words, ids = parts.setdefault(lang.as_py(), (_Words(), []))
                 ids.append(_numbers(text.as_py(), words))
                 held += len(ids[-1])
                 if held >= size:
-                    yield packed(parts)
-                    parts, held = {}, 0
+                    yield packed(parts, turn % shards)
+                    parts, held, turn = {}, 0, turn + 1
         if parts:
-            yield packed(parts)
+            yield packed(parts, turn % shards)
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, _SHARD)
+    return texts.mapInArrow(run, _BLOCK)
 
 
 def _seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 7))
 
 
+def _hashes(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """Hashes of phrases given as rows of word hashes."""
+    k = hashes.shape[1]
+    return mix(_seed(lang) + np.uint64(k) + (hashes * _FACTORS[:k]).sum(1, dtype=np.uint64))
+
+
 def _slots(lang: str, hashes: np.ndarray) -> np.ndarray:
     """Places in a filter of phrases given as rows of word hashes."""
-    k = hashes.shape[1]
-    total = _seed(lang) + np.uint64(k) + (hashes * _FACTORS[:k]).sum(1, dtype=np.uint64)
-    return (mix(total) % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (_hashes(lang, hashes) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
 def _filter_of(phrases: DataFrame):
@@ -94,16 +103,20 @@ def _filter_of(phrases: DataFrame):
         return pd.Series([int(_slots(x, np.array([[hashes[w] for w in p.encode("utf-8", "surrogatepass").split(b" ")]], np.uint64))[0])
                           for x, p in zip(lang, phrase, strict=True)], dtype="int64")
 
-    rows = (phrases.select(slot("lang", "phrase").alias("slot"))
-            .groupBy(F.expr("slot div 32768").alias("bucket")).agg(F.bitmap_construct_agg(F.expr("slot % 32768")).alias("bits")).collect())
+    return _bits(phrases.select(slot("lang", "phrase").alias("slot")))
+
+
+def _bits(slots: DataFrame):
+    rows = (slots.groupBy(F.expr("slot div 32768").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.expr("slot % 32768")).alias("bits")).collect())
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in rows:
         bits[row["bucket"] * 4096 : row["bucket"] * 4096 + 4096] = np.frombuffer(row["bits"], np.uint8)
-    return phrases.sparkSession.sparkContext.broadcast(bits)
+    return slots.sparkSession.sparkContext.broadcast(bits)
 
 
-def _frequent(words: list[bytes], lang: str, ids: np.ndarray, least: int, lengths, filters):
-    """(k, phrases as rows of word numbers, counts) of all phrases of ``lengths`` that the shard holds ``least`` times.
+def _found(words: list[bytes], lang: str, ids: np.ndarray, lengths, filters):
+    """(k, phrases as rows of word numbers, their hashes, counts) of all phrases of ``lengths`` in a block.
 
     ``filters`` holds, by length, what phrases and their parts may be; a phrase is looked at only
     where the two phrases one word shorter passed. Phrases are named exactly: by the number of
@@ -131,11 +144,9 @@ def _frequent(words: list[bytes], lang: str, ids: np.ndarray, least: int, length
         ends = np.flatnonzero(np.concatenate([ordered[1:] != ordered[:-1], [True]])) if len(ordered) else np.empty(0, np.int64)
         found, counts = ordered[ends], np.diff(ends, prepend=-1)
         del ordered
-        often = counts >= (least if k in lengths else 1)
-        found, counts = found[often], counts[often]
         spelt = np.concatenate([spelt[found // base], found[:, None] % base], 1)
         if k in lengths:
-            yield k, spelt, counts
+            yield k, spelt, hashes, counts
         if more and len(found):
             place = np.minimum(np.searchsorted(found, codes), len(found) - 1)
             names = np.full(len(ids), -1, np.int32)
@@ -167,56 +178,80 @@ def _unpacked(batches, names):
 
 
 def _words(batches):
-    """(lang, word, 1, count) of each shard."""
+    """(lang, word, 1, count) of each block."""
     for lang, words, ids in _unpacked(batches, ("lang", "words", "ids")):
         counts = np.bincount(ids, minlength=len(words))[1:]
         yield _rows(lang, [w.decode("utf-8", "surrogatepass") for w in words[1:]] if counts.any() else [], 1, counts if counts.any() else [])
 
 
-def _phrases(shards: DataFrame, lengths, filters, support: int | None) -> DataFrame:
-    """(lang, phrase, k, f) by shard: all that pass the filters, or those above the shard's share of ``support``."""
+_LOCAL = "lang string, shard int, k int, hash long, f long"
+
+
+def _mined(blocks: DataFrame, lengths, filters) -> DataFrame:
+    """(lang, shard, k, hash, f): the phrases of each block that pass the filters, by hash."""
+
+    def run(batches):
+        bits = {k: b.value for k, b in filters.items()}
+        for lang, words, ids, shard in _unpacked(batches, ("lang", "words", "ids", "shard")):
+            for k, spelt, hashes, counts in _found(words, lang, ids, lengths, bits):
+                for begin in range(0, len(spelt), STEP):
+                    part = _hashes(lang, hashes[spelt[begin : begin + STEP]]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part), pa.string()), pa.array(np.full(len(part), shard, np.int32)),
+                         pa.array(np.full(len(part), k, np.int32)), pa.array(part), pa.array(counts[begin : begin + STEP].astype(np.int64))],
+                        ["lang", "shard", "k", "hash", "f"])
+
+    return blocks.mapInArrow(run, _LOCAL)
+
+
+def _phrases(blocks: DataFrame, lengths, filters) -> DataFrame:
+    """(lang, phrase, k, f): the phrases of each block that pass the filters."""
 
     def run(batches):
         bits = {k: b.value for k, b in filters.items()}
-        for lang, words, ids, n, total in _unpacked(batches, ("lang", "words", "ids", "n", "total")):
-            # The sum of the shards' shares is the support, so one shard at least reaches its own.
-            least = max(1, -(-support * n // total)) if support else 1
-            for k, spelt, counts in _frequent(words, lang, ids, least, lengths, bits):
+        for lang, words, ids in _unpacked(batches, ("lang", "words", "ids")):
+            for k, spelt, _, counts in _found(words, lang, ids, lengths, bits):
                 for begin in range(0, len(spelt), STEP):
                     part = spelt[begin : begin + STEP].tolist()
                     yield _rows(lang, [b" ".join([words[i] for i in row]).decode("utf-8", "surrogatepass") for row in part],
                                 k, counts[begin : begin + STEP])
 
-    return shards.mapInArrow(run, _COUNTS)
+    return blocks.mapInArrow(run, _COUNTS)
 
 
-def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> DataFrame:
+def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST,
+                  block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
     """(lang, phrase, k, f): words per language (k = 0, no phrase), and all phrases of 1 to ``longest``
     words with f >= ``support``, counted exactly.
 
-    A shard is a task's next ``shard_words`` words, numbered once and staged. Two steps follow, pairs
-    and then longer phrases, of two passes each. The first mines every shard completely at the share
-    of the support that its words are of the language's; a phrase that reaches the support
-    reaches that share in some shard, so the union holds every result. The second counts the union in
-    all shards. Tasks know the union, the frequent words and the frequent pairs as filters of fixed
-    size; what passes by chance is counted like the rest. Beyond ``support`` shards the share is one
-    occurrence, and the pruning rests on the words and pairs counted before.
+    Texts are numbered once and staged in blocks of ``block_words`` words, which belong to ``shards``
+    parts of the corpus, however large it is. Two steps follow, pairs and then longer phrases, of two
+    passes each. The first mines every shard completely, at the share of the support that
+    its words are of the language's: tasks count their blocks, Spark adds up each shard's counts. A phrase
+    that reaches the support reaches that share in some shard, so the union of what the shards
+    found holds every result. The second counts the union in all texts. Tasks know
+    the union, the frequent words and the frequent pairs as filters of fixed size; what passes by
+    chance is counted like the rest. The first pass moves hashes only: equal ones of
+    different phrases add a candidate, which the second counts as what it is.
     """
     total = lambda rows: rows.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-    shards = stage(_shards(docs, shard_words), "shards")
-    sizes = shards.groupBy("lang").agg(F.sum("n").alias("total")).where("total > 0")
-    known = stage(total(shards.mapInArrow(_words, _COUNTS)), "words")
-    shards = shards.join(stage(sizes, "sizes"), "lang")
+    blocks = stage(_blocks(docs, block_words, shards), "blocks")
+    sizes = blocks.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
+    sizes = stage(sizes.where("own > 0"), "sizes")  # a row per language and shard
+    whole = sizes.groupBy("lang").agg(F.sum("own").alias("total"))
+    known = stage(total(blocks.mapInArrow(_words, _COUNTS)), "words")
     filters = {1: _filter_of(known)}
     for lengths in ([2], range(3, longest + 1)):
         if not lengths or longest < 2:
             break
-        union = stage(_phrases(shards, lengths, filters, support).select("lang", "phrase", "k").distinct(), "union")
-        bits = {k: _filter_of(union.where(F.col("k") == k)) for k in lengths}
-        counted = stage(total(_phrases(shards, lengths, filters | bits, None)), "counts")
+        local = _mined(blocks, lengths, filters).groupBy("lang", "shard", "k", "hash").agg(F.sum("f").alias("f"))
+        often = local.join(sizes.join(whole, "lang"), ["lang", "shard"]).where(F.col("f") * F.col("total") >= support * F.col("own"))
+        union = stage(often.select("k", F.pmod("hash", F.lit(FILTER_BITS)).alias("slot")).distinct(), "union")
+        bits = {k: _bits(union.where(F.col("k") == k)) for k in lengths}
+        counted = stage(total(_phrases(blocks, lengths, filters | bits)), "counts")
         known = known.union(counted)
         filters = filters | {2: _filter_of(counted)} if lengths == [2] else filters
-    return known.union(sizes.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("k"), F.col("total").alias("f")))
+    return known.union(whole.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("k"), F.col("total").alias("f")))
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP) -> DataFrame:

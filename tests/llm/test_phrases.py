@@ -47,12 +47,12 @@ def rows_of(seed):
     return [*rows, ("en", None), ("en", ""), ("xx", None), ("xx", " . "), rows[0], rows[0], ("fr", "the of " * 3000)]
 
 
-@pytest.mark.parametrize(("seed", "support", "shard_words"), [(1, 6, 40), (2, 3, 10**6), (3, 20, 300)])
-def test_phrases_equal_plain_counts(spark, seed, support, shard_words):
+@pytest.mark.parametrize(("seed", "support", "block_words"), [(1, 6, 40), (2, 3, 10**6), (3, 20, 300)])
+def test_phrases_equal_plain_counts(spark, seed, support, block_words):
     rows = rows_of(seed)
     frame = spark.createDataFrame([(i, *r, 1, "x") for i, r in enumerate(rows)],
                                   "doc_id long, lang string, text string, f long, phrase string").repartition(3)
-    known = phrases.phrase_counts(frame, support, 5, shard_words).where("k > 1").count()
+    known = phrases.phrase_counts(frame, support, 5, block_words, 5).where("k > 1").count()
     got = sorted(map(tuple, phrases.collocations(frame, support, 5, 12).collect()))
     assert got == plain(rows, support, 5, 12) and known >= len(got) > 0
 
