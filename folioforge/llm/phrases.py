@@ -18,7 +18,7 @@ SUPPORT = 100  # occurrences of the rarest phrase that counts
 LONGEST = 5  # words of the longest phrase
 TOP = 2000  # phrases reported per language
 SHARDS = 16  # parts of the corpus that are mined each by itself
-BLOCK_WORDS = 3_000_000  # words of a shard that a task holds at once
+BLOCK_WORDS = 1_500_000  # words of a shard that a task holds at once
 FILTER_BITS = 1 << 26  # of a filter in the tasks; more phrases make it weaker, never wrong
 SALTS = 64
 STEP = 100_000  # places or phrases handled together
