@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.components import cells, components
-from folioforge.llm.grams import WordHashes, mix, shingles
+from folioforge.llm.grams import TextHashes, mix, shingles
 from folioforge.session import stage
 
 ORDER_BITS = 14  # groups whose counts put coordinates in order: a table of 16,384 numbers
@@ -37,6 +37,7 @@ HIGHEST = 65_535  # a count this high stands for any higher one
 LEAF = 16  # points of a leaf
 CELL = 2048  # points a cell takes from one block
 SETS = 4_000_000  # shingles of full sets a cell takes from one block, about
+ROW = 400  # shingles that a text counts as besides its own, in sizes of cells
 FILTER_BITS = 24  # bits of the filter that keeps texts without candidates from being read again
 _FULL = 2**ORDER_BITS
 
@@ -46,14 +47,23 @@ def needed(na, nb):
     return (4 * (na + nb) + 8) // 9
 
 
+def _order_counts(grams: list[np.ndarray]) -> np.ndarray:
+    joined = np.concatenate(grams) if grams else np.empty(0, np.uint64)
+    return np.bincount((joined & np.uint64(_FULL - 1)).astype(np.int64), minlength=_FULL)
+
+
 def _sketch(batches):
     """Rows per text (its class and point), then the counts of the order groups of these texts."""
-    hashes, counts = WordHashes(), np.zeros(_FULL, np.int64)
+    hashes, counts, waiting = TextHashes(), np.zeros(_FULL, np.int64), []
     for batch in batches:
-        sigs, sizes, points = [], [], []
+        sigs, sizes, points, held = [], [], [], 0
         for text in batch["text"]:
             grams = shingles(hashes.of(text or ""))
-            counts += np.bincount((grams & np.uint64(_FULL - 1)).astype(np.int64), minlength=_FULL)
+            waiting.append(grams)
+            held += len(grams)
+            if held > 500_000:
+                counts += _order_counts(waiting)
+                waiting, held = [], 0
             sigs.append(int(mix(grams + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
             sizes.append(len(grams))
             point = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=DIMS)
@@ -62,6 +72,8 @@ def _sketch(batches):
                             "sig": sigs, "n": sizes, "point": points,
                             "order_group": pd.array([None] * len(sigs), "Int32"),
                             "count": pd.array([None] * len(sigs), "Int64")})
+        counts += _order_counts(waiting)
+        waiting = []
     groups = np.flatnonzero(counts)
     if len(groups):
         empty = pd.array([None] * len(groups), "Int64")
@@ -79,7 +91,7 @@ def _slabs(rank: np.ndarray):
     """Rows (slab, sig, n, at): the slabs a text visits and the coordinate's place in its order."""
 
     def run(batches):
-        hashes = WordHashes()
+        hashes = TextHashes()
         for batch in batches:
             seen, out = set(), []
             for text in batch["text"]:
@@ -194,12 +206,12 @@ def _bounded(batches):
 
 
 def tree(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """Levels of a packed R-tree, points first: coordinate maxima, least size, first and last root."""
-    levels = [(points, sizes, roots, roots)]
+    """Levels of a packed R-tree, points first: coordinate maxima, least and greatest size, first and last root."""
+    levels = [(points, sizes, sizes, roots, roots)]
     while len(levels[-1][1]) > 1:
-        maxima, least, first, last = levels[-1]
+        maxima, least, most, first, last = levels[-1]
         starts = np.arange(0, len(least), LEAF)
-        levels.append((np.maximum.reduceat(maxima, starts), np.minimum.reduceat(least, starts),
+        levels.append((np.maximum.reduceat(maxima, starts), np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts),
                        np.minimum.reduceat(first, starts), np.maximum.reduceat(last, starts)))
     return levels
 
@@ -207,16 +219,23 @@ def tree(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> list[tuple
 def tree_pairs(left, right, step: int = 4096):
     """Pairs (i, j) of points of different components that survive the bound at every level.
 
-    Nodes are opened depth first, ``step`` pairs at a time, so memory stays bounded.
+    Nodes are opened depth first, ``step`` pairs at a time, so memory stays bounded. A tree that is
+    joined with itself is opened in one order only. Roots and sizes, which cost two numbers a
+    node, are looked at before the coordinates.
     """
+    same = left is right
     stack = [(len(left) - 1, len(right) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
         up, down, i, j = stack.pop()
         if len(i) > step:
             stack.append((up, down, i[step:], j[step:]))
             i, j = i[:step], j[:step]
-        (max1, n1, lo1, hi1), (max2, n2, lo2, hi2) = left[up], right[down]
+        (max1, n1, most1, lo1, hi1), (max2, n2, most2, lo2, hi2) = left[up], right[down]
+        if same and up == down:
+            once = i <= j if up else i < j
+            i, j = i[once], j[once]
         apart = (lo1[i] != hi1[i]) | (lo2[j] != hi2[j]) | (lo1[i] != lo2[j])
+        apart &= (5 * most1[i] >= 4 * n2[j]) & (5 * most2[j] >= 4 * n1[i])
         i, j = i[apart], j[apart]
         reach = _overlap(max1[i], max2[j]) >= needed(n1[i], n2[j])
         i, j = i[reach], j[reach]
@@ -242,7 +261,7 @@ def _cell_pairs(cell: pd.DataFrame) -> pd.DataFrame:
             sides.append((sig, tree(_points(rows["point"]), rows["n"].to_numpy().astype(np.int64), root)))
     found = [pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})]
     if sides and (len(sides) == 2 or cell["lo"].iloc[0] == cell["hi"].iloc[0]):
-        (sig1, tree1), (sig2, tree2) = sides[0], sides[-1]
+        (sig1, tree1), (sig2, tree2) = sides[0], sides[-1]  # one tree twice where both blocks are one
         for i, j in tree_pairs(tree1, tree2):
             a, b = np.minimum(sig1[i], sig2[j]), np.maximum(sig1[i], sig2[j])
             found.append(pd.DataFrame({"a": a, "b": b}).drop_duplicates())
@@ -265,7 +284,7 @@ def _sets(bits: bytes):
     table = np.frombuffer(bits, np.uint8)
 
     def run(batches):
-        hashes = WordHashes()
+        hashes = TextHashes()
         for batch in batches:
             place = batch["text_key"].to_numpy().astype(np.uint64) & np.uint64(2**FILTER_BITS - 1)
             wanted = table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1
@@ -325,13 +344,17 @@ def _verified(pairs: DataFrame, roots: DataFrame | None, nodes: DataFrame, texts
 
     Pairs fall into families, the components of the candidate graph. A family's sets go to one
     cell, together with other small families', so a set travels once and not with each of its
-    pairs; a family of more than ``SETS`` shingles is dealt to several cells of bounded size.
+    pairs; a family of more than ``SETS`` shingles is dealt to several cells of bounded size. A text
+    counts as ``ROW`` shingles more, so that cells are bounded in rows too. The number of cells for
+    small families follows from the sum of their sizes.
     """
     pairs = stage(pairs, "pairs")
     families = components(pairs).withColumnsRenamed({"node": "sig", "root": "family"})
     families = families.join(nodes.select("sig", "n"), "sig")
-    sizes = families.groupBy("family").agg(F.sum("n").alias("size"))
-    cell = F.when(F.col("size") <= SETS, F.pmod(F.xxhash64("family"), F.lit(4 * parts))).otherwise(F.xxhash64("family", "lo", "hi"))
+    sizes = stage(families.groupBy("family").agg(F.sum(F.col("n") + ROW).alias("size")), "families")
+    total = sizes.where(F.col("size") <= SETS).agg(F.sum("size")).first()[0] or 0
+    small = max(4 * parts, 4 * total // SETS)
+    cell = F.when(F.col("size") <= SETS, F.pmod(F.xxhash64("family"), F.lit(small))).otherwise(F.xxhash64("family", "lo", "hi"))
     dealt = stage(cells(families.join(sizes, "family"), "size", "sig", SETS)
                   .select("sig", "part", "size", "family", "lo", "hi", cell.alias("cell")), "dealt")
     own = dealt.where("lo = hi")

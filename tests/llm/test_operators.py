@@ -74,6 +74,11 @@ def test_tree_join_loses_no_pair():
     want = {(i, j) for i in range(150) for j in range(150)
             if np.minimum(points[i], points[150 + j]).sum() >= jaccard.needed(sizes[i], sizes[150 + j])}
     assert got == want and want
+    whole = jaccard.tree(points, sizes, roots)
+    pairs = [(int(a), int(b)) for i, j in jaccard.tree_pairs(whole, whole, 64) for a, b in zip(i, j, strict=True)]
+    every = {(i, j) for i in range(300) for j in range(i + 1, 300)
+             if np.minimum(points[i], points[j]).sum() >= jaccard.needed(sizes[i], sizes[j])}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == every and every > {(i, 150 + j) for i, j in want if i != j}
 
 
 def test_components_of_a_long_chain(spark):
@@ -241,7 +246,90 @@ def test_raking_meets_the_margins_and_rows_keep_their_columns(spark, corpus):
     kept = mixing.mixed(frame)
     assert kept.columns == frame.columns and {200, 201, 202} <= {r.doc_id for r in kept.collect()}
     decisions = mixing.mixed_decisions(frame).collect()
-    assert sum(r.kept for r in decisions) > 0 and all(0 <= r.probability <= 1 for r in decisions)
+    assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in decisions)
+    half = mixing.mixed_decisions(frame, budget=sum(r.tokens for r in decisions) // 2).collect()
+    assert abs(sum(r.rate * r.tokens for r in half) - sum(r.tokens for r in decisions) / 2) < 1
+
+
+def plain_mixture(spark, docs, targets=None, seed=0):
+    """{(doc_id, text, source, lang): copies} by loops over dictionaries; topics are the operator's model."""
+    import struct
+
+    import xxhash
+
+    centres = mixing.fit_topics(docs, seed=seed)
+    rows = {(r.doc_id, r.text or "", r.source, r.lang) for r in docs.collect()}
+    cell, tokens = {}, {}
+    for row in rows:
+        topic = f"topic{int((mixing._vectors([row[1]])[0] @ centres.T).argmax())}"
+        cell[row], tokens[row] = (row[2], row[3], topic), len(row[1].split())
+    sums = {}
+    for r in docs.collect():  # repeated rows count in the cells
+        row = (r.doc_id, r.text or "", r.source, r.lang)
+        sums[cell[row]] = sums.get(cell[row], 0) + tokens[row]
+    total, goals = sum(sums.values()), []
+    for m, name in enumerate(mixing.MARGINS):
+        have = {}
+        for c, n in sums.items():
+            have[c[m]] = have.get(c[m], 0) + n
+        goal = (targets or {}).get(name) or {k: (n / total) ** mixing.TEMPER for k, n in have.items() if n}
+        goals.append({k: v / sum(goal.values()) for k, v in goal.items()})
+    weight = {c: float(n > 0) for c, n in sums.items()}
+    for _ in range(300):
+        for m, goal in enumerate(goals):
+            have = {}
+            for c, n in sums.items():
+                have[c[m]] = have.get(c[m], 0) + n * weight[c]
+            met = sum(goal.get(k, 0) for k, n in have.items() if n > 0)
+            for c in sums:
+                if have[c[m]] > 0:
+                    weight[c] *= goal.get(c[m], 0) / met / (have[c[m]] / sum(have.values()))
+    scale = total / sum(n * weight[c] for c, n in sums.items())
+    out = {}
+    for row in rows:
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        if row[0] is not None:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", row[0]), h)
+        key = xxhash.xxh64_intdigest(row[1].encode(), 42)
+        u = xxhash.xxh64_intdigest(struct.pack("<Q", key), h) % 2**53 / 2**53
+        rate = weight[cell[row]] * scale if sums[cell[row]] else 1.0
+        rate = rate if tokens[row] else 1.0
+        out[row] = int(rate) + (u < rate - int(rate))
+    return out
+
+
+def test_the_draw_equals_plain_loops(spark, corpus):
+    frame = docs_of(spark, [(i, t, lang, s) for i, t, lang, s in corpus])
+    targets = {"lang": {"en": 0.3, "de": 0.6, None: 0.1}, "source": {"s0": 0.2, "s1": 0.5, "s2": 0.3}}
+    for goals in (None, targets):
+        want = plain_mixture(spark, frame, goals)
+        got = [(r.doc_id, r.text, r.source, r.lang) for r in mixing.mixed(frame, goals).collect()]
+        each = {}
+        for r in frame.collect():
+            row = (r.doc_id, r.text, r.source, r.lang)
+            each[row] = each.get(row, 0) + want[(r.doc_id, r.text or "", r.source, r.lang)]
+        assert sorted(got, key=str) == sorted((row for row, n in each.items() for _ in range(n)), key=str)
+    assert max(want.values()) > 1 and min(want.values()) == 0
+
+
+def test_a_lone_rare_document_leaves_the_others_in(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["oak", "elm", "fir"], k=50)), rng.choice(["en", "de"]), rng.choice(["a", "b", "c"])) for i in range(600)]
+    rows += [(1000, "one small text", "es", "d")]
+    kept = mixing.mixed(docs_of(spark, rows)).collect()
+    assert len({r.doc_id for r in kept}) > 450 and abs(len(kept) - 601) < 100
+    with pytest.warns(UserWarning, match="aren't met"):
+        mixing.mixed(docs_of(spark, rows), {"source": {"a": 0.9, "d": 0.1}, "lang": {"en": 0.1, "de": 0.1, "es": 0.8}}).count()
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    bench = spark.createDataFrame([(1, "Quartz Sphinx judges"), (2, "今天天气很好我们去公园"), (3, "seven short words stand here in a"), (4, "two words"),
+                                   (5, "ประเทศไทยมีอากาศร้อน")], "item_id long, text string")
+    rows = [(1, "a quartz, sphinx judges b", "en", "s"), (2, "quartz sphinx never judges", "en", "s"), (3, "他说今天天气很好我们去公园吧", "zh", "s"),
+            (4, "他说今天天气不好", "zh", "s"), (5, "x seven short words stand here in a y", "en", "s"), (6, "seven short words stood here in a", "en", "s"),
+            (7, "two words", "en", "s"), (8, "วันนี้ประเทศไทยมีอากาศร้อนมาก", "th", "s")]
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.contamination(docs_of(spark, rows), bench).collect()}
+    assert got == {(1, 1, 0), (3, 2, 0), (5, 3, 0), (8, 5, 0)}
 
 
 def test_archives_come_back_whole(spark):
@@ -383,14 +471,14 @@ def test_stages_equal_brute_force(spark, tmp_path):
         return [r for r in own if r.doc_id not in gone]
 
     def by_items(docs):
-        items = [w for _, t in bench.select("item_id", "text").collect() if len(w := decontaminate.words_of(t)) >= 8]
+        items = [w for _, t in bench.select("item_id", "text").collect() if len(w := decontaminate.words_of(t)) >= 3]
         held = {r.doc_id for r in docs.collect() if r.text is not None
-                and any(decontaminate.best_end(w, decontaminate.words_of(r.text))[0] <= int(len(w) * 0.2) for w in items)}
+                and any(decontaminate.best_end(w, decontaminate.words_of(r.text))[0] <= (int(len(w) * 0.2) if len(w) >= 8 else 0) for w in items)}
         return [r for r in docs.collect() if r.doc_id not in held]
 
     def by_draw(docs):
-        kept = {(r["_id"], r["_key"], r["_source"], r["_lang"]) for r in mixing.mixture(docs).where("_kept").collect()}
-        return [r[:-1] for r in docs.select("*", mixing.text_key().alias("_k")).collect() if (r.doc_id, r["_k"], r.source, r.lang) in kept]
+        copies = plain_mixture(spark, docs)
+        return [r for r in docs.collect() for _ in range(copies[(r.doc_id, r.text or "", r.source, r.lang)])]
 
     docs, sizes = spark.read.parquet(f"{folder}/documents.parquet"), []
     for (name, step), brute in zip(corpus_pipeline.STAGES[:-1], (by_quality, by_copies, by_items, by_draw), strict=True):
