@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUDGET = 0.2  # edits allowed for each word of an item
-SHORTEST = 8  # words of the shortest item that is looked for
+WHOLE = 8  # items of fewer words are looked for without edits
+SHORTEST = 3  # words of the shortest item that is looked for
 BLOCK_BYTES = 4_000_000  # UTF-8 bytes of items that are looked for in one pass over the documents
-_WORD = re.compile(r"\w+")
+# Scripts without blanks between words: Thai to Tibetan, Burmese, Khmer, kana, ideographs. Each character is a word.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(f"(?:(?![{_UNSPACED}])\\w)+|[{_UNSPACED}]")
 
 
 def words_of(text: str | None) -> list[str]:
-    """The text's words in lower case, without marks."""
+    """The text's words in lower case, without marks; single characters in scripts without blanks."""
     return _WORD.findall((text or "").lower())
 
 
@@ -63,7 +66,7 @@ class Index:
         for item_id, text in items:
             words = words_of(text)
             if len(words) >= shortest:
-                budget = int(len(words) * rate)
+                budget = int(len(words) * rate) if len(words) >= WHOLE else 0
                 for at, piece in pieces(words, budget):
                     holders.setdefault(" " + " ".join(piece) + " ", []).append((len(self.items), at, len(piece)))
                 self.items.append((item_id, words, budget))
@@ -130,7 +133,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET,
     whole are found by one automaton, and only around them distances are computed. The items are
     broadcast block by block, never more than ``block_bytes`` (or one item) at once.
 
-    Items of fewer than ``shortest`` words, null items and null texts are found nowhere. Rows
+    Items of fewer than ``WHOLE`` words are found only whole, without edits. Items of fewer than
+    ``shortest`` words stand in texts by chance; they, null items and null texts are found nowhere. Rows
     that repeat a doc_id are searched each by itself; equal (item_id, text) rows count once.
     """
     schema = "doc_id long, item_id long, distance int, first_word int, end_word int"

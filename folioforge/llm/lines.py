@@ -100,8 +100,9 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
             .mapInPandas(_first_occurrences, _HELD))
     held = stage(held, "held")
     edges = held.where("edge")
-    # At most two lines a range have a row here, however many rows the line has.
-    holders = edges.groupBy("line1", "line2").agg(F.min("doc_id").alias("holder"))
+    # At most two lines a range have a row here, however many rows the line has: staged, its size
+    # is known, and the many rows of a hot line needn't be dealt by the line.
+    holders = stage(edges.groupBy("line1", "line2").agg(F.min("doc_id").alias("holder")), "holders")
     settled = (edges.where("at >= 0").join(holders, ["line1", "line2"]).where("doc_id <> holder")
                .select("doc_id", "text_key", "at"))
     dropped = held.where("not edge").select("doc_id", "text_key", "at").union(settled)

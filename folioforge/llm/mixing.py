@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,7 @@ TOPIC_SAMPLE = 3_000  # documents that the topics are fitted to, at most
 DIMS = 512  # hashed words of a document's vector
 TEMPER = 0.9  # a category's target share is its share of tokens to this power
 ROUNDS = 200
+TOLERANCE = 1e-4  # a last round that moved a category by more is reported
 MOST_CELLS = 1_000_000  # (source, language, topic) combinations that occur; more is an error
 MARGINS = ("source", "lang", "topic")
 
@@ -107,6 +110,9 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict], rounds: int = ROUNDS, cl
             weight = np.where(weight > 0, np.clip(weight, 1 / spread, spread), 0.0)
         if moved < close:
             break
+    else:
+        if spread is None and moved > TOLERANCE:
+            warnings.warn(f"targets aren't met after {rounds} rounds, the last one still moved a category by {moved:.2g}", stacklevel=2)
     return weight
 
 
@@ -119,18 +125,20 @@ def uniform(seed: int, *keys: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2**53)) / F.lit(float(2**53))
 
 
-def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None) -> DataFrame:
+def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None,
+            budget: int | None = None) -> DataFrame:
     """The decision on each distinct document: _id, _key (hash of the text), _source, _lang, _topic,
-    _tokens, _weight, _probability and _kept.
+    _tokens, _weight, _rate and _copies.
 
     Tokens are words between blanks. The documents' tokens by source, language and topic form a
     table of cells; its weights are raked to the targets of all three margins (``targets`` by
-    ``MARGINS``; tempered shares where none are given). A document is kept with a probability
-    that is its cell's weight over the largest weight, so kept tokens follow the targets and no
-    document is repeated: a rare category that is raised a lot makes the sample small, unless
-    the caller bounds the weights by ``spread`` and misses the target; ``reached`` shows both.
-    The draw depends on seed, doc_id and text only. Documents without
-    tokens have no share in any margin and are kept. Null sources and languages are categories
+    ``MARGINS``; tempered shares where none are given). Weights are scaled to rates so that the
+    expected tokens are ``budget``, by default as many as the documents have. A document is taken
+    as often as its rate has whole numbers, and once more with the probability of the rest. So a
+    rare category that is raised is repeated, as in several epochs, and doesn't make the sample of
+    all others small; ``spread`` bounds weights, and misses targets where it binds; ``reached`` shows
+    what came out. The draw depends on seed, doc_id and text only. Documents without
+    tokens have no share in any margin and are taken once. Null sources and languages are categories
     of their own (None); rows that repeat a doc_id and text share their fate.
 
     The cell table is an aggregate whose size is checked before it is read: more than
@@ -149,36 +157,38 @@ def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int =
         cells[m] = pd.Series([_name(x) for x in cells[m]], dtype=object)
     goals = {m: (targets or {}).get(m) or tempered(cells, m) for m in MARGINS}
     cells["weight"] = rake(cells, goals, spread=spread)
-    top = cells["weight"].max() if len(cells) else 0.0
+    weighed = float((cells["weight"] * cells["tokens"]).sum())
+    scale = (cells["tokens"].sum() if budget is None else budget) / weighed if weighed else 0.0
     kind = StructType([StructField("_s", StringType()), StructField("_l", StringType()), StructField("_t", StringType()),
-                       StructField("_weight", DoubleType()), StructField("_probability", DoubleType())])
+                       StructField("_weight", DoubleType()), StructField("_rate", DoubleType())])
     weights = spark.createDataFrame(
-        [(s, lang, t, float(w), 1.0 if not n or not top else float(w / top))
+        [(s, lang, t, float(w), 1.0 if not n else float(w * scale))
          for s, lang, t, n, w in zip(cells["source"], cells["lang"], cells["topic"], cells["tokens"], cells["weight"], strict=True)], kind)
     facts = facts.distinct()
     known = facts.join(weights, facts["_source"].eqNullSafe(weights["_s"]) & facts["_lang"].eqNullSafe(weights["_l"])
                        & (facts["topic"] == weights["_t"]), "left")
-    chance = F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("_probability"))
+    rate = F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("_rate"))
     known = known.select(F.col("doc_id").alias("_id"), "_key", "_source", "_lang", F.col("topic").alias("_topic"),
-                         F.col("tokens").alias("_tokens"), "_weight", chance.alias("_probability"))
-    known = known.withColumn("_kept", uniform(seed, "_id", "_key") < F.col("_probability"))
-    return known
+                         F.col("tokens").alias("_tokens"), "_weight", rate.alias("_rate"))
+    whole = F.floor("_rate").cast("long")
+    return known.withColumn("_copies", whole + (uniform(seed, "_id", "_key") < F.col("_rate") - whole).cast("long"))
 
 
-def mixed_decisions(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, weight, probability, kept: the decision on each distinct document."""
-    known = mixture(docs, targets, seed, spread)
+def mixed_decisions(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None,
+                    budget: int | None = None) -> DataFrame:
+    """doc_id, source, lang, topic, tokens, weight, rate, copies: the decision on each distinct document."""
+    known = mixture(docs, targets, seed, spread, budget)
     return known.select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
                         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.col("_weight").alias("weight"),
-                        F.col("_probability").alias("probability"), F.col("_kept").alias("kept"))
+                        F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
 
 
 def reached(decisions: DataFrame, targets: dict[str, dict] | None = None) -> pd.DataFrame:
     """margin, category, before, target, expected, kept: shares of tokens in rows of ``mixed_decisions``.
 
-    ``targets`` are those the decisions were made with; ``expected`` is by probability, ``kept`` by draw.
+    ``targets`` are those the decisions were made with; ``expected`` is by rate, ``kept`` by draw.
     """
-    p, k = F.col("tokens") * F.col("probability"), F.when(F.col("kept"), F.col("tokens"))
+    p, k = F.col("tokens") * F.col("rate"), F.col("tokens") * F.col("copies")
     cells = decisions.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.sum(p).alias("expected"), F.sum(k).alias("kept")).toPandas()
     out = []
     for m in MARGINS:
@@ -189,10 +199,12 @@ def reached(decisions: DataFrame, targets: dict[str, dict] | None = None) -> pd.
     return pd.DataFrame(out, columns=["margin", "category", "before", "target", "expected", "kept"])
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None) -> DataFrame:
-    """The rows of ``docs`` that the mixture keeps, with their own columns only."""
-    known = mixture(docs, targets, seed, spread)
-    gone = known.where("not _kept").select("_id", F.col("_key").alias("_text"), F.col("_source").alias("_s"), F.col("_lang").alias("_l"))
-    match = (docs["doc_id"].eqNullSafe(gone["_id"]) & (text_key() == gone["_text"])
-             & docs["source"].eqNullSafe(gone["_s"]) & docs["lang"].eqNullSafe(gone["_l"]))
-    return docs.join(gone, match, "left_anti")
+def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int = 0, spread: float | None = None,
+          budget: int | None = None) -> DataFrame:
+    """The rows of ``docs`` as often as the mixture takes them, with their own columns only."""
+    known = mixture(docs, targets, seed, spread, budget)
+    taken = known.where("_copies > 0").select("_id", F.col("_key").alias("_text"), F.col("_source").alias("_s"), F.col("_lang").alias("_l"),
+                                             F.sequence(F.lit(1).cast("long"), "_copies").alias("_each"))
+    match = (docs["doc_id"].eqNullSafe(taken["_id"]) & (text_key() == taken["_text"])
+             & docs["source"].eqNullSafe(taken["_s"]) & docs["lang"].eqNullSafe(taken["_l"]))
+    return docs.join(taken, match).withColumn("_each", F.explode("_each")).select(*(docs[c] for c in docs.columns))

@@ -14,9 +14,9 @@ from folioforge.llm import gam
 SAMPLE = 20_000  # labelled rows that a model is fitted to, at most
 THRESHOLD = 0.3
 
-FEATURES = ("log_bytes", "upper", "digits", "blanks", "other_ascii", "marks", "bars", "bangs", "beyond_ascii",
-            "word_length", "longest_word", "distinct_words", "top_word", "marked_words", "line_bytes", "repeated_lines",
-            "distinct_starts")
+# What any text has: no single signs that one collection's bad texts happen to use.
+FEATURES = ("log_bytes", "upper", "digits", "blanks", "beyond_ascii", "word_length", "longest_word", "distinct_words", "top_word",
+            "line_bytes", "repeated_lines", "distinct_starts")
 
 
 def _table(characters: bytes) -> np.ndarray:
@@ -26,10 +26,7 @@ def _table(characters: bytes) -> np.ndarray:
 
 
 _CLASSES = np.stack([
-    _table(bytes(range(65, 91))), _table(b"0123456789"), _table(b" \t\n\r\x0b\x0c"),
-    _table(bytes(c for c in range(33, 127) if not chr(c).isalnum())),
-    _table(b"*$%&#@^~"), _table(b"|<>{}[]"), _table(b"!?"), _table(bytes(range(128, 256)))])
-_MARKS = frozenset(b"*$%&#!|")
+    _table(bytes(range(65, 91))), _table(b"0123456789"), _table(b" \t\n\r\x0b\x0c"), _table(bytes(range(128, 256)))])
 
 
 def features(text: str | None) -> list[float]:
@@ -44,8 +41,7 @@ def features(text: str | None) -> list[float]:
     return [
         np.log1p(len(data)), *shares,
         sum(map(len, words)) / n, np.log1p(max(map(len, counts), default=0)), len(counts) / n,
-        max(counts.values(), default=0) / n, sum(k for w, k in counts.items() if w[-1] in _MARKS) / n,
-        np.log1p(len(data) / len(lines)), 1 - len(set(lines)) / len(lines), len({w[:3] for w in counts}) / n,
+        max(counts.values(), default=0) / n, np.log1p(len(data) / len(lines)), 1 - len(set(lines)) / len(lines), len({w[:3] for w in counts}) / n,
     ]
 
 

@@ -8,7 +8,7 @@ from folioforge.llm.decontaminate import contamination
 from folioforge.llm.extract import extract_pages
 from folioforge.llm.jaccard import jaccard_components
 from folioforge.llm.lines import line_digest
-from folioforge.llm.mixing import mixed_decisions
+from folioforge.llm.mixing import TOPICS, mixed_decisions
 from folioforge.llm.neighbours import near_vectors
 from folioforge.llm.phrases import collocations
 from folioforge.llm.quality import quality_scores
@@ -20,6 +20,8 @@ from folioforge.llm.warc import archive_round_trip
 
 QUERIES = {}
 ORACLES = {}
+# The mixture that is asked for; sources have no named shares, theirs are tempered.
+TARGETS = {"lang": {"en": 0.5, "fr": 0.2, "de": 0.15, "es": 0.15}, "topic": {f"topic{k}": 1 / TOPICS for k in range(TOPICS)}}
 
 
 def query(name: str, sql: str | None = None):
@@ -115,8 +117,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_mixing_to_target_weights")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's cell, weight and draw."""
-    return mixed_decisions(table(spark, sf_dir, "documents"))
+    """Every document's cell, weight and number of copies, for named shares of languages and topics."""
+    return mixed_decisions(table(spark, sf_dir, "documents"), TARGETS)
 
 
 @query("op3_warc_round_trip", """
