@@ -46,37 +46,25 @@ def _numbers(text: str, words: _Words) -> np.ndarray:
     return ids
 
 
-_BLOCK = "lang string, shard int, n long, words binary, ids binary"
+def _blocks(batches, size: int):
+    """(language, words, numbers of its texts) of a task's next ``size`` words, language by language."""
 
+    def packed(parts):
+        for lang, (words, ids) in parts.items():
+            ids = np.concatenate(ids)
+            if ids.any():
+                yield lang, list(words), ids
 
-def _blocks(docs: DataFrame, size: int, shards: int) -> DataFrame:
-    """A row per language of each block of texts: its shard, number of words, distinct words, and texts as their numbers.
-
-    A task's blocks go to the shards in turn.
-    """
-
-    def packed(parts, shard):
-        rows = [(lang, words, np.concatenate(ids)) for lang, (words, ids) in parts.items()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([shard] * len(rows), pa.int32()), pa.array([int((r[2] > 0).sum()) for r in rows], pa.int64()),
-             pa.array([b" ".join(list(r[1])[1:]) for r in rows], pa.binary()), pa.array([r[2].tobytes() for r in rows], pa.binary())],
-            ["lang", "shard", "n", "words", "ids"])
-
-    def run(batches):
-        parts, held, turn = {}, 0, TaskContext.get().partitionId()
-        for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):  # one text at a time
-                words, ids = parts.setdefault(lang.as_py(), (_Words(), []))
-                ids.append(_numbers(text.as_py(), words))
-                held += len(ids[-1])
-                if held >= size:
-                    yield packed(parts, turn % shards)
-                    parts, held, turn = {}, 0, turn + 1
-        if parts:
-            yield packed(parts, turn % shards)
-
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, _BLOCK)
+    parts, held = {}, 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):  # one text at a time
+            words, ids = parts.setdefault(lang.as_py(), (_Words(), []))
+            ids.append(_numbers(text.as_py(), words))
+            held += len(ids[-1])
+            if held >= size:
+                yield from packed(parts)
+                parts, held = {}, 0
+    yield from packed(parts)
 
 
 def _seed(lang: str) -> np.uint64:
@@ -171,52 +159,55 @@ def _rows(lang, phrases, k, counts) -> pa.RecordBatch:
          pa.array(counts, pa.int64())], ["lang", "phrase", "k", "f"])
 
 
-def _unpacked(batches, names):
-    for batch in batches:
-        for lang, words, ids, *rest in zip(*(batch.column(name) for name in names), strict=True):
-            yield (lang.as_py(), [_BREAK, *words.as_py().split(b" ")], np.frombuffer(ids.as_py(), np.int32), *(x.as_py() for x in rest))
+def _words(texts: DataFrame, size: int) -> DataFrame:
+    """(lang, word, 1, count) of each block; the number of words goes along as a row without a phrase."""
+
+    def run(batches):
+        for lang, words, ids in _blocks(batches, size):
+            yield _rows(lang, [None], 0, [int((ids > 0).sum())])
+            counts = np.bincount(ids, minlength=len(words))[1:]
+            yield _rows(lang, [w.decode("utf-8", "surrogatepass") for w in words[1:]], 1, counts)
 
+    return texts.mapInArrow(run, _COUNTS)
 
-def _words(batches):
-    """(lang, word, 1, count) of each block."""
-    for lang, words, ids in _unpacked(batches, ("lang", "words", "ids")):
-        counts = np.bincount(ids, minlength=len(words))[1:]
-        yield _rows(lang, [w.decode("utf-8", "surrogatepass") for w in words[1:]] if counts.any() else [], 1, counts if counts.any() else [])
 
+_LOCAL = "shard int, k int, hash long, f long"
 
-_LOCAL = "lang string, shard int, k int, hash long, f long"
 
+def _mined(texts: DataFrame, lengths, filters, size: int, shards: int) -> DataFrame:
+    """(shard, k, hash, f): the phrases of each block that pass the filters, by a hash of language and words.
 
-def _mined(blocks: DataFrame, lengths, filters) -> DataFrame:
-    """(lang, shard, k, hash, f): the phrases of each block that pass the filters, by hash."""
+    Tasks go to the shards in turn.
+    """
 
     def run(batches):
         bits = {k: b.value for k, b in filters.items()}
-        for lang, words, ids, shard in _unpacked(batches, ("lang", "words", "ids", "shard")):
+        shard = TaskContext.get().partitionId() % shards
+        for lang, words, ids in _blocks(batches, size):
             for k, spelt, hashes, counts in _found(words, lang, ids, lengths, bits):
                 for begin in range(0, len(spelt), STEP):
                     part = _hashes(lang, hashes[spelt[begin : begin + STEP]]).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), pa.array(np.full(len(part), shard, np.int32)),
+                        [pa.array(np.full(len(part), shard, np.int32)),
                          pa.array(np.full(len(part), k, np.int32)), pa.array(part), pa.array(counts[begin : begin + STEP].astype(np.int64))],
-                        ["lang", "shard", "k", "hash", "f"])
+                        ["shard", "k", "hash", "f"])
 
-    return blocks.mapInArrow(run, _LOCAL)
+    return texts.mapInArrow(run, _LOCAL)
 
 
-def _phrases(blocks: DataFrame, lengths, filters) -> DataFrame:
+def _phrases(texts: DataFrame, lengths, filters, size: int) -> DataFrame:
     """(lang, phrase, k, f): the phrases of each block that pass the filters."""
 
     def run(batches):
         bits = {k: b.value for k, b in filters.items()}
-        for lang, words, ids in _unpacked(batches, ("lang", "words", "ids")):
+        for lang, words, ids in _blocks(batches, size):
             for k, spelt, _, counts in _found(words, lang, ids, lengths, bits):
                 for begin in range(0, len(spelt), STEP):
                     part = spelt[begin : begin + STEP].tolist()
                     yield _rows(lang, [b" ".join([words[i] for i in row]).decode("utf-8", "surrogatepass") for row in part],
                                 k, counts[begin : begin + STEP])
 
-    return blocks.mapInArrow(run, _COUNTS)
+    return texts.mapInArrow(run, _COUNTS)
 
 
 def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST,
@@ -224,34 +215,30 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGES
     """(lang, phrase, k, f): words per language (k = 0, no phrase), and all phrases of 1 to ``longest``
     words with f >= ``support``, counted exactly.
 
-    Texts are numbered once and staged in blocks of ``block_words`` words, which belong to ``shards``
-    parts of the corpus, however large it is. Two steps follow, pairs and then longer phrases, of two
-    passes each. The first mines every shard completely, at the share of the support that
-    its words are of the language's: tasks count their blocks, Spark adds up each shard's counts. A phrase
-    that reaches the support reaches that share in some shard, so the union of what the shards
-    found holds every result. The second counts the union in all texts. Tasks know
+    Words are counted first. Two steps follow, pairs and then longer phrases, of two passes over the
+    texts each. The first mines ``shards`` parts of the corpus completely, at a ``shards``-th of the
+    support: tasks count their texts, ``block_words`` words at a time, and Spark adds up each shard's
+    counts. A phrase that reaches the support reaches that share in some shard, so the union
+    of what the shards found holds every result. The second counts the union in all texts. Tasks know
     the union, the frequent words and the frequent pairs as filters of fixed size; what passes by
     chance is counted like the rest. The first pass moves hashes only: equal ones of
     different phrases add a candidate, which the second counts as what it is.
     """
-    total = lambda rows: rows.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-    blocks = stage(_blocks(docs, block_words, shards), "blocks")
-    sizes = blocks.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
-    sizes = stage(sizes.where("own > 0"), "sizes")  # a row per language and shard
-    whole = sizes.groupBy("lang").agg(F.sum("own").alias("total"))
-    known = stage(total(blocks.mapInArrow(_words, _COUNTS)), "words")
-    filters = {1: _filter_of(known)}
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    total = lambda rows: rows.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
+    often = F.col("f") >= support
+    known = stage(total(_words(texts, block_words)).where(often | (F.col("k") == 0)), "words")
+    filters = {1: _filter_of(known.where("k = 1"))}
     for lengths in ([2], range(3, longest + 1)):
         if not lengths or longest < 2:
             break
-        local = _mined(blocks, lengths, filters).groupBy("lang", "shard", "k", "hash").agg(F.sum("f").alias("f"))
-        often = local.join(sizes.join(whole, "lang"), ["lang", "shard"]).where(F.col("f") * F.col("total") >= support * F.col("own"))
-        union = stage(often.select("k", F.pmod("hash", F.lit(FILTER_BITS)).alias("slot")).distinct(), "union")
+        local = _mined(texts, lengths, filters, block_words, shards).groupBy("shard", "k", "hash").agg(F.sum("f").alias("f"))
+        union = stage(local.where(F.col("f") * shards >= support).select("k", F.pmod("hash", F.lit(FILTER_BITS)).alias("slot")).distinct(), "union")
         bits = {k: _bits(union.where(F.col("k") == k)) for k in lengths}
-        counted = stage(total(_phrases(blocks, lengths, filters | bits)), "counts")
+        counted = stage(total(_phrases(texts, lengths, filters | bits, block_words)).where(often), "counts")
         known = known.union(counted)
         filters = filters | {2: _filter_of(counted)} if lengths == [2] else filters
-    return known.union(whole.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("k"), F.col("total").alias("f")))
+    return known
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP) -> DataFrame:
