@@ -121,7 +121,7 @@ def _found(words: list[bytes], lang: str, ids: np.ndarray, lengths, filters):
         if k in filters:
             for part in np.split(np.flatnonzero(good), range(STEP, int(good.sum()), STEP)):
                 good[part] = _passes(filters[k], lang, np.stack([hashes[ids[part + i]] for i in range(k)], 1))
-        at = np.flatnonzero(good).astype(np.int32)  # a shard of more words than that would be no shard
+        at = np.flatnonzero(good).astype(np.int32)  # a block never has more places
         codes = names[at].astype(np.int64)
         codes *= base
         codes += ids[at + k - 1]
