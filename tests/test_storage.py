@@ -145,6 +145,34 @@ def test_verification_verdicts(spark):
                    "g": "missing"}
 
 
+def test_tables_in_parts_have_one_verdict_each(spark, tmp_path):
+    """Parts of all tables have equal names, as Spark's and DuckDB's writers give them."""
+    from workload.storage_queries import TABLES, q_verify_files
+
+    for name in TABLES:
+        parts = [f"{name}.parquet"] if name in ("nation", "labels") else [f"{name}.parquet/part-{k}.parquet" for k in range(3)]
+        for part in parts:
+            (tmp_path / part).parent.mkdir(exist_ok=True)
+            (tmp_path / part).write_text(part)
+    got = {r.file_name: r.verdict for r in q_verify_files(spark, str(tmp_path)).collect()}
+    wrong = {"nation": "unlisted", "region": "digest mismatch", "part": "size mismatch"}
+    assert got == {f"{name}.parquet": wrong.get(name, "verified") for name in TABLES}
+
+
+def test_the_worst_part_decides(spark):
+    digests = spark.createDataFrame(
+        [("file:/d/a/1", 1, "aa"), ("file:/d/a/2", 1, "xx"), ("file:/d/b/1", 2, "bb"), ("file:/d/c", 3, "cc")],
+        "path string, size_bytes bigint, sha256 string",
+    )
+    manifest = spark.createDataFrame(
+        [("http://x/a/1", "aa", 1), ("http://x/a/2", "a2", 1), ("http://x/b/1", "bb", 2), ("http://x/b/2", "b2", 1),
+         ("http://x/c", "cc", 3)],
+        "url string, sha256 string, size_bytes bigint",
+    )
+    got = R.verify_tables(R.verify_files(digests, manifest, "/d", "http://x")).collect()
+    assert {r.file_name: r.verdict for r in got} == {"a": "digest mismatch", "b": "missing", "c": "verified"}
+
+
 def test_manifest_without_columns(spark):
     manifest = spark.createDataFrame([("1", "u")], "version string, url string")
     got = R.validate_manifest(manifest).first()
