@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,6 +39,7 @@ from folioforge.sources.landed import (
     parse_pages,
     read_details,
     search_ends,
+    selected_summaries,
 )
 from folioforge.sources.sinks import append_corpus, replace_rows
 
@@ -53,7 +54,7 @@ class Batch:
     """Rows made from summaries, and what happened to each reference."""
 
     rows: DataFrame  # corpus columns, requested_id, outcome, reference_key, summary_json
-    refs: DataFrame  # reference, outcome, summary_json
+    refs: DataFrame  # reference, outcome, summary_json (of those that stay pending)
 
 
 @dataclass(frozen=True)
@@ -97,6 +98,11 @@ def attach_detail(
     return joined.withColumn("outcome", F.coalesce("outcome", F.lit(TRANSIENT)))
 
 
+def _pending_summary() -> Column:
+    """The summary of a reference that is asked for again; a settled one has no use for it."""
+    return F.when(F.col("outcome") == TRANSIENT, F.col("summary_json"))
+
+
 def process_batch(
     summaries: DataFrame,
     details: DataFrame,
@@ -109,7 +115,7 @@ def process_batch(
     """Full or partial rows for summaries, and the outcome per reference."""
     attached = attach_detail(summaries, details, site.language, keep_html)
     rows = flatten_record(
-        attached.withColumn("reference_key", F.col("ref_code")),
+        attached.withColumns({"reference_key": F.col("ref_code"), "summary_json": _pending_summary()}),
         site,
         scraped_at=scraped_at,
         carry=(*BATCH_COLUMNS, *carry),
@@ -144,7 +150,7 @@ def retry_pass(
     landed = wanted_details(details, entries, site.language)
     attached = attach_detail(entries, landed, site.language, keep_html).withColumn(
         "outcome", F.when(F.col("already_complete"), "stale").otherwise(F.col("outcome"))
-    )
+    ).withColumn("summary_json", _pending_summary())
     rows = flatten_record(
         attached.withColumn("ref_code", F.col("own_ref")).withColumnRenamed("reference", "reference_key"),
         site,
@@ -177,8 +183,8 @@ def search_queue(
 ) -> tuple[DataFrame, DataFrame]:
     """Window outcomes and the summaries of the windows that were read completely.
 
-    Returned are ``(date_from, date_to, queue_key, status)`` and one row per summary
-    with its place in the queue. A window is complete when each of the search's values was
+    Returned are ``(date_from, date_to, queue_key, status)`` and one row per summary, without
+    its texts, with its place in the queue. A window is complete when each of the search's values was
     read to its end there; pages of other variants are ignored, they can't stand in for one
     that didn't land. A window that lists a summary without reference has failed.
 
@@ -188,7 +194,7 @@ def search_queue(
     expected = F.sequence(F.lit(0), F.lit(len(search.search_values()) - 1))
     asked = stage(queue.withColumn("variant_no", F.explode(expected)), "asked")
     wanted = landed_pages.join(asked.select(*VARIANT), VARIANT, "left_semi")
-    pages = stage(parse_pages(wanted), "pages")
+    pages = stage(parse_pages(wanted, whole=False), "pages")
     judged = search_ends(page_facts(pages)).select(
         *VARIANT, "last_page", (F.col("complete") & ~F.col("blank_reference")).alias("read")
     )
@@ -261,8 +267,10 @@ def run_windows(
         selected, progress = canary_limit(stage(missing, "missing"), limit)
     selected = stage(selected, "selected")
 
+    # Few windows: the join with them is a broadcast, and no page is shuffled for it.
+    complete = placed.where(F.col("status") == COMPLETE).select(*WINDOW)
     batch = process_batch(
-        selected,
+        selected_summaries(landed_pages.join(complete, WINDOW, "left_semi"), selected),
         wanted_details(landed_details, selected, site.language),
         site,
         scraped_at=scraped_at,

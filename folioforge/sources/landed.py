@@ -49,10 +49,21 @@ def _summary(item: Column) -> Column:
     )
 
 
-def parse_pages(landed: DataFrame) -> DataFrame:
+def _listing(item: Column) -> Column:
+    """What tells a listed summary from others, without its texts."""
+    reference = strip(F.coalesce(V.text(item, "refCode"), F.lit("")))
+    return F.struct(
+        document_id(reference).alias("requested_id"),
+        reference.alias("ref_code"),
+        V.text(item, "docutype", "code").alias("type_code"),
+        V.text(item, "languageCode").alias("language_code"),
+    )
+
+
+def parse_pages(landed: DataFrame, whole: bool = True) -> DataFrame:
     """One row per page: is it usable, which total it reports, which summaries it lists.
 
-    Every body is parsed once. ``total`` is null when the page reports something that is
+    Every body is parsed once; unless ``whole``, summaries are read without their texts. ``total`` is null when the page reports something that is
     not a number; a page without the key reports 0 and is flagged by ``total_missing``.
     ``summaries`` holds the listed objects; a page has a limited number of them.
     """
@@ -74,7 +85,7 @@ def parse_pages(landed: DataFrame) -> DataFrame:
         F.when(F.col("total_missing"), F.lit(0).cast("bigint")).otherwise(F.col("total")).alias("total"),
         F.coalesce("total_missing", F.lit(False)).alias("total_missing"),
         F.coalesce(F.array_size("listed"), F.lit(0)).alias("n_listed"),
-        F.transform(objects, _summary).alias("summaries"),
+        F.transform(objects, _summary if whole else _listing).alias("summaries"),
     )
 
 
@@ -89,6 +100,17 @@ def ingest_search_pages(landed: DataFrame) -> DataFrame:
     return page_summaries(parse_pages(landed))
 
 
+def selected_summaries(landed: DataFrame, selected: DataFrame) -> DataFrame:
+    """The whole summaries at the places that ``selected`` names, with its further columns.
+
+    Queues are cut down by identifiers and places. Texts are read here, for what is left of them.
+    """
+    place = [*PAGE, "pos"]
+    listed = ingest_search_pages(landed)
+    further = [c for c in selected.columns if c not in listed.columns]
+    return listed.join(selected.select(*place, *further), place)
+
+
 def page_facts(pages: DataFrame) -> DataFrame:
     """The few numbers per page that decide about completeness."""
     return pages.select(

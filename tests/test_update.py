@@ -264,3 +264,32 @@ def test_of_two_requests_for_one_document_the_later_one_wins(spark):
     assert {r.document_id: r.publish_datetime for r in world.corpus.collect()} == {
         "ip_20_2": "second", "ip_20_1": "third",
     }
+
+
+def test_a_queue_is_cut_down_without_the_texts_of_its_summaries(spark, tmp_path):
+    """Texts are neither staged with the pages, nor with what is listed for the first time."""
+    import random
+    import re
+    from pathlib import Path
+
+    from folioforge.session import shared_dir
+
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=200_000))
+    folder = Path(re.sub("^file:/*", "/", shared_dir(spark))) / "folioforge"
+    before = set(folder.glob("*"))
+    landed = [page(JANUARY, [summary("IP/20/1", leadText=text), summary("IP/20/2", title="b")])]
+    queue = window_rows(spark, JANUARY)
+    run = U.run_windows(
+        empty_corpus(spark), pages(spark, *landed), details(spark, {"IP/20/1": detail("IP/20/1")}), queue, window_rows(spark),
+        ref_ledger(spark), SITE, SearchSpec(), scraped_at="fixed",
+    )
+    assert {r.document_id: len(r.summary or "") for r in run.rows.collect()} == {"ip_20_1": 200_000, "ip_20_2": 28}
+    sizes = {}
+    for table in set(folder.glob("*")) - before:
+        sizes[table.name.rsplit("-", 1)[0]] = sum(f.stat().st_size for f in table.glob("*.parquet"))
+    assert sizes["batch"] > 100_000
+    assert max(sizes[name] for name in ("pages", "unique", "selected")) < 50_000
+    # The first document is settled: only the other one's summary is kept for a retry.
+    assert {r.reference: r.summary_json is None for r in run.rows.select("reference", "summary_json").collect()} == {
+        "IP/20/1": True, "IP/20/2": False}

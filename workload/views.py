@@ -225,7 +225,8 @@ def landed_details(spark: SparkSession, sf: str) -> DataFrame:
 def _page_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Bodies of the search pages. A page lists five summaries at most."""
     listed = feed(spark, sf)
-    totals = listed.groupBy("w").agg(F.count("*").alias("n"))
+    # One row per window, a constant number: broadcast, so that no page is shuffled for it.
+    totals = F.broadcast(listed.groupBy("w").agg(F.count("*").alias("n")))
     item = F.struct(
         F.col("ref").alias("refCode"),
         F.col("event_date").alias("eventDate"),
