@@ -2,17 +2,22 @@
 
 Every micro-batch is one run over the windows that are still open, with all their pages so far and the
 details that nothing has asked for yet. What is finished leaves these two tables, so a batch
-reads what is new and what is open, never what is done.
+reads what is new and what is open, never what is done. Landed rows are read where they landed;
+only those that stay open are written.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.plans.dataset import corpus_root, describe, pending_refs, pending_windows, save, save_windows
 from folioforge.plans.update import run_windows
 from folioforge.schema import LANDED_DETAILS_SCHEMA, LANDED_PAGES_SCHEMA, SearchSpec, Site, recorded_scope
+from folioforge.session import stage
 from folioforge.sources.corpus import scan_snapshot
 from folioforge.sources.files import exists
 from folioforge.sources.landed import TRANSIENT, WINDOW, latest_answers
@@ -56,14 +61,10 @@ def stream_dataset(
     def settle(batch: DataFrame, place: Place) -> None:
         session, (name, number) = batch.sparkSession, place
         folder = f"{root}/open/{name}"
-        pages = _kept(session, f"{folder}/pages", number - 1, LANDED_PAGES_SCHEMA).unionByName(
-            batch.where("page is not null").select("page.*"))
-        details = _kept(session, f"{folder}/details", number - 1, LANDED_DETAILS_SCHEMA).unionByName(
-            batch.where("detail is not null").select("detail.*"))
-        _write(latest_answers(pages, _PAGE_KEY), f"{folder}/pages-seen", number)
-        _write(latest_answers(details, _DETAIL_KEY), f"{folder}/details-seen", number)
-        pages = _kept(session, f"{folder}/pages-seen", number, LANDED_PAGES_SCHEMA)
-        details = _kept(session, f"{folder}/details-seen", number, LANDED_DETAILS_SCHEMA)
+        pages = _latest(_kept(session, f"{folder}/pages", number - 1, LANDED_PAGES_SCHEMA).unionByName(
+            batch.where("page is not null").select("page.*")), _PAGE_KEY)
+        details = _latest(_kept(session, f"{folder}/details", number - 1, LANDED_DETAILS_SCHEMA).unionByName(
+            batch.where("detail is not null").select("detail.*")), _DETAIL_KEY)
 
         corpus = scan_snapshot(session, corpus_root(root))
         windows = pending_windows(session, root).drop("dataset")
@@ -71,7 +72,8 @@ def stream_dataset(
             corpus, pages, details, windows.limit(0), windows, pending_refs(session, root).drop("dataset"), site, search,
             scraped_at=scraped_at,
         )
-        settled = run.rows.where(F.col("outcome") != TRANSIENT).select(F.col("reference_key").alias("reference"))
+        # A narrow table of known size: as long as it can be broadcast, no detail is shuffled to leave out the settled ones.
+        settled = stage(run.rows.where(F.col("outcome") != TRANSIENT).select(F.col("reference_key").alias("reference")), "settled")
         _write(pages.join(run.window_ledger.select(*WINDOW), WINDOW, "left_semi"), f"{folder}/pages", number)
         _write(details.join(settled, "reference", "left_anti"), f"{folder}/details", number)
         save(session, root, corpus, run, site.language)
@@ -84,10 +86,23 @@ def stream_dataset(
     describe(spark, root, row)
 
 
+def _latest(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The newest answer to each request; answers to requests that have one only stay where they are.
+
+    Keys alone are shuffled to find requests answered again, and the answers to these are ranked.
+    """
+    repeated = stage(rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*(F.col(c).alias(f"_{c}") for c in key)), "repeated")
+    if repeated.isEmpty():
+        return rows
+    again = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key))
+    newest = stage(latest_answers(rows.join(repeated, again, "left_semi"), key), "newest")
+    return rows.join(repeated, again, "left_anti").unionByName(newest)
+
+
 def _kept(spark: SparkSession, folder: str, number: int, schema) -> DataFrame:
     path = f"{folder}/batch={number}"
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def _write(rows: DataFrame, folder: str, number: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+    rows.write.option("compression", "zstd").mode("overwrite").parquet(f"{folder}/batch={number}")

@@ -62,6 +62,32 @@ def test_a_stream_ends_like_one_run_over_all_files(spark, tmp_path, files, seed)
     assert (told.total_documents, told.failed_window_count, told.failed_ref_count) == (len(want), 1, 2)
 
 
+def test_a_batch_writes_what_stays_open_and_nothing_else(spark, tmp_path):
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=200_000))
+    body = {"docuLanguageResource": {"title": "t", "htmlContent": f"<p>{text}</p>", "language": "en"}}
+    pages(spark, page(JANUARY, [summary("IP/20/1", leadText=text)])).coalesce(1).write.parquet(str(tmp_path / "pages"))
+    details(spark, {"IP/20/1": detail("IP/20/1", **body)}).coalesce(1).write.parquet(str(tmp_path / "details"))
+    root = tmp_path / "data"
+    stream_dataset(spark, str(tmp_path / "pages"), str(tmp_path / "details"), str(root), str(tmp_path / "state"),
+                   window_rows(spark, JANUARY), SITE, SearchSpec(), scraped_at="fixed")
+    assert [len(r.full_text) for r in scan_snapshot(spark, D.corpus_root(str(root))).collect()] == [200_000]
+    assert sum(f.stat().st_size for f in (root / "open").rglob("*.parquet")) < 50_000
+
+
+def test_answers_given_again_are_ranked_and_the_others_pass(spark):
+    from folioforge.sources.landed import latest_answers
+    from folioforge.streaming.feed import _DETAIL_KEY, _latest
+
+    schema = "batch_id bigint, reference string, language string, body string"
+    data = [(n, f"r{k}", "en", f"{k}.{n}") for k in range(6) for n in range(1 + k % 3)]
+    rows = spark.createDataFrame([*data, (1, None, "en", "x"), (2, None, "en", "y"), (1, "r1", None, "z")], schema)
+    for landed in (rows, rows.where("batch_id = 0")):
+        assert sorted(map(str, _latest(landed, _DETAIL_KEY).collect())) == sorted(map(str, latest_answers(landed, _DETAIL_KEY).collect()))
+    once = rows.where("batch_id = 0")
+    assert _latest(once, _DETAIL_KEY) is once
+
+
 def test_a_late_batch_opens_the_buckets_of_its_keys_only(spark, tmp_path):
     schema = spark.createDataFrame([], "id int, title string").schema
     landed, root, state = (str(tmp_path / n) for n in ("landed", "root", "state"))

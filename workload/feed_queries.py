@@ -30,11 +30,13 @@ from workload.views import (
     SITE,
     corpus_columns,
     dates_as_text,
+    detail_bodies,
     duck_views,
     feed,
     feed_windows,
     landed_details,
     landed_pages,
+    page_bodies,
     ref_ledger,
     stored_feed,
     table,
@@ -494,8 +496,8 @@ def q_update_active_scope(spark, sf):
 def q_stream_ingest(spark, sf):
     """Pages and details that land in several files, streamed into a dataset; failed windows store nothing."""
     pages, details, root, checkpoint = (new_path(spark, name) for name in ("pages", "details", "dataset", "stream-state"))
-    landed_pages(spark, sf).repartition(3, "date_from", "page_no").write.parquet(pages)
-    landed_details(spark, sf).repartition(3, "reference").write.parquet(details)
+    page_bodies(spark, sf).repartition(3, "date_from", "page_no").write.option("compression", "zstd").parquet(pages)
+    detail_bodies(spark, sf).repartition(3, "reference").write.option("compression", "zstd").parquet(details)
     stream_dataset(spark, pages, details, root, checkpoint, feed_windows(spark), SITE, SearchSpec(), files_per_batch=2, scraped_at=SCRAPED_AT)
     return scan_snapshot(spark, corpus_root(root)).select("document_id", "detail_ok", F.sha2("full_text", 256).alias("digest"))
 

@@ -215,14 +215,14 @@ def _landed(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
 
 
 def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return _landed(spark, sf, "landed-pages", _page_bodies)
+    return _landed(spark, sf, "landed-pages", page_bodies)
 
 
 def landed_details(spark: SparkSession, sf: str) -> DataFrame:
-    return _landed(spark, sf, "landed-details", _detail_bodies)
+    return _landed(spark, sf, "landed-details", detail_bodies)
 
 
-def _page_bodies(spark: SparkSession, sf: str) -> DataFrame:
+def page_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Bodies of the search pages. A page lists five summaries at most."""
     listed = feed(spark, sf)
     # One row per window, a constant number: broadcast, so that no page is shuffled for it.
@@ -282,7 +282,7 @@ def _escaped(column: str):
     return value
 
 
-def _detail_bodies(spark: SparkSession, sf: str) -> DataFrame:
+def detail_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Detail bodies of all listed documents, some of them faulty."""
     rows = feed(spark, sf).where("ref <> ' '").withColumn("kind", F.expr(DETAIL_KIND))
     base = F.to_json(
