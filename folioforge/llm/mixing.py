@@ -8,13 +8,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from folioforge.llm.grams import WordHashes
 from folioforge.session import stage
 
 TOPICS = 6
-TOPIC_SAMPLE = 3_000  # documents that the topics are fitted to, at most
+TOPIC_SAMPLE = 3_000  # documents that the first centres come from, at most
+FULL_ROUNDS = 5  # rounds of k-means over all documents, at most
+STILL = 1e-4  # centres whose cosines with those before are nearer to 1 are taken as settled
+FIXED = 2.0**30  # vectors are added in whole parts of 1 / FIXED
 DIMS = 512  # hashed words of a document's vector
 TEMPER = 0.9  # a category's target share is its share of tokens to this power
 ROUNDS = 200
@@ -23,46 +26,114 @@ MOST_CELLS = 1_000_000  # (source, language, topic) combinations that occur; mor
 MARGINS = ("source", "lang", "topic")
 
 
-def _vectors(texts: pd.Series) -> np.ndarray:
-    """Unit vectors of damped, signed counts of hashed words, over whole texts."""
-    out, hashes = np.zeros((len(texts), DIMS)), WordHashes()
+def _counts(texts: pd.Series) -> np.ndarray:
+    """Signed counts of hashed words, over whole texts."""
+    out, hashes = np.zeros((len(texts), DIMS), "<i4"), WordHashes()
     for row, text in zip(out, texts, strict=True):
         words = hashes.of(text or "")
         signs = (words >> np.uint64(63)).astype(float) * 2 - 1
-        counts = np.bincount((words % np.uint64(DIMS)).astype(np.int64), signs, DIMS)
-        row[:] = np.sign(counts) * np.log1p(np.abs(counts))
+        row[:] = np.bincount((words % np.uint64(DIMS)).astype(np.int64), signs, DIMS)
+    return out
+
+
+def _unit(counts: np.ndarray) -> np.ndarray:
+    """Unit vectors of damped counts."""
+    out = np.sign(counts) * np.log1p(np.abs(counts.astype(float)))
     return out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-12)
 
 
-def fit_topics(docs: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE, seed: int = 0) -> np.ndarray:
-    """Centres of the topics, by spherical k-means on the ``sample`` texts of smallest hash."""
-    hashed = docs.select("text", F.xxhash64(F.lit(seed), "text").alias("h")).where("text is not null and text <> ''")
+def _vectors(texts: pd.Series) -> np.ndarray:
+    return _unit(_counts(texts))
+
+
+def _stored(counts: pd.Series) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(counts), "<i4").reshape(len(counts), DIMS))
+
+
+@F.pandas_udf(StructType([StructField("v", BinaryType()), StructField("tokens", LongType())]))
+def _described(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"v": [v.tobytes() for v in _counts(texts)], "tokens": [len((t or "").split()) for t in texts]})
+
+
+def described(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """Every row's identifiers, number of tokens and counts of hashed words, staged: texts are hashed once."""
+    h = F.when(F.col("text") != "", F.xxhash64(F.lit(seed), "text"))
+    return stage(docs.select("doc_id", text_key().alias("_key"), F.col("source").alias("_source"), F.col("lang").alias("_lang"),
+                             h.alias("_h"), _described("text").alias("_d")).select("doc_id", "_key", "_source", "_lang", "_h", "_d.*"), "described")
+
+
+def _moved(sums: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Unit vectors of the sums; a centre that nothing is near stays."""
+    sums = np.where((sums != 0).any(1, keepdims=True), sums, centres)
+    return sums / np.maximum(np.sqrt((sums * sums).sum(1, keepdims=True)), 1e-12)
+
+
+def _first_centres(vectors: DataFrame, topics: int, sample: int) -> np.ndarray:
+    """Where the rounds over all documents start: k-means on the ``sample`` texts of smallest hash."""
+    hashed = vectors.select(F.col("_h").alias("h"), "v").where("h is not null")
     keys = hashed.select("h").distinct().orderBy("h").limit(sample)
     chosen = hashed.join(F.broadcast(keys), "h").dropDuplicates(["h"])  # at most ``sample`` numbers are broadcast
-    rows = chosen.mapInPandas(
-        lambda batches: (pd.DataFrame({"h": b["h"], "v": [v.astype("<f4").tobytes() for v in _vectors(b["text"])]}) for b in batches),
-        "h long, v binary").orderBy("h").limit(sample).toPandas()
+    rows = chosen.orderBy("h").limit(sample).toPandas()
     if rows.empty:
         return np.zeros((1, DIMS))
-    x = np.frombuffer(b"".join(rows["v"]), "<f4").reshape(len(rows), DIMS).astype(float)
+    x = _stored(rows["v"])
     centres = x[:1]
     while len(centres) < min(topics, len(x)):  # each next centre is the text farthest from all others
         centres = np.vstack([centres, x[np.argmin((x @ centres.T).max(1))]])
     for _ in range(20):
         own = (x @ centres.T).argmax(1)
-        sums = np.stack([x[own == k].sum(0) if (own == k).any() else centres[k] for k in range(len(centres))])
-        centres = sums / np.maximum(np.sqrt((sums * sums).sum(1, keepdims=True)), 1e-12)
+        centres = _moved(np.stack([x[own == k].sum(0) for k in range(len(centres))]), centres)
     return centres
 
 
+def _sums(vectors: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """Per centre the sum of the vectors next to it, over all rows.
+
+    Components are added as whole numbers, so that the sums don't depend on the order of rows.
+    """
+
+    def add(batches):
+        total = np.zeros(centres.shape, np.int64)
+        for batch in batches:
+            x = _stored(batch["v"])
+            own = (x @ centres.T).argmax(1)
+            whole = np.rint(x * FIXED).astype(np.int64)
+            for k in range(len(centres)):
+                total[k] += whole[own == k].sum(0)
+        cells = np.flatnonzero(total)
+        yield pd.DataFrame({"cell": cells.astype(np.int32), "total": total.ravel()[cells]})
+
+    cells = vectors.select("v").mapInPandas(add, "cell int, total long").groupBy("cell").agg(F.sum("total").alias("total")).toPandas()
+    out = np.zeros(centres.size)  # a number per centre and dimension came to the driver
+    out[cells["cell"].to_numpy(dtype=np.int64)] = cells["total"].to_numpy(dtype=float) / FIXED
+    return out.reshape(centres.shape)
+
+
+def fit_centres(vectors: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE, rounds: int = FULL_ROUNDS) -> np.ndarray:
+    """Centres of the topics, by rounds of spherical k-means over all rows of ``described``.
+
+    Only the first centres come from a sample. Each round is an aggregate of all rows; copies weigh as
+    often as they occur. Rounds end early once no centre moves.
+    """
+    centres = _first_centres(vectors, topics, sample)
+    for _ in range(rounds):
+        before, centres = centres, _moved(_sums(vectors, centres), centres)
+        if (before * centres).sum(1).min() > 1 - STILL:
+            break
+    return centres
+
+
+def fit_topics(docs: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE, seed: int = 0) -> np.ndarray:
+    """Centres of the topics of all documents."""
+    return fit_centres(described(docs, seed), topics, sample)
+
+
 def topic_of(centres: np.ndarray):
-    """A column function: the topic of a text and its tokens, as struct(topic, tokens)."""
-    kind = StructType([StructField("topic", StringType()), StructField("tokens", LongType())])
+    """A column function: the topic of a text, from its counts of hashed words."""
 
-    @F.pandas_udf(kind)
-    def topic(texts: pd.Series) -> pd.DataFrame:
-        near = (_vectors(texts) @ centres.T).argmax(1)
-        return pd.DataFrame({"topic": [f"topic{k}" for k in near], "tokens": [len((t or "").split()) for t in texts]})
+    @F.pandas_udf(StringType())
+    def topic(counts: pd.Series) -> pd.Series:
+        return pd.Series([f"topic{k}" for k in (_stored(counts) @ centres.T).argmax(1)])
 
     return topic
 
@@ -145,9 +216,9 @@ def mixture(docs: DataFrame, targets: dict[str, dict] | None = None, seed: int =
     ``MOST_CELLS`` combinations are an error, since targets for so many can't be meant.
     """
     spark = docs.sparkSession
-    described = topic_of(fit_topics(docs, seed=seed))("text")
-    facts = stage(docs.select("doc_id", text_key().alias("_key"), F.col("source").alias("_source"), F.col("lang").alias("_lang"),
-                              described.alias("_d")).select("doc_id", "_key", "_source", "_lang", "_d.*"), "facts")
+    vectors = described(docs, seed)
+    topic = topic_of(fit_centres(vectors))("v").alias("topic")
+    facts = stage(vectors.select("doc_id", "_key", "_source", "_lang", topic, "tokens"), "facts")
     grouped = stage(facts.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic")
                     .agg(F.sum("tokens").alias("tokens")), "cells")
     if grouped.count() > MOST_CELLS:

@@ -313,6 +313,23 @@ def test_the_draw_equals_plain_loops(spark, corpus):
     assert max(want.values()) > 1 and min(want.values()) == 0
 
 
+def test_topics_come_from_all_documents(spark):
+    """The sample starts the rounds; centres are those that k-means over all rows ends with, copies included."""
+    rng = random.Random(8)
+    words = [[f"{kind}{n}" for n in range(40)] for kind in ("oak", "pier", "loom")]
+    rows = [(i, " ".join(rng.choices(words[i % 3], k=60)), "en", "s") for i in range(90)]
+    rows += [(100 + i, rows[0][1], "en", "s") for i in range(30)] + [(500, None, "en", "s"), (501, "", "en", "s")]
+    docs = docs_of(spark, rows)
+    got = mixing.fit_topics(docs, topics=3, sample=4)
+    x = mixing._vectors([t or "" for _, t, _, _ in rows])
+    x = x[np.abs(x).sum(1) > 0]
+    own = (x @ got.T).argmax(1)
+    want = np.stack([x[own == k].sum(0) for k in range(3)])
+    want /= np.sqrt((want * want).sum(1, keepdims=True))
+    assert (got * want).sum(1).min() > 1 - 1e-6
+    assert (mixing.fit_topics(docs.repartition(7), topics=3, sample=4) == got).all()
+
+
 def test_a_lone_rare_document_leaves_the_others_in(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choices(["oak", "elm", "fir"], k=50)), rng.choice(["en", "de"]), rng.choice(["a", "b", "c"])) for i in range(600)]
