@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from folioforge.functions.text import document_id
 from folioforge.operators.records import normalize_schema
 
+# A filter of keys has 512 bitmaps of 4 KB, however many keys there are.
+FILTER_BITS, BITMAP_BITS = 1 << 24, 1 << 15
+
 
 def _one_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     # Catalyst turns "row_number = 1" into a group limit that runs before the shuffle
@@ -61,6 +64,26 @@ def missing_references(references: DataFrame, corpus: DataFrame) -> DataFrame:
     )
 
 
+def may_match(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose ``on`` may be among ``keys``: all that are, and few others. An exact join follows.
+
+    Hashes of the keys are set in bitmaps of 2 MB together, which go to where the rows are read, so what no
+    key asks for isn't shuffled, also when the keys are too many to be broadcast. Beyond some
+    ten million keys the bitmaps fill up: more rows pass, none is lost.
+    """
+    slot = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in on]), F.lit(FILTER_BITS))
+    place = F.col("_slot") % BITMAP_BITS
+    bitmap = F.floor(F.col("_slot") / BITMAP_BITS)
+    bitmaps = (
+        keys.select(slot.alias("_slot"))
+        .groupBy(bitmap.alias("_bitmap"))
+        .agg(F.bitmap_construct_agg(place).alias("_bits"))
+    )
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = rows.withColumn("_slot", slot).join(F.broadcast(bitmaps), bitmap == F.col("_bitmap"))
+    return marked.where(F.getbit(byte, (place % 8).cast("int")) == 1).drop("_slot", "_bitmap", "_bits")
+
+
 def append_upsert(
     stored: DataFrame,
     incoming: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.text import document_id, normalize_ref, record_language
 from folioforge.operators import ledgers as L
-from folioforge.operators.merge import first_wins, keep_last, new_documents
+from folioforge.operators.merge import first_wins, keep_last, may_match, new_documents
 from folioforge.operators.ordered import canary_limit
 from folioforge.operators.records import (
     flatten_record,
@@ -69,16 +69,16 @@ class Run:
 
 
 def wanted_details(details: DataFrame, staged: DataFrame, language: str = "en") -> DataFrame:
-    """The landed details that some staged summaries may ask for.
+    """The landed details that some staged summaries may ask for, and few others.
 
-    Only their bodies are parsed. The keys are a staged table, so the join is chosen by
-    their size: few of them are broadcast to the scan, many are shuffled.
+    Only their bodies are parsed. They are told apart where they are scanned, however many
+    summaries there are: a body is never shuffled, the join with the summaries moves plain fields.
     """
     keys = staged.select(
         F.col("ref_code").alias("reference"),
         record_language(F.col("language_code"), F.lit(language)).alias("language"),
     )
-    return details.join(keys, ["reference", "language"], "left_semi")
+    return may_match(details, keys, ["reference", "language"])
 
 
 def attach_detail(
@@ -377,11 +377,17 @@ def touched_ids(run: Run) -> DataFrame:
 def run_rows(run: Run, touched: DataFrame) -> DataFrame:
     """Corpus rows of a run, the latest one per document.
 
-    Only touched documents can occur twice; all other rows pass without a shuffle.
+    Only touched documents can occur twice, and hardly any does; all other rows pass without a
+    shuffle. Which ones do is found by their identifiers.
     """
     rows = normalize_schema(run.rows, keep=ARRIVAL)
-    single = rows.join(touched, "document_id", "left_anti")
-    several = keep_last(rows.join(touched, "document_id", "left_semi"), list(ARRIVAL))
+    found = rows.select("document_id").join(touched, "document_id", "left_semi")
+    repeated = found.groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1").select("document_id")
+    repeated = stage(repeated, "repeated")
+    if repeated.isEmpty():
+        return rows.drop(*ARRIVAL)
+    single = rows.join(repeated, "document_id", "left_anti")
+    several = keep_last(rows.join(repeated, "document_id", "left_semi"), list(ARRIVAL))
     return single.unionByName(several).drop(*ARRIVAL)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import variants as V
 from folioforge.functions.html import html_to_text
 from folioforge.functions.text import contact_label, document_id, join_nonempty, nullable, strip
-from folioforge.operators.merge import keep_last
+from folioforge.operators.merge import keep_last, may_match
 from folioforge.operators.ordered import running_total
 from folioforge.schema import SearchSpec
 
@@ -103,10 +103,11 @@ def ingest_search_pages(landed: DataFrame) -> DataFrame:
 def selected_summaries(landed: DataFrame, selected: DataFrame) -> DataFrame:
     """The whole summaries at the places that ``selected`` names, with its further columns.
 
-    Queues are cut down by identifiers and places. Texts are read here, for what is left of them.
+    Queues are cut down by identifiers and places. Texts are read here, for what is left of them;
+    others aren't moved, however many places there are.
     """
     place = [*PAGE, "pos"]
-    listed = ingest_search_pages(landed)
+    listed = may_match(ingest_search_pages(landed), selected, place)
     further = [c for c in selected.columns if c not in listed.columns]
     return listed.join(selected.select(*place, *further), place)
 

@@ -4,6 +4,7 @@ from datetime import date
 
 import pytest
 from payloads import FEBRUARY, JANUARY, MARCH, SITE, detail, details, page, pages, ref_ledger, summary, window_rows
+from pyspark.sql import functions as F
 
 from folioforge.operators.records import normalize_schema
 from folioforge.plans import update as U
@@ -293,3 +294,59 @@ def test_a_queue_is_cut_down_without_the_texts_of_its_summaries(spark, tmp_path)
     # The first document is settled: only the other one's summary is kept for a retry.
     assert {r.reference: r.summary_json is None for r in run.rows.select("reference", "summary_json").collect()} == {
         "IP/20/1": True, "IP/20/2": False}
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    """Sizes at which Spark broadcasts nothing by its own choice."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _shuffled_joins(df):
+    """How many joins of a frame's plan shuffle both of their sides."""
+    return df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
+
+
+def test_bodies_are_told_apart_where_they_are_read(spark, without_broadcasts):
+    """However many summaries ask: no details are shuffled to find the wanted ones."""
+    landed = details(spark, {f"IP/20/{n}": detail(f"IP/20/{n}") for n in range(40)})
+    keys = [(f"IP/20/{n}", "en" if n % 2 else None) for n in range(10, 60)]
+    wanted = U.wanted_details(landed, stage(spark.createDataFrame(keys, "ref_code string, language_code string"), "keys"))
+    assert sorted(r.reference for r in wanted.collect()) == [f"IP/20/{n}" for n in range(10, 40)]
+    assert _shuffled_joins(wanted) == 0
+    assert wanted.columns == landed.columns
+
+
+def test_a_filter_of_keys_loses_none_and_passes_few_others(spark):
+    from folioforge.operators.merge import may_match
+
+    rows = spark.range(200_000).selectExpr("id", "date'2020-01-01' + cast(id % 9 as int) as day", "if(id % 1000 = 1, null, 'x') as part")
+    keys = rows.where("id % 10 = 3").select("day", F.col("id").cast("int").alias("id"))
+    left = stage(may_match(rows, stage(keys, "keys"), ["id", "day"]), "left")
+    assert left.columns == rows.columns
+    assert left.where("id % 10 = 3").count() == 20_000 == left.where("id % 10 = 3").distinct().count()
+    assert 20_000 <= left.count() < 21_000
+    assert may_match(rows, keys.limit(0), ["id", "day"]).count() == 0
+
+
+def test_rows_of_a_run_aren_t_shuffled_for_those_that_occur_once(spark, without_broadcasts):
+    world = World(spark)
+    two = [summary("IP/20/1"), summary("IP/20/2")]
+    world.run([JANUARY], [page(JANUARY, two)], {})
+    answers = {"IP/20/1": detail("IP/20/1", publishDate="first"), "IP/20/2": detail("IP/20/2"), "IP/20/3": detail("IP/20/3")}
+
+    def rows(answers):
+        run = U.run_windows(
+            world.corpus, pages(spark, page(JANUARY, [*two, summary("IP/20/3")])), details(spark, answers),
+            window_rows(spark, JANUARY), window_rows(spark), world.refs, SITE, SearchSpec(), scraped_at="fixed",
+        )
+        return U.run_rows(run, U.touched_ids(run))
+
+    once = rows(answers)
+    assert {r.document_id for r in once.collect()} == {"ip_20_1", "ip_20_2", "ip_20_3"}
+    assert _shuffled_joins(once) == 0
+    # A new document whose detail names it like a retried one comes later, and wins.
+    again = rows({**answers, "IP/20/3": detail("IP/20/1", publishDate="second")})
+    assert {r.document_id: r.publish_datetime for r in again.collect()}["ip_20_1"] == "second" and again.count() == 2
